@@ -1,47 +1,445 @@
-"""Registered queries: each maps a session and a table folder to a frame."""
+"""Registered queries: each maps a session and a table folder to a frame.
+
+Every query reads the whole sample tables, through the Bronze feeds derived
+from them.  Queries of sources and sinks write below the shared folder first.
+"""
 
 from __future__ import annotations
 
-from lodestrata.operators import gold, silver
-from lodestrata.sources.sample import AS_OF, sample_bronze
+import datetime as dt
+from collections.abc import Mapping
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from lodestrata.operators import (
+    anomalies, changes, gates, gold, governance, profiling, quality, reports, rfm, silver,
+)
+from lodestrata.plans import attachments as A
+from lodestrata.plans import medallion
+from lodestrata.schemas import BRONZE, LAYERS
+from lodestrata.session import fresh_dir
+from lodestrata.sources import csv_feed
+from lodestrata.sources.sample import AS_OF, FEEDS, sample_feed
+from lodestrata.sources.tables import Lake
+from lodestrata.streaming import ingest
+
+NOW = dt.datetime(2001, 8, 15, 12, 0, 0)
+EARLIER = dt.datetime(2000, 12, 31, 12, 0, 0)
+RUN, EARLIER_RUN = "run-2", "run-1"
+
+
+class Planned(Mapping):
+    """Tables that are planned when first asked for."""
+
+    def __init__(self, builders):
+        self._builders = dict(builders)
+        self._planned: dict[str, DataFrame] = {}
+
+    def __getitem__(self, name):
+        if name not in self._planned:
+            self._planned[name] = self._builders[name]()
+        return self._planned[name]
+
+    def __iter__(self):
+        return iter(self._builders)
+
+    def __len__(self):
+        return len(self._builders)
+
+
+class Layers:
+    """The derived layers over one folder of sample tables."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self.spark = spark
+        self.bronze = Planned(
+            {feed: (lambda f=feed: sample_feed(spark, sf_dir, f)) for feed in FEEDS}
+        )
+        self.silver = Planned({
+            name: (lambda m=model: m(self.bronze, AS_OF))
+            for name, model in silver.MODELS.items()
+        })
+        self.gold = Planned(gold.gold_models(self.silver, AS_OF))
+        self.all = {"bronze": self.bronze, "silver": self.silver, "gold": self.gold}
+
+    def earlier_bronze(self) -> dict[str, DataFrame]:
+        """Orders and customers as known at the earlier run."""
+        known = dict(self.bronze)
+        for table, column in A.CHANGE_TIMES.items():
+            known[table] = known[table].filter(F.col(column) <= F.lit(EARLIER.date()))
+        return known
+
+    def flags(self) -> DataFrame:
+        return anomalies.anomaly_flags(self.silver, AS_OF, RUN, NOW)
+
+    def flag_log(self) -> DataFrame:
+        """Flags of two runs."""
+        before = anomalies.anomaly_flags(self.silver, EARLIER.date(), EARLIER_RUN, EARLIER)
+        return before.unionByName(self.flags())
+
+    def scores(self) -> DataFrame:
+        return rfm.rfm_scores(self.gold["dim_customers"], NOW)
+
+    def profile_log(self) -> DataFrame:
+        """Profiles of two runs."""
+        before = profiling.profile_tables(self.earlier_bronze(), EARLIER_RUN, EARLIER)
+        return before.unionByName(profiling.profile_tables(self.bronze, RUN, NOW))
+
+    def metric_log(self) -> DataFrame:
+        """Bronze metrics of two runs."""
+        chosen = [a for a in A.ATTACHMENTS if a[0] == "bronze"]
+        before = quality.dq_suite({"bronze": self.earlier_bronze()}, EARLIER, chosen)
+        return before.unionByName(quality.dq_suite({"bronze": self.bronze}, NOW, chosen))
+
+    def run_log(self) -> DataFrame:
+        """Row counts of two runs; Gold is missing in the first."""
+        before = {
+            "bronze": self.earlier_bronze(),
+            "gold": {name: None for name in LAYERS["gold"]},
+        }
+        return profiling.run_summary(before, EARLIER_RUN, EARLIER).unionByName(
+            profiling.run_summary(self.all, RUN, NOW)
+        )
 
+    def inventory(self) -> DataFrame:
+        return governance.measured_inventory(self.all)
 
-def _bronze(name):
-    return lambda spark, sf_dir: sample_bronze(spark, sf_dir)[name]
+    def references(self) -> DataFrame:
+        return governance.tag_references(
+            governance.tag_assignments(self.spark), self.inventory()
+        )
 
+    def personal(self) -> DataFrame:
+        return governance.pii_inventory(governance.tag_assignments(self.spark), self.all)
 
-def _silver(build):
-    return lambda spark, sf_dir: build(silver.build_silver(sample_bronze(spark, sf_dir), AS_OF))
+    def all_checks(self) -> DataFrame:
+        return (
+            gates.validate_bronze(self.bronze)
+            .unionByName(gates.validate_silver(self.silver))
+            .unionByName(gates.validate_gold(self.gold, self.silver))
+        )
+
+
+def _on_layers(build):
+    return lambda spark, sf_dir: build(Layers(spark, sf_dir))
 
 
 def model_queries() -> dict:
-    found = {name: _silver(lambda s, n=name: s[n]) for name in silver.MODELS}
+    found = {name: (lambda x, n=name: x.silver[n]) for name in silver.MODELS}
     found.update(
-        customer_orders=_silver(lambda s: gold.customer_orders(s, AS_OF)),
-        customer_payments=_silver(gold.customer_payments),
-        preferred_channel=_silver(gold.preferred_channel),
-        customer_ratios=_silver(lambda s: gold.customer_ratios(s, AS_OF)),
-        loyalty_tier=_silver(lambda s: gold.loyalty_tiers(s, AS_OF)),
-        dim_customers=_silver(lambda s: gold.dim_customers(s, AS_OF)),
-        product_sales=_silver(gold.product_sales),
-        return_exposure=_silver(gold.return_exposure),
-        product_inventory=_silver(gold.product_inventory),
-        dim_products=_silver(gold.dim_products),
-        src_date_spine=_silver(lambda s: gold.date_spine(gold.order_date_bounds(s))),
-        dim_dates=_silver(gold.dim_dates),
-        order_items_agg=_silver(gold.order_items_agg),
-        payment_agg=_silver(gold.payment_agg),
-        shipment_info=_silver(gold.shipment_info),
-        customer_order_counts=_silver(gold.customer_order_counts),
-        sales_derived=_silver(gold.sales_derived),
-        fact_sales=_silver(gold.fact_sales),
-        fact_shipment_performance=_silver(gold.fact_shipment_performance),
-        payment_outcome=_silver(gold.payment_outcomes),
-        fact_payment_summary=_silver(gold.fact_payment_summary),
-        fact_daily_revenue=_silver(gold.fact_daily_revenue),
+        customer_orders=lambda x: gold.customer_orders(x.silver, AS_OF),
+        customer_payments=lambda x: gold.customer_payments(x.silver),
+        preferred_channel=lambda x: gold.preferred_channel(x.silver),
+        customer_ratios=lambda x: gold.customer_ratios(x.silver, AS_OF),
+        loyalty_tier=lambda x: gold.loyalty_tiers(x.silver, AS_OF),
+        dim_customers=lambda x: x.gold["dim_customers"],
+        product_sales=lambda x: gold.product_sales(x.silver),
+        return_exposure=lambda x: gold.return_exposure(x.silver),
+        product_inventory=lambda x: gold.product_inventory(x.silver),
+        dim_products=lambda x: x.gold["dim_products"],
+        src_date_spine=lambda x: gold.date_spine(gold.order_date_bounds(x.silver)),
+        dim_dates=lambda x: x.gold["dim_dates"],
+        order_items_agg=lambda x: gold.order_items_agg(x.silver),
+        payment_agg=lambda x: gold.payment_agg(x.silver),
+        shipment_info=lambda x: gold.shipment_info(x.silver),
+        customer_order_counts=lambda x: gold.customer_order_counts(x.silver),
+        sales_derived=lambda x: gold.sales_derived(x.silver),
+        fact_sales=lambda x: x.gold["fact_sales"],
+        fact_shipment_performance=lambda x: x.gold["fact_shipment_performance"],
+        payment_outcome=lambda x: gold.payment_outcomes(x.silver),
+        fact_payment_summary=lambda x: x.gold["fact_payment_summary"],
+        fact_daily_revenue=lambda x: x.gold["fact_daily_revenue"],
     )
     return found
 
 
+def check_queries() -> dict:
+    orders, fk = "orders", ("bronze", "orders", A.CUSTOMER_FK, "customer_id,order_id")
+
+    def metric(x, layer, table, name, argument):
+        return quality.dq_metric(
+            x.all[layer][table], layer, table, name, argument, NOW, A.CHANGE_TIMES.get(table),
+            x.bronze["customers"],
+        )
+
+    return dict(
+        profile_table=lambda x: profiling.profile_tables(x.bronze, RUN, NOW),
+        profile_table_approx=lambda x: profiling.profile_tables(x.bronze, RUN, NOW, approx=True),
+        iqr_outliers=lambda x: anomalies.iqr_outliers(x.silver["stg_orders"]),
+        high_discount=lambda x: anomalies.high_discount(x.silver["stg_order_items"]),
+        dormant_customers=lambda x: anomalies.dormant_customers(
+            x.silver["stg_customers"], x.silver["stg_orders"], AS_OF
+        ),
+        anomaly_flags=lambda x: x.flags(),
+        rfm_scores=lambda x: x.scores(),
+        run_summary=lambda x: profiling.run_summary(
+            {**x.all, "gold": {**x.gold, "customer_rfm_scores": x.scores()}}, RUN, NOW
+        ),
+        gate_bronze=lambda x: gates.validate_bronze(x.bronze),
+        gate_silver=lambda x: gates.validate_silver(x.silver),
+        gate_gold=lambda x: gates.validate_gold(x.gold, x.silver),
+        gate_message=lambda x: gates.gate_message(x.all_checks()),
+        dq_null_count=lambda x: metric(x, "bronze", orders, A.NULL, "order_id"),
+        dq_duplicate_count=lambda x: metric(x, "bronze", orders, A.DUPLICATE, "customer_id"),
+        dq_row_count=lambda x: metric(x, "bronze", orders, A.ROWS, ""),
+        dq_freshness=lambda x: metric(x, "bronze", orders, A.FRESHNESS, ""),
+        dq_positive_amounts=lambda x: metric(x, "silver", "stg_orders", A.NEGATIVE, "total_amount"),
+        dq_orders_customer_fk=lambda x: metric(x, *fk),
+        dq_suite=lambda x: quality.dq_suite(x.all, NOW),
+        dq_results_read=lambda x: quality.dq_results_read(x.metric_log()),
+        dq_latest=lambda x: quality.dq_latest(x.metric_log()),
+        dq_status=lambda x: quality.dq_status(quality.dq_latest(x.metric_log())),
+        dq_scorecard=lambda x: quality.dq_scorecard(
+            quality.dq_status(quality.dq_latest(x.metric_log())), x.metric_log()
+        ),
+        dq_trend=lambda x: quality.dq_trend(x.metric_log(), A.ROWS),
+        dq_inventory=lambda x: quality.dq_inventory(x.metric_log()),
+        schema_tests=lambda x: quality.schema_tests({**x.silver, **x.gold}),
+    )
+
+
+def governance_queries() -> dict:
+    return dict(
+        tag_references=lambda x: x.references(),
+        tag_coverage=lambda x: governance.tag_coverage(x.references(), x.inventory()),
+        tag_distribution=lambda x: governance.tag_distribution(x.references()),
+        governance_kpis=lambda x: governance.governance_kpis(
+            x.references(), x.inventory(), quality.dq_inventory(x.metric_log()), x.flags()
+        ),
+        pii_inventory=lambda x: x.personal(),
+        pii_by_layer=lambda x: governance.pii_by_layer(x.personal()),
+        pii_propagation=lambda x: governance.pii_propagation(x.personal()),
+        classification_distribution=lambda x: governance.classification_distribution(
+            x.references()
+        ),
+        quality_tier_by_layer=lambda x: governance.quality_tier_by_layer(x.references()),
+        tables_by_layer=lambda x: governance.tables_by_layer(x.references()),
+        domain_coverage=lambda x: governance.domain_coverage(x.references()),
+        row_count_consistency=lambda x: governance.row_count_consistency(x.inventory()),
+        profile_log_read=lambda x: governance.profile_log_read(x.profile_log()),
+        anomalies_by_type=lambda x: governance.anomalies_by_type(x.flag_log()),
+        anomaly_kpis=lambda x: governance.anomaly_kpis(x.flag_log()),
+        anomaly_timeline=lambda x: governance.anomaly_timeline(x.flag_log()),
+        anomaly_details=lambda x: governance.anomaly_details(
+            x.flag_log(), ["AMOUNT_OUTLIER", "DORMANT_CUSTOMER"]
+        ),
+        null_highlights=lambda x: governance.null_highlights(
+            profiling.profile_tables(x.bronze, RUN, NOW)
+        ),
+    )
+
+
+def report_queries() -> dict:
+    def daily(x):
+        return reports.rpt_daily_revenue(x.gold)
+
+    def segments(x):
+        return reports.rpt_customer_segments(x.gold)
+
+    def shipments(x):
+        return reports.rpt_shipment_performance(x.gold)
+
+    def latest(x):
+        return reports.rpt_latest_profile(x.profile_log())
+
+    return dict(
+        rpt_daily_revenue=daily,
+        rpt_kpis=lambda x: reports.rpt_kpis(x.gold),
+        rpt_customer_segments=segments,
+        rpt_top_products=lambda x: reports.rpt_top_products(x.gold),
+        rpt_top15=lambda x: reports.rpt_top15(x.gold),
+        rpt_shipment_performance=shipments,
+        rpt_payment_summary=lambda x: reports.rpt_payment_summary(x.gold),
+        rpt_payment_health=lambda x: reports.rpt_payment_health(
+            reports.rpt_payment_summary(x.gold)
+        ),
+        rpt_rfm_segments=lambda x: reports.rpt_rfm_segments(x.scores()),
+        rpt_anomaly_summary=lambda x: reports.rpt_anomaly_summary(x.flags()),
+        rpt_anomaly_totals=lambda x: reports.rpt_anomaly_totals(
+            reports.rpt_anomaly_summary(x.flags())
+        ),
+        rpt_latest_profile=latest,
+        rpt_latest_run=lambda x: reports.rpt_latest_run(x.run_log()),
+        rpt_status_monthly=lambda x: reports.rpt_status_monthly(daily(x)),
+        rpt_channel_mix=lambda x: reports.rpt_channel_mix(daily(x)),
+        rpt_orders_vs_customers=lambda x: reports.rpt_orders_vs_customers(daily(x)),
+        rpt_spend_by_segment=lambda x: reports.rpt_spend_by_segment(segments(x)),
+        rpt_loyalty_mix=lambda x: reports.rpt_loyalty_mix(segments(x)),
+        rpt_segment_detail=lambda x: reports.rpt_segment_detail(segments(x)),
+        rpt_category_revenue=lambda x: reports.rpt_category_revenue(x.gold),
+        rpt_low_stock=lambda x: reports.rpt_low_stock(x.gold),
+        rpt_carrier_on_time=lambda x: reports.rpt_carrier_on_time(shipments(x)),
+        rpt_speed_mix=lambda x: reports.rpt_speed_mix(shipments(x)),
+        rpt_profile_rows=lambda x: reports.rpt_profile_rows(latest(x)),
+        rpt_profile_nulls=lambda x: reports.rpt_profile_nulls(latest(x)),
+    )
+
+
+# ------------------------------------------------- sources, sinks and the run
+
+
+def _csv_files(x: Layers, *feeds: str) -> str:
+    """A folder of CSV files whose names start with the feed, one writer each."""
+    folder = fresh_dir(x.spark, "landing")
+    for feed in feeds:
+        _write_named(x.bronze[feed], folder, feed)
+    return folder
+
+
+def _write_named(df: DataFrame, folder: str, feed: str) -> None:
+    """CSV part files named after the feed."""
+    staged = f"{folder}/_staged_{feed}"
+    df.write.option("header", True).csv(staged)
+    jvm = df.sparkSession._jvm
+    conf = df.sparkSession._jsc.hadoopConfiguration()
+    source = jvm.org.apache.hadoop.fs.Path(staged)
+    fs = source.getFileSystem(conf)
+    for spot, status in enumerate(fs.globStatus(jvm.org.apache.hadoop.fs.Path(f"{staged}/*.csv"))):
+        fs.rename(status.getPath(), jvm.org.apache.hadoop.fs.Path(f"{folder}/{feed}_v{spot}.csv"))
+
+
+def _read_csv(x: Layers) -> DataFrame:
+    folder = _csv_files(x, "customers")
+    return csv_feed.read_bronze_csv(x.spark, folder, "customers")
+
+
+def _files_match(x: Layers) -> DataFrame:
+    """Order files only, from a folder that also holds order_items files."""
+    folder = _csv_files(x, "orders", "order_items")
+    return csv_feed.read_bronze_csv(x.spark, folder, "orders")
+
+
+def _typed(x: Layers) -> DataFrame:
+    feed = x.bronze["order_items"]
+    texts = feed.select(*[F.col(c).cast("string").alias(f"c{i}") for i, c in enumerate(feed.columns)])
+    return csv_feed.as_typed(texts, "order_items")
+
+
+def _ingest(x: Layers, feed: str):
+    """Ingest a feed twice: the files are there before the first run."""
+    folder = _csv_files(x, feed)
+    target, checkpoint = fresh_dir(x.spark, "bronze"), fresh_dir(x.spark, "checkpoint")
+    runs = [ingest.ingest_stream(x.spark, folder, feed, target, checkpoint) for _ in range(2)]
+    return x.spark.read.schema(BRONZE[feed]).parquet(target), runs
+
+
+def _has_data(x: Layers) -> DataFrame:
+    _, runs = _ingest(x, "orders")
+    rows = [(spot + 1, ingest.has_new_data([run])) for spot, run in enumerate(runs)]
+    return x.spark.createDataFrame(rows, "run int, has_new_data boolean")
+
+
+def _change_feed(x: Layers) -> DataFrame:
+    """Consume the change feed of a table that is appended to in between."""
+    lake = Lake(x.spark, fresh_dir(x.spark, "lake"))
+    seen, checkpoint = f"{lake.root}/seen", fresh_dir(x.spark, "checkpoint")
+    feed = x.bronze["payments"]
+    cut = F.col("payment_date") <= F.lit(EARLIER.date())
+    for part in (feed.filter(cut), feed.filter(~cut)):
+        lake.append_log(part, "bronze", "payments")
+        stream = ingest.changes(x.spark, lake.path("bronze", "payments"), "payments")
+        ingest.consume_changes(
+            stream, checkpoint, lambda batch, _: batch.write.mode("append").parquet(seen)
+        )
+    return x.spark.read.schema(BRONZE["payments"]).parquet(seen)
+
+
+def order_versions(x: Layers) -> tuple[DataFrame, DataFrame]:
+    """Orders as known at the earlier run, and today without the first years."""
+    orders = x.bronze["orders"]
+    placed = F.col("order_date")
+    open_status = F.when(placed >= F.lit(dt.date(2000, 12, 1)), "pending").otherwise(F.col("status"))
+    old = orders.filter(placed <= F.lit(EARLIER.date())).withColumn("status", open_status)
+    new = orders.filter(placed >= F.lit(dt.date(1996, 1, 1)))
+    return old, new
+
+
+def _lake(x: Layers) -> Lake:
+    return Lake(x.spark, fresh_dir(x.spark, "lake"))
+
+
+def _overwrite(x: Layers) -> DataFrame:
+    lake = _lake(x)
+    lake.publish(x.silver["stg_orders"], "silver", "stg_products")
+    return lake.publish(x.silver["stg_products"], "silver", "stg_products")
+
+
+def _append(x: Layers) -> DataFrame:
+    lake = _lake(x)
+    lake.append_log(
+        anomalies.anomaly_flags(x.silver, EARLIER.date(), EARLIER_RUN, EARLIER), "silver",
+        "anomaly_flags",
+    )
+    return lake.append_log(x.flags(), "silver", "anomaly_flags")
+
+
+def _replace(x: Layers) -> DataFrame:
+    lake = _lake(x)
+    scores = x.scores()
+    lake.replace_if_any(scores, "gold", "customer_rfm_scores")
+    lake.replace_if_any(scores, "gold", "customer_rfm_scores")
+    return lake.replace_if_any(scores.limit(0), "gold", "customer_rfm_scores")
+
+
+def _metric_rows(x: Layers) -> DataFrame:
+    lake = _lake(x)
+    return lake.append_log(x.metric_log(), "governance", "metric_results")
+
+
+def _land_bronze(x: Layers) -> str:
+    lake = _lake(x)
+    for feed in FEEDS:
+        lake.publish(x.bronze[feed], "bronze", feed)
+    return lake.root
+
+
+def _inventory(x: Layers) -> DataFrame:
+    return Lake(x.spark, _land_bronze(x)).inventory({"bronze": LAYERS["bronze"]})
+
+
+def _promote(x: Layers) -> DataFrame:
+    """Build Silver behind the Bronze gate, once as is and once without products."""
+    rows = []
+    lake = _lake(x)
+    for spot, feeds in enumerate((
+        {**x.bronze}, {**x.bronze, "products": x.bronze["products"].filter("product_id is null")}
+    )):
+        message = medallion.gate_text(gates.validate_bronze(feeds))
+        built = medallion.gated_promote(message, 1, "silver", lambda: lake.publish(
+            silver.stg_products(feeds), "silver", "stg_products"))
+        rows.append((spot + 1, *built))
+    return x.spark.createDataFrame(rows, medallion.STEP_SCHEMA)
+
+
+def _run(x: Layers) -> DataFrame:
+    return medallion.run_medallion(x.spark, _land_bronze(x), AS_OF, NOW, RUN)
+
+
+def storage_queries() -> dict:
+    return dict(
+        src_csv=_read_csv,
+        src_files_match=_files_match,
+        src_bronze_typed=_typed,
+        src_ingest_stream=lambda x: _ingest(x, "order_items")[0],
+        src_backfill=lambda x: _ingest(x, "shipments")[0],
+        src_has_data=_has_data,
+        src_cdc_stream=_change_feed,
+        src_cdc_diff=lambda x: changes.snapshot_diff(*order_versions(x), "order_id"),
+        src_inventory=_inventory,
+        inventory_report=lambda x: governance.inventory_report(_inventory(x)),
+        snk_overwrite=_overwrite,
+        snk_append=_append,
+        snk_replace=_replace,
+        snk_metric_rows=_metric_rows,
+        gated_promote=_promote,
+        medallion_run=_run,
+    )
+
+
 def all_queries() -> dict:
-    return {**model_queries()}
+    found = {
+        **model_queries(), **check_queries(), **governance_queries(), **report_queries(),
+        **storage_queries(),
+    }
+    return {name: _on_layers(build) for name, build in found.items()}

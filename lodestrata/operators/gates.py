@@ -6,12 +6,14 @@ the stack into one row of named numbers.  The checks read that row.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lodestrata.functions.columns import count_where
 
-Tables = dict[str, DataFrame]
+Tables = Mapping[str, DataFrame]
 
 # Accepted classifications.
 LOYALTY_VALUES = ["PLATINUM", "GOLD", "SILVER", "BRONZE"]

@@ -12,6 +12,7 @@ shuffle of the order table goes away.  The default stays exact either way.
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -20,7 +21,7 @@ from lodestrata.functions.columns import (
     count_where, days_between, flag, half_up, mean, or_zero, sum_where,
 )
 
-Tables = dict[str, DataFrame]
+Tables = Mapping[str, DataFrame]
 
 # Least orders and least spend of each loyalty tier.
 LOYALTY_TIERS = [(10, 50000, "PLATINUM"), (5, 20000, "GOLD"), (2, 5000, "SILVER")]
@@ -720,15 +721,23 @@ def fact_daily_revenue(silver: Tables, unique_orders: bool = False) -> DataFrame
     )
 
 
-def build_gold(
+def gold_models(
     silver: Tables, as_of: dt.date, unique_orders: bool = False, max_days: int | None = None
-) -> Tables:
+) -> dict[str, Callable[[], DataFrame]]:
+    """How to build each Gold table; nothing is planned before the call."""
     return {
-        "dim_customers": dim_customers(silver, as_of, unique_orders),
-        "dim_products": dim_products(silver),
-        "dim_dates": dim_dates(silver, max_days),
-        "fact_sales": fact_sales(silver),
-        "fact_daily_revenue": fact_daily_revenue(silver, unique_orders),
-        "fact_payment_summary": fact_payment_summary(silver),
-        "fact_shipment_performance": fact_shipment_performance(silver),
+        "dim_customers": lambda: dim_customers(silver, as_of, unique_orders),
+        "dim_products": lambda: dim_products(silver),
+        "dim_dates": lambda: dim_dates(silver, max_days),
+        "fact_sales": lambda: fact_sales(silver),
+        "fact_daily_revenue": lambda: fact_daily_revenue(silver, unique_orders),
+        "fact_payment_summary": lambda: fact_payment_summary(silver),
+        "fact_shipment_performance": lambda: fact_shipment_performance(silver),
     }
+
+
+def build_gold(
+    silver: Tables, as_of: dt.date, unique_orders: bool = False, max_days: int | None = None
+) -> dict[str, DataFrame]:
+    models = gold_models(silver, as_of, unique_orders, max_days)
+    return {name: build() for name, build in models.items()}

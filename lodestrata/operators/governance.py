@@ -7,6 +7,7 @@ and every report says how many rows stand behind a tag value.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,7 +16,7 @@ from pyspark.sql import functions as F
 from lodestrata.functions.columns import count_where
 from lodestrata.plans import tags as T
 
-Layers = dict[str, dict[str, DataFrame]]
+Layers = Mapping[str, Mapping[str, DataFrame]]
 
 DATABASE = "RETAIL"
 DETAIL_ROWS = 500

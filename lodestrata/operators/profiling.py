@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Mapping
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lodestrata.functions.columns import count_where, half_up, moment, or_zero
 
-Tables = dict[str, DataFrame]
+Tables = Mapping[str, DataFrame]
 
 
 def _long_form(df: DataFrame, name: str) -> DataFrame:

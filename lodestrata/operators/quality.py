@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Iterable
+from collections.abc import Iterable, Mapping
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -15,7 +15,7 @@ from lodestrata.plans import attachments as A
 from lodestrata.plans.contracts import CONTRACTS
 from lodestrata.plans.contracts import Column as Contract
 
-Layers = dict[str, dict[str, DataFrame]]
+Layers = Mapping[str, Mapping[str, DataFrame]]
 
 
 def _stacked(parts: Iterable[DataFrame]) -> DataFrame:
@@ -202,7 +202,7 @@ def _test_row(df: DataFrame, table: str, column: str, test: str) -> DataFrame:
 
 
 def schema_tests(
-    tables: dict[str, DataFrame], contracts: list[Contract] | None = None
+    tables: Mapping[str, DataFrame], contracts: list[Contract] | None = None
 ) -> DataFrame:
     """Failures of every declared column test.
 

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lodestrata.functions.columns import count_where, mean, sum_where
 
-Tables = dict[str, DataFrame]
+Tables = Mapping[str, DataFrame]
 
 TOP_PRODUCTS = 15
 NULL_ROWS = 15

@@ -7,7 +7,7 @@ All are narrow except the two that look up a parent column.
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -16,7 +16,7 @@ from lodestrata.functions.columns import (
     clean, clean_lower, clean_upper, days_between, decimal_pct, flag,
 )
 
-Tables = dict[str, DataFrame]
+Tables = Mapping[str, DataFrame]
 
 HIGH_VALUE_AMOUNT = 5000
 ACTIVE_TENURE_DAYS = 365
@@ -215,5 +215,5 @@ MODELS: dict[str, Callable[[Tables, dt.date], DataFrame]] = {
 }
 
 
-def build_silver(bronze: Tables, as_of: dt.date) -> Tables:
+def build_silver(bronze: Tables, as_of: dt.date) -> dict[str, DataFrame]:
     return {name: model(bronze, as_of) for name, model in MODELS.items()}

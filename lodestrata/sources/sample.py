@@ -14,7 +14,6 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
 
-SAMPLE_TABLES = ["nation", "customer", "part", "orders", "lineitem"]
 AS_OF = dt.date(2001, 8, 15)
 
 # Inputs and text of each feed, in build order.
@@ -131,12 +130,18 @@ FEEDS: dict[str, tuple[dict[str, str], str]] = {
 }
 
 
+def sample_feed(spark: SparkSession, sf_dir: str, feed: str) -> DataFrame:
+    """One Bronze feed over the sample tables in ``sf_dir``."""
+    inputs, text = FEEDS[feed]
+    frames = {
+        alias: sample_feed(spark, sf_dir, source[2:])
+        if source.startswith("b_")
+        else spark.read.parquet(f"{sf_dir}/{source}.parquet")
+        for alias, source in inputs.items()
+    }
+    return spark.sql(text.replace("{ts}", "timestamp_ntz"), **frames)
+
+
 def sample_bronze(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """The six Bronze feeds over the sample tables in ``sf_dir``."""
-    frames = {name: spark.read.parquet(f"{sf_dir}/{name}.parquet") for name in SAMPLE_TABLES}
-    bronze = {}
-    for feed, (inputs, text) in FEEDS.items():
-        used = {alias: frames[source] for alias, source in inputs.items()}
-        bronze[feed] = spark.sql(text.replace("{ts}", "timestamp_ntz"), **used)
-        frames[f"b_{feed}"] = bronze[feed]
-    return bronze
+    return {feed: sample_feed(spark, sf_dir, feed) for feed in FEEDS}
