@@ -18,6 +18,9 @@ from lodestrata.functions.columns import (
 
 Tables = Mapping[str, DataFrame]
 
+# Eighteen digits is the widest decimal kept as one long, in rows and in files.
+MONEY = "decimal(18,2)"
+
 HIGH_VALUE_AMOUNT = 5000
 ACTIVE_TENURE_DAYS = 365
 LOW_STOCK_UNITS = 100
@@ -107,12 +110,12 @@ def stg_order_items(bronze: Tables, as_of: dt.date | None = None) -> DataFrame:
             "quantity",
             "unit_price",
             discount.alias("discount"),
-            (gross - discount).alias("line_total"),
+            (gross - discount).cast(MONEY).alias("line_total"),
             F.when(gross > 0, decimal_pct(discount, gross))
             .otherwise(F.lit(0).cast("decimal(18,2)"))
             .alias("discount_pct"),
             (discount > 0).alias("is_discounted"),
-            (gross - discount - cost).alias("item_margin"),
+            (gross - discount - cost).cast(MONEY).alias("item_margin"),
         )
     )
 
