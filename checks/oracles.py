@@ -391,21 +391,34 @@ CTES["c_gold"] = _union([
 ])
 CTES["c_all"] = "select * from c_bronze union all select * from c_silver " \
                 "union all select * from c_gold"
+CTES["c_messages"] = """
+select gate, case when bool_and(passed) then 'GATE ' || gate || ' PASSED: '
+  || case gate when 1 then 'Bronze data validated for Silver promotion'
+       when 2 then 'Silver data validated for Gold promotion'
+       else 'Gold data certified for analytics consumption' end
+  else 'GATE ' || gate || ' FAILED (' || count(*) filter (where not passed) || ' checks): '
+    || string_agg(failure || ' ', '' order by check_no) filter (where not passed)
+  end as message
+from c_all group by gate
+"""
+TEXTS["medallion_run"] = _union(
+    f"select {no} as step_no, '{step}' as step, 'DONE' as status, {text} as message"
+    for no, (step, text) in enumerate([
+        ("bronze_gate", "(select message from c_messages where gate = 1)"),
+        ("bronze_profile", "'Bronze profiling complete'"),
+        ("silver_transform", "'Silver transformation completed successfully'"),
+        ("anomalies", "'Anomaly detection complete'"),
+        ("silver_gate", "(select message from c_messages where gate = 2)"),
+        ("gold_transform", "'Gold transformation completed successfully'"),
+        ("gold_enrichment", "'Gold enrichment complete'"),
+        ("gold_gate", "(select message from c_messages where gate = 3)"),
+    ], 1)
+)
 TEXTS.update(
     gate_bronze="select * from c_bronze",
     gate_silver="select * from c_silver",
     gate_gold="select * from c_gold",
-    gate_message="""
-        select gate, case when bool_and(passed) then 'GATE ' || gate || ' PASSED: '
-          || case gate when 1 then 'Bronze data validated for Silver promotion'
-               when 2 then 'Silver data validated for Gold promotion'
-               else 'Gold data certified for analytics consumption' end
-          else 'GATE ' || gate || ' FAILED (' || count(*) filter (where not passed)
-            || ' checks): '
-            || string_agg(failure || ' ', '' order by check_no) filter (where not passed)
-          end as message
-        from c_all group by gate
-    """,
+    gate_message="select * from c_messages",
 )
 _no_products = _union([
     "select 1 as step_no, 'silver_transform' as step, 'DONE' as status, "
@@ -573,7 +586,21 @@ def _per(tag: str, **keys: str) -> str:
 
 
 _types = ", ".join(f"('{tag}')" for tag in T.TABLE_TAGS)
+_allowed = ", ".join(
+    f"('{tag}', '{value}')" for tag, values in T.DEFINITIONS.items() for value in values
+)
 TEXTS.update(
+    tag_definitions=f"""
+        select d.tag_name, d.allowed_value, count(r.tag_name) as uses,
+          cast(coalesce(sum(r.row_count), 0) as bigint) as rows_covered
+        from (values {_allowed}) as d(tag_name, allowed_value) left join t_references as r
+          on r.tag_name = d.tag_name and r.tag_value = d.allowed_value
+        group by 1, 2
+    """,
+    tag_assignments="select * from t_references",
+    tag_validate=f"""
+        select * from t_references where (tag_name, tag_value) not in (values {_allowed})
+    """,
     tag_references="select * from t_references",
     tag_coverage=f"""
         select i.table_schema || '.' || i.table_name as full_name, k.tag_name,

@@ -51,9 +51,9 @@ class Planned(Mapping):
 class Layers:
     """The derived layers over one folder of sample tables."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
+    def __init__(self, spark: SparkSession, sf_dir: str, bronze=None):
         self.spark = spark
-        self.bronze = Planned(
+        self.bronze = bronze or Planned(
             {feed: (lambda f=feed: sample_feed(spark, sf_dir, f)) for feed in FEEDS}
         )
         self.silver = Planned({
@@ -201,6 +201,15 @@ def check_queries() -> dict:
 
 def governance_queries() -> dict:
     return dict(
+        tag_definitions=lambda x: governance.definition_use(
+            governance.tag_definitions(x.spark), x.references()
+        ),
+        tag_assignments=lambda x: governance.placed_assignments(
+            governance.tag_assignments(x.spark), x.inventory()
+        ),
+        tag_validate=lambda x: governance.tag_validate(
+            x.references(), governance.tag_definitions(x.spark)
+        ),
         tag_references=lambda x: x.references(),
         tag_coverage=lambda x: governance.tag_coverage(x.references(), x.inventory()),
         tag_distribution=lambda x: governance.tag_distribution(x.references()),
@@ -334,15 +343,18 @@ def _change_feed(x: Layers) -> DataFrame:
     """Consume the change feed of a table that is appended to in between."""
     lake = Lake(x.spark, fresh_dir(x.spark, "lake"))
     seen, checkpoint = f"{lake.root}/seen", fresh_dir(x.spark, "checkpoint")
+
+    def keep(batch: DataFrame, number: int) -> None:
+        # A batch that is repeated after a failure replaces its own folder.
+        batch.write.mode("overwrite").parquet(f"{seen}/batch={number}")
+
     feed = x.bronze["payments"]
     cut = F.col("payment_date") <= F.lit(EARLIER.date())
     for part in (feed.filter(cut), feed.filter(~cut)):
         lake.append_log(part, "bronze", "payments")
         stream = ingest.changes(x.spark, lake.path("bronze", "payments"), "payments")
-        ingest.consume_changes(
-            stream, checkpoint, lambda batch, _: batch.write.mode("append").parquet(seen)
-        )
-    return x.spark.read.schema(BRONZE["payments"]).parquet(seen)
+        ingest.consume_changes(stream, checkpoint, keep)
+    return x.spark.read.parquet(seen).select(BRONZE["payments"].names)
 
 
 def order_versions(x: Layers) -> tuple[DataFrame, DataFrame]:
@@ -437,9 +449,14 @@ def storage_queries() -> dict:
     )
 
 
-def all_queries() -> dict:
-    found = {
+def layer_queries() -> dict:
+    """The queries over given layers."""
+    return {
         **model_queries(), **check_queries(), **governance_queries(), **report_queries(),
         **storage_queries(),
     }
-    return {name: _on_layers(build) for name, build in found.items()}
+
+
+def all_queries() -> dict:
+    """The queries over a folder of sample tables."""
+    return {name: _on_layers(build) for name, build in layer_queries().items()}

@@ -14,18 +14,18 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-FAN_OUT = 1 << 21
-# Three rounds of 21 bits cover every range of non-negative longs.
-ROUNDS = 3
+ROUND_BITS = 16
+FAN_OUT = 1 << ROUND_BITS
 
 
-def order_statistics(values: DataFrame, ranks: dict[str, Column]) -> DataFrame:
+def order_statistics(values: DataFrame, ranks: dict[str, Column], bits: int = 63) -> DataFrame:
     """The value at each wanted rank of each group.
 
     ``values`` has columns ``grp`` and ``v`` (a long); NULL values are left
     out.  ``ranks`` maps a tag to a 0-based rank, written over ``total``, the
-    number of values in the group.  Returns ``grp, tag, v``; a rank outside
-    the group has no row.
+    number of values in the group.  Returns ``grp, tag, total, v``; a rank
+    outside the group has no row.  ``bits`` bounds the range of the values:
+    the greatest less the least is below ``2 ** bits``.
     """
     counts = values.filter(F.col("v").isNotNull()).groupBy("grp", "v").agg(
         F.count("*").alias("n")
@@ -38,23 +38,27 @@ def order_statistics(values: DataFrame, ranks: dict[str, Column]) -> DataFrame:
         for tag, rank in ranks.items()
     ])
     state = (
-        spans.select("grp", "lo", "hi", "total", F.inline(wanted))
+        spans.select("grp", "total", "lo", "hi", F.inline(wanted))
         .filter((F.col("k") >= 0) & (F.col("k") < F.col("total")))
-        .drop("total")
     )
-    for _ in range(ROUNDS):
+    for _ in range(-(-bits // ROUND_BITS)):
         state = _narrow(counts, state)
-    return state.select("grp", "tag", F.col("lo").alias("v"))
+    return state.select("grp", "tag", "total", F.col("lo").alias("v"))
 
 
 def _narrow(counts: DataFrame, state: DataFrame) -> DataFrame:
-    keys = ["grp", "tag", "k", "lo", "hi", "width"]
     state = state.withColumn("width", F.expr(f"(hi - lo) div {FAN_OUT} + 1"))
-    # ``state`` holds one row per group and tag, so it is safe to broadcast.
+    # One entry per group and tag.  Attached as a scalar, it costs no join.
+    entries = state.agg(F.collect_list(F.struct(*state.columns)).alias("entries")).scalar()
+    value, group = F.col("v"), F.col("grp")
     buckets = (
-        counts.join(F.broadcast(state), "grp")
-        .filter((F.col("v") >= F.col("lo")) & (F.col("v") <= F.col("hi")))
-        .groupBy(*keys, F.expr("(v - lo) div width").alias("bucket"))
+        counts.select("grp", "v", "n", entries.alias("entries"))
+        .select(
+            "v", "n",
+            F.inline(F.filter("entries", lambda e: (e["grp"] == group) & (e["lo"] <= value)
+                              & (value <= e["hi"]))),
+        )
+        .groupBy(*state.columns, F.expr("(v - lo) div width").alias("bucket"))
         .agg(F.sum("n").alias("n"))
     )
     # At most FAN_OUT rows per window partition.
@@ -66,6 +70,7 @@ def _narrow(counts: DataFrame, state: DataFrame) -> DataFrame:
         .select(
             "grp",
             "tag",
+            "total",
             (F.col("k") - (F.col("upto") - F.col("n"))).alias("k"),
             start.alias("lo"),
             F.least("hi", start + F.col("width") - 1).alias("hi"),

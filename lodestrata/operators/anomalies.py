@@ -41,17 +41,17 @@ def amount_quartiles(stg_orders: DataFrame) -> DataFrame:
     values = stg_orders.select(
         F.lit("amount").alias("grp"), (F.col("total_amount") * 100).cast("bigint").alias("v")
     )
-    found = order_statistics(values, ranks)
+    # The declared precision bounds the cents on both sides of zero.
+    widest = 2 * 10 ** stg_orders.schema["total_amount"].dataType.precision
+    found = order_statistics(values, ranks, min(63, widest.bit_length()))
 
     def at(tag):
         return F.max(F.when(F.col("tag") == tag, F.col("v")))
 
-    counted = values.agg(F.count("v").alias("n"))
-    row = found.agg(*[at(tag).alias(tag) for tag in ranks])
-    n = counted.scalar()
+    row = found.agg(F.max("total").alias("n"), *[at(tag).alias(tag) for tag in ranks])
 
     def quartile(tag, quarters):
-        quarter_steps = (n - 1) * quarters % 4
+        quarter_steps = (F.col("n") - 1) * quarters % 4
         step = (F.col(f"{tag}_hi") - F.col(f"{tag}_lo")) * quarter_steps
         return ((F.col(f"{tag}_lo") * 4 + step).cast("decimal(20,0)") * Decimal("0.0025")).cast(
             "decimal(20,4)"

@@ -82,6 +82,26 @@ def tag_references(
     )
 
 
+def placed_assignments(assignments: DataFrame, inventory: DataFrame) -> DataFrame:
+    """Every assignment with the rows of its table; NULL where the table is missing."""
+    sizes = inventory.select(
+        F.col("table_schema").alias("object_schema"), F.col("table_name").alias("object_name"),
+        "row_count",
+    )
+    return assignments.join(sizes, ["object_schema", "object_name"], "left")
+
+
+def definition_use(definitions: DataFrame, references: DataFrame) -> DataFrame:
+    """Every allowed value with the number of its uses and the rows they cover."""
+    used = references.groupBy("tag_name", F.col("tag_value").alias("allowed_value")).agg(
+        F.count("*").alias("uses"), F.sum("row_count").alias("rows_covered")
+    )
+    return definitions.join(used, ["tag_name", "allowed_value"], "left").select(
+        "tag_name", "allowed_value", F.coalesce("uses", F.lit(0)).alias("uses"),
+        F.coalesce("rows_covered", F.lit(0)).alias("rows_covered"),
+    )
+
+
 def _table_tags(references: DataFrame, tag: str) -> DataFrame:
     return references.filter((F.col("domain") == "TABLE") & (F.col("tag_name") == tag))
 

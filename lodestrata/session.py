@@ -28,6 +28,24 @@ def build_session(app: str, master: str | None = None, **extra: str) -> SparkSes
     return builder.getOrCreate()
 
 
+# Bytes one task should read or receive from a shuffle.
+TASK_BYTES = 200 * 1024 * 1024
+
+
+def sized_for(input_bytes: int) -> dict[str, str]:
+    """Settings for a given input size.
+
+    Shuffles start with enough partitions that each fits a task; adaptive
+    execution merges the ones that turn out small.
+    """
+    partitions = max(200, -(-input_bytes // TASK_BYTES))
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(TASK_BYTES),
+        "spark.sql.files.maxPartitionBytes": str(TASK_BYTES),
+    }
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach, as the cluster names it.
 

@@ -104,6 +104,14 @@ def test_calendar(staged):
     assert gold.dim_dates(staged, max_days=10).count() == 10
 
 
+def test_calendar_bound(spark, bronze):
+    rows = [(i, 1, day(d), "x", "web", money(1)) for i, d in enumerate(["2018-01-01", "2024-01-01"])]
+    bronze["orders"] = feed(spark, "orders", rows)
+    staged = build_silver(bronze, AS_OF)
+    assert gold.dim_dates(staged, max_days=gold.SPINE_DAYS).count() == 1500
+    assert gold.dim_dates(staged).count() == 2192
+
+
 @pytest.mark.parametrize("month, quarter", [(1, "FQ4"), (4, "FQ1"), (7, "FQ2"), (10, "FQ3")])
 def test_fiscal_quarters(spark, bronze, month, quarter):
     rows = [(1, 1, dt.datetime(2023, month, 15), "x", "web", money(1))]

@@ -4,8 +4,13 @@ import datetime as dt
 
 import pytest
 
+from checks.compare import differences, open_oracle
+from checks.sql_models import with_ctes
+from checks.oracles import TEXTS
 from lodestrata.plans import medallion
 from lodestrata.schemas import LAYERS
+from lodestrata.sources.sample import AS_OF as SAMPLE_DAY
+from lodestrata.sources.sample import sample_bronze
 from lodestrata.sources.tables import Lake
 from tests.conftest import AS_OF, NOW, ROWS, by, feed
 
@@ -71,3 +76,24 @@ def test_old_tables_stay_when_a_later_gate_fails(spark, lake):
     assert steps[5][1] == "SKIPPED" and steps[6][1] == "DONE"
     # Gold is the one of the first run, so the last gate sees the difference
     assert "dim_customers rows (3) != stg_customers rows (1)" in steps[7][2]
+
+
+def test_stored_tables_equal_the_oracle(spark, tmp_path):
+    """A whole run over the sample feeds, with the plain counts the gate allows."""
+    folder = "/root/testdata/sf0.001"
+    lake = Lake(spark, str(tmp_path / "lake"))
+    for name, df in sample_bronze(spark, folder).items():
+        lake.publish(df, "bronze", name)
+    noon = dt.datetime(2001, 8, 15, 12)
+    medallion.run_medallion(spark, lake.root, SAMPLE_DAY, noon, "run-2")
+    con = open_oracle(folder)
+    stored = [("silver", n, n) for n in LAYERS["silver"]] + [("gold", n, n) for n in LAYERS["gold"]]
+    stored += [
+        ("gold", "customer_rfm_scores", "rfm_scores"),
+        ("gold", "pipeline_run_summary", "run_summary"),
+        ("silver", "anomaly_flags", "anomaly_flags"),
+        ("bronze", "data_profile_log", "profile_table"),
+    ]
+    for layer, name, key in stored:
+        frame = lake.read(layer, name).drop("_loaded_at")
+        assert differences(frame, with_ctes(TEXTS[key]), con) == [], name
