@@ -18,7 +18,7 @@ from lodestrata.operators import (
 from lodestrata.plans import attachments as A
 from lodestrata.plans import medallion
 from lodestrata.schemas import BRONZE, LAYERS
-from lodestrata.session import fresh_dir
+from lodestrata.session import fresh_dir, tune
 from lodestrata.sources import csv_feed
 from lodestrata.sources.sample import AS_OF, FEEDS, sample_feed
 from lodestrata.sources.tables import Lake
@@ -52,7 +52,7 @@ class Layers:
     """The derived layers over one folder of sample tables."""
 
     def __init__(self, spark: SparkSession, sf_dir: str, bronze=None):
-        self.spark = spark
+        self.spark = tune(spark)
         self.bronze = bronze or Planned(
             {feed: (lambda f=feed: sample_feed(spark, sf_dir, f)) for feed in FEEDS}
         )

@@ -437,36 +437,46 @@ def sales_derived(silver: Tables) -> DataFrame:
     )
 
 
+def _only_orders(silver: Tables) -> DataFrame:
+    """The order of each customer who has just one.
+
+    The least and the greatest order id are equal exactly when there is one
+    distinct id, so no distinct count is needed.
+    """
+    return (
+        silver["stg_orders"]
+        .groupBy("customer_id")
+        .agg(F.min("order_id").alias("only_order"), F.max("order_id").alias("last_order"))
+        .filter(F.col("only_order") == F.col("last_order"))
+        .select("only_order", F.col("customer_id").alias("only_buyer"))
+    )
+
+
 def fact_sales(silver: Tables, slowest_by_rank: bool = False) -> DataFrame:
     """One row per staged order.
 
-    The customer columns come first, while the order rows are narrow: one
-    lookup row per ordering customer carries both the attributes and the
-    repeat flag, so the order table is shuffled on the customer once.  The
-    three reductions by order then join without another shuffle of theirs.
-    Two different order ids exist exactly when the least and the greatest
-    differ, so the repeat flag needs no distinct count.
+    The customer columns come first, while the order rows are narrow; both
+    sides of that join are plain tables, so Spark can split a customer with
+    very many orders.  Everything else joins on the order: the reductions
+    bring the partitioning with them, and the repeat flag asks whether the
+    order is its customer's only one instead of joining on the customer again.
     """
-    orders = silver["stg_orders"]
-    buyers = (
-        orders.groupBy("customer_id")
-        .agg((F.min("order_id") < F.max("order_id")).alias("is_repeat_customer"))
-        .join(
-            silver["stg_customers"].select(
-                "customer_id",
-                F.col("full_name").alias("customer_name"),
-                F.col("segment").alias("customer_segment"),
-                F.col("state").alias("customer_state"),
-                F.col("is_active").alias("is_active_customer"),
-            ),
-            "customer_id",
-            "left",
-        )
+    buyers = silver["stg_customers"].select(
+        "customer_id",
+        F.col("full_name").alias("customer_name"),
+        F.col("segment").alias("customer_segment"),
+        F.col("state").alias("customer_state"),
+        F.col("is_active").alias("is_active_customer"),
+    )
+    orders = silver["stg_orders"].drop("days_since_order").join(buyers, "customer_id", "left")
+    # The difference keeps the customer out of the join keys, which would
+    # otherwise move the orders once more.
+    same_order = (F.col("order_id") == F.col("only_order")) & (
+        F.col("customer_id") - F.col("only_buyer") == 0
     )
     net = or_zero("amount_paid") - or_zero("amount_refunded")
     return (
-        orders.drop("days_since_order")
-        .join(buyers, "customer_id", "left")
+        orders.join(_only_orders(silver), same_order, "left")
         .join(order_items_agg(silver), "order_id", "left")
         .join(payment_agg(silver), "order_id", "left")
         .join(shipment_info(silver, slowest_by_rank), "order_id", "left")
@@ -508,7 +518,7 @@ def fact_sales(silver: Tables, slowest_by_rank: bool = False) -> DataFrame:
             "slowest_shipping_speed",
             days_between("order_date", "first_ship_date").alias("days_to_ship"),
             days_between("order_date", "last_delivery_date").alias("days_to_deliver"),
-            flag(F.col("is_repeat_customer")).alias("is_repeat_customer"),
+            F.col("only_buyer").isNull().alias("is_repeat_customer"),
             F.trunc("order_date", "MONTH").alias("order_month"),
             F.trunc("order_date", "QUARTER").alias("order_quarter"),
             F.year("order_date").alias("order_year"),

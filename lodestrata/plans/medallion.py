@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from lodestrata.operators import anomalies, gates, gold, profiling, rfm, silver
 from lodestrata.schemas import LAYERS
+from lodestrata.session import tune
 from lodestrata.sources.tables import Lake
 
 # Models written at the same time; each write is a Spark job of its own.
@@ -57,7 +58,7 @@ def run_medallion(
     checks that order ids are unique, so the Gold models of a run that passed
     it use plain counts of orders.
     """
-    lake = Lake(spark, root)
+    lake = Lake(tune(spark), root)
     run_id = run_id or str(uuid.uuid4())
     steps: list[tuple] = []
 

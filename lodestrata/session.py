@@ -7,12 +7,18 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-# Settings the operators rely on.  Adaptive execution splits the partitions of
-# a hot join key at run time, from the measured shuffle sizes.
-SETTINGS = {
+# How the operators meet hot join keys: adaptive execution splits an oversized
+# shuffle partition among several tasks, from the measured sizes.  It must do so
+# even where the aggregate behind the join then needs a shuffle of its own.
+SKEW_SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+}
+
+SETTINGS = {
+    **SKEW_SETTINGS,
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
     "spark.ui.enabled": "false",
@@ -28,6 +34,13 @@ def build_session(app: str, master: str | None = None, **extra: str) -> SparkSes
     return builder.getOrCreate()
 
 
+def tune(spark: SparkSession) -> SparkSession:
+    """Give a session from elsewhere the settings the operators rely on."""
+    for key, value in SKEW_SETTINGS.items():
+        spark.conf.set(key, value)
+    return spark
+
+
 # Bytes one task should read or receive from a shuffle.
 TASK_BYTES = 200 * 1024 * 1024
 
