@@ -239,9 +239,12 @@ CTES["r_base"] = (
 CTES["r_cuts"] = f"select {_cuts('r', 'r')}, {_cuts('f', 'f')}, {_cuts('m', 'm')} from r_base"
 CTES["r_scored"] = """
 select customer_id,
-  5 - case when r <= r1 then 1 when r <= r2 then 2 when r <= r3 then 3 else 4 end as recency_score,
-  case when f <= f1 then 1 when f <= f2 then 2 when f <= f3 then 3 else 4 end as frequency_score,
-  case when m <= m1 then 1 when m <= m2 then 2 when m <= m3 then 3 else 4 end as monetary_score
+  cast(5 - case when r <= r1 then 1 when r <= r2 then 2 when r <= r3 then 3 else 4 end as bigint)
+    as recency_score,
+  cast(case when f <= f1 then 1 when f <= f2 then 2 when f <= f3 then 3 else 4 end as bigint)
+    as frequency_score,
+  cast(case when m <= m1 then 1 when m <= m2 then 2 when m <= m3 then 3 else 4 end as bigint)
+    as monetary_score
 from r_base, r_cuts
 """
 CTES["r_scores"] = f"""

@@ -32,7 +32,7 @@ def exact_pct(part: str, whole: str) -> str:
 
 
 def days(start: str, end: str) -> str:
-    return f"date_diff('day', cast({start} as date), cast({end} as date))"
+    return f"cast(date_diff('day', cast({start} as date), cast({end} as date)) as integer)"
 
 
 CTES: dict[str, str] = {
@@ -232,12 +232,12 @@ from s_orders
 """
 
 CTES["dim_dates"] = """
-select date_key, date_key as full_date, dayofweek(date_key) as day_of_week,
+select date_key, date_key as full_date, cast(dayofweek(date_key) as integer) as day_of_week,
   substr(dayname(date_key), 1, 3) as day_name, dayofweek(date_key) in (0, 6) as is_weekend,
-  day(date_key) as day_of_month, weekofyear(date_key) as week_of_year,
-  month(date_key) as month_num, substr(monthname(date_key), 1, 3) as month_name,
-  quarter(date_key) as quarter_num, 'Q' || quarter(date_key) as quarter_name,
-  year(date_key) as year_num,
+  cast(day(date_key) as integer) as day_of_month, cast(weekofyear(date_key) as integer) as week_of_year,
+  cast(month(date_key) as integer) as month_num, substr(monthname(date_key), 1, 3) as month_name,
+  cast(quarter(date_key) as integer) as quarter_num, 'Q' || quarter(date_key) as quarter_name,
+  cast(year(date_key) as integer) as year_num,
   case quarter(date_key) when 1 then 'FQ4' when 2 then 'FQ1' when 3 then 'FQ2' else 'FQ3' end
     as fiscal_quarter,
   cast(date_trunc('month', date_key) as date) as first_day_of_month,
@@ -302,7 +302,7 @@ select o.order_id, o.customer_id, c.full_name as customer_name, c.segment as cus
   coalesce(n.is_repeat_customer, false) as is_repeat_customer,
   cast(date_trunc('month', o.order_date) as date) as order_month,
   cast(date_trunc('quarter', o.order_date) as date) as order_quarter,
-  year(o.order_date) as order_year
+  cast(year(o.order_date) as integer) as order_year
 from s_orders as o
 left join s_customers as c on c.customer_id = o.customer_id
 left join g_order_items as i on i.order_id = o.order_id
@@ -318,7 +318,7 @@ select s.shipment_id, s.order_id, o.customer_id, c.segment as customer_segment,
   s.status as shipment_status, s.tracking_number, s.delivery_days, s.is_delayed, s.is_delivered,
   s.shipping_speed, {days('o.order_date', 's.ship_date')} as days_order_to_ship,
   {days('o.order_date', 's.delivery_date')} as days_order_to_delivery,
-  cast(date_trunc('month', s.ship_date) as date) as ship_month, year(s.ship_date) as ship_year
+  cast(date_trunc('month', s.ship_date) as date) as ship_month, cast(year(s.ship_date) as integer) as ship_year
 from s_shipments as s
 join s_orders as o on o.order_id = s.order_id
 left join s_customers as c on c.customer_id = o.customer_id
