@@ -321,7 +321,9 @@ def _files_match(x: Layers) -> DataFrame:
 
 def _typed(x: Layers) -> DataFrame:
     feed = x.bronze["order_items"]
-    texts = feed.select(*[F.col(c).cast("string").alias(f"c{i}") for i, c in enumerate(feed.columns)])
+    texts = feed.select(
+        *[F.col(c).cast("string").alias(f"c{i}") for i, c in enumerate(feed.columns)]
+    )
     return csv_feed.as_typed(texts, "order_items")
 
 
@@ -361,7 +363,8 @@ def order_versions(x: Layers) -> tuple[DataFrame, DataFrame]:
     """Orders as known at the earlier run, and today without the first years."""
     orders = x.bronze["orders"]
     placed = F.col("order_date")
-    open_status = F.when(placed >= F.lit(dt.date(2000, 12, 1)), "pending").otherwise(F.col("status"))
+    late = placed >= F.lit(dt.date(2000, 12, 1))
+    open_status = F.when(late, "pending").otherwise(F.col("status"))
     old = orders.filter(placed <= F.lit(EARLIER.date())).withColumn("status", open_status)
     new = orders.filter(placed >= F.lit(dt.date(1996, 1, 1)))
     return old, new

@@ -234,7 +234,8 @@ from s_orders
 CTES["dim_dates"] = """
 select date_key, date_key as full_date, cast(dayofweek(date_key) as integer) as day_of_week,
   substr(dayname(date_key), 1, 3) as day_name, dayofweek(date_key) in (0, 6) as is_weekend,
-  cast(day(date_key) as integer) as day_of_month, cast(weekofyear(date_key) as integer) as week_of_year,
+  cast(day(date_key) as integer) as day_of_month,
+  cast(weekofyear(date_key) as integer) as week_of_year,
   cast(month(date_key) as integer) as month_num, substr(monthname(date_key), 1, 3) as month_name,
   cast(quarter(date_key) as integer) as quarter_num, 'Q' || quarter(date_key) as quarter_name,
   cast(year(date_key) as integer) as year_num,
@@ -318,7 +319,8 @@ select s.shipment_id, s.order_id, o.customer_id, c.segment as customer_segment,
   s.status as shipment_status, s.tracking_number, s.delivery_days, s.is_delayed, s.is_delivered,
   s.shipping_speed, {days('o.order_date', 's.ship_date')} as days_order_to_ship,
   {days('o.order_date', 's.delivery_date')} as days_order_to_delivery,
-  cast(date_trunc('month', s.ship_date) as date) as ship_month, cast(year(s.ship_date) as integer) as ship_year
+  cast(date_trunc('month', s.ship_date) as date) as ship_month,
+  cast(year(s.ship_date) as integer) as ship_year
 from s_shipments as s
 join s_orders as o on o.order_id = s.order_id
 left join s_customers as c on c.customer_id = o.customer_id

@@ -408,7 +408,8 @@ def shipment_info(silver: Tables, slowest_by_rank: bool = False) -> DataFrame:
     slowest = F.max("shipping_speed")
     if slowest_by_rank:
         ranks = F.array(*[F.lit(s) for s in SPEED_ORDER])
-        slowest = F.element_at(ranks, F.max(F.array_position(ranks, F.col("shipping_speed"))).cast("int"))
+        last = F.max(F.array_position(ranks, F.col("shipping_speed")))
+        slowest = F.element_at(ranks, last.cast("int"))
     return silver["stg_shipments"].groupBy("order_id").agg(
         F.min("ship_date").alias("first_ship_date"),
         F.max("delivery_date").alias("last_delivery_date"),

@@ -96,14 +96,17 @@ def profile_tables(
 
 
 def _sketch(df: DataFrame, name: str) -> DataFrame:
+    def distincts(c):
+        null_counts_as_one = F.coalesce(F.max(F.col(c).isNull().cast("int")), F.lit(0))
+        return (F.approx_count_distinct(c) + null_counts_as_one).cast("bigint")
+
     cells = [
         F.struct(
             F.lit(name.upper()).alias("table_name"),
             F.lit(c.upper()).alias("column_name"),
             F.count("*").alias("rows"),
             count_where(F.col(c).isNull()).alias("nulls"),
-            (F.approx_count_distinct(c) + F.coalesce(F.max(F.col(c).isNull().cast("int")), F.lit(0)))
-            .cast("bigint").alias("distincts"),
+            distincts(c).alias("distincts"),
         )
         for c in df.columns
     ]

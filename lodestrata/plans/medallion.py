@@ -29,7 +29,8 @@ def gated_promote(message: str, gate: int, layer: str, build: Callable[[], None]
     """Build the next layer if the gate passed; otherwise skip it, without error."""
     if message.startswith(f"GATE {gate} PASSED"):
         build()
-        return f"{layer}_transform", "DONE", f"{layer.title()} transformation completed successfully"
+        done = f"{layer.title()} transformation completed successfully"
+        return f"{layer}_transform", "DONE", done
     skipped = f"{layer.title()} transformation SKIPPED: Gate {gate} did not pass. Result: {message}"
     return f"{layer}_transform", "SKIPPED", skipped
 

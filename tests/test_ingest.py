@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from lodestrata.operators.changes import snapshot_diff
 from lodestrata.schemas import BRONZE
-from lodestrata.session import fresh_dir, shared_dir
+from lodestrata.session import fresh_dir, shared_dir, sized_for
 from lodestrata.sources import csv_feed
 from lodestrata.sources.tables import Lake
 from lodestrata.streaming import ingest
@@ -187,3 +187,9 @@ def test_shared_folder_comes_from_the_session(spark):
     Conf.get = lambda self, key, default: default
     with pytest.raises(ValueError):
         shared_dir(Session)
+
+
+def test_settings_grow_with_the_input():
+    small, large = sized_for(10**9), sized_for(100 * 10**12)
+    assert small["spark.sql.shuffle.partitions"] == "200"
+    assert int(large["spark.sql.shuffle.partitions"]) == -(-100 * 10**12 // (200 * 1024 * 1024))
