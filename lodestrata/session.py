@@ -7,20 +7,21 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-# How the operators meet hot join keys: adaptive execution splits an oversized
-# shuffle partition among several tasks, from the measured sizes.  It must do so
-# even where the aggregate behind the join then needs a shuffle of its own.
-SKEW_SETTINGS = {
+# What the operators rely on.  Hot join keys: adaptive execution splits an
+# oversized shuffle partition among several tasks, from the measured sizes, even
+# where the aggregate behind the join then needs a shuffle of its own.  Overflow
+# of a number is an error and not a NULL.
+RELIED_ON = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    "spark.sql.ansi.enabled": "true",
 }
 
 SETTINGS = {
-    **SKEW_SETTINGS,
+    **RELIED_ON,
     "spark.sql.session.timeZone": "UTC",
-    "spark.sql.ansi.enabled": "true",
     "spark.ui.enabled": "false",
 }
 
@@ -36,7 +37,7 @@ def build_session(app: str, master: str | None = None, **extra: str) -> SparkSes
 
 def tune(spark: SparkSession) -> SparkSession:
     """Give a session from elsewhere the settings the operators rely on."""
-    for key, value in SKEW_SETTINGS.items():
+    for key, value in RELIED_ON.items():
         spark.conf.set(key, value)
     return spark
 

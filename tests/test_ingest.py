@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from lodestrata.operators.changes import snapshot_diff
 from lodestrata.schemas import BRONZE
-from lodestrata.session import fresh_dir, shared_dir, sized_for
+from lodestrata.session import fresh_dir, shared_dir, sized_for, tune
 from lodestrata.sources import csv_feed
 from lodestrata.sources.tables import Lake
 from lodestrata.streaming import ingest
@@ -193,3 +193,10 @@ def test_settings_grow_with_the_input():
     small, large = sized_for(10**9), sized_for(100 * 10**12)
     assert small["spark.sql.shuffle.partitions"] == "200"
     assert int(large["spark.sql.shuffle.partitions"]) == -(-100 * 10**12 // (200 * 1024 * 1024))
+
+
+def test_tune_sets_what_the_operators_rely_on(spark):
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    assert tune(spark) is spark
+    assert spark.conf.get("spark.sql.ansi.enabled") == "true"
+    assert spark.conf.get("spark.sql.adaptive.forceOptimizeSkewedJoin") == "true"
