@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
+import uuid
+import zipfile
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -17,10 +22,29 @@ BATCH_SETTINGS = {
 }
 
 
+_SHIPPED: set[str] = set()
+
+
 def prepare(spark: SparkSession) -> SparkSession:
-    """Bound the batches that Spark hands to Python; stays set on the session."""
+    """Bound the batches that Spark hands to Python, and give the workers this library.
+
+    The settings stay on the session.  The library goes to the workers as a zip
+    once per application, so they need not have it installed.
+    """
     for key, value in BATCH_SETTINGS.items():
         spark.conf.set(key, value)
+    app = spark.sparkContext.applicationId
+    if app not in _SHIPPED:
+        _SHIPPED.add(app)
+        root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+        packed = os.path.join(tempfile.mkdtemp(), "lodestrata.zip")
+        with zipfile.ZipFile(packed, "w") as out:
+            for folder, _, names in os.walk(os.path.join(root, "lodestrata")):
+                for name in sorted(names):
+                    if name.endswith(".py"):
+                        path = os.path.join(folder, name)
+                        out.write(path, os.path.relpath(path, root))
+        spark.sparkContext.addPyFile(packed)
     return spark
 
 
@@ -46,8 +70,6 @@ def write_file(uri: str, parts: list[bytes]) -> None:
     Two attempts of one task may run at a time (speculation), so each writes
     under a name of its own.
     """
-    import uuid
-
     store, path = open_store(uri)
     store.create_dir(path.rsplit("/", 1)[0], recursive=True)
     beside = f"{path}.{uuid.uuid4().hex}.tmp"
