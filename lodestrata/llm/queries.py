@@ -6,20 +6,23 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lodestrata.llm import simple8b
+from lodestrata.llm import packing, separators, simple8b
 from lodestrata.llm.common import read_table
 from lodestrata.llm.tokens import word_vocabulary
 
 
-def _simple8b(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return simple8b.op7_token_output(
-        spark, read_table(spark, sf_dir, "documents"), word_vocabulary()
+def _on_documents(operator, *more):
+    """A query that gives an operator the whole table of documents."""
+    return lambda spark, sf_dir: operator(
+        spark, read_table(spark, sf_dir, "documents"), *(x() for x in more)
     )
 
 
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
-        "op7_simple8b": _simple8b,
+        "op2_packing": _on_documents(packing.op2_packing, word_vocabulary),
+        "op7_simple8b": _on_documents(simple8b.op7_token_output, word_vocabulary),
+        "op9_token_counts": _on_documents(separators.op9_token_counts, word_vocabulary),
     }
 
 

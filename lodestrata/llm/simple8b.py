@@ -32,7 +32,7 @@ BITS = np.array([1, 2, 3, 4, 5, 6, 7, 8, 10, 12, 15, 20, 30, 32, 60, 0], np.int6
 ESCAPE = 15
 BLOCK = 1024
 MAGIC, VERSION = b"LSS8", 1
-FILE_IDS = 8_000_000
+FILE_IDS = 4_000_000
 SHORT = np.frexp(np.arange(1 << 16, dtype=np.float64))[1].astype(np.uint8)
 
 
