@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lodestrata.llm import packing, separators, simple8b
+from lodestrata.llm import packing, separators, simple8b, warc
 from lodestrata.llm.common import read_table
 from lodestrata.llm.tokens import word_vocabulary
 
@@ -21,10 +21,13 @@ def _on_documents(operator, *more):
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_packing": _on_documents(packing.op2_packing, word_vocabulary),
+        "op5_warc": lambda spark, sf_dir: warc.op5_warc(spark, read_table(spark, sf_dir, "pages")),
         "op7_simple8b": _on_documents(simple8b.op7_token_output, word_vocabulary),
         "op9_token_counts": _on_documents(separators.op9_token_counts, word_vocabulary),
     }
 
 
 def llm_oracles() -> dict[str, str]:
-    return {}
+    return {
+        "op5_warc": warc.OP5_SQL,
+    }
