@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lodestrata.llm import packing, separators, simple8b, warc
+from lodestrata.llm import language_id, packing, separators, simple8b, toxicity, warc
 from lodestrata.llm.common import read_table
 from lodestrata.llm.tokens import word_vocabulary
 
@@ -23,7 +23,11 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_packing": _on_documents(packing.op2_packing, word_vocabulary),
         "op5_warc": lambda spark, sf_dir: warc.op5_warc(spark, read_table(spark, sf_dir, "pages")),
         "op7_simple8b": _on_documents(simple8b.op7_token_output, word_vocabulary),
+        "op8_toxicity": lambda spark, sf_dir: toxicity.op8_toxicity(
+            spark, read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
+        ),
         "op9_token_counts": _on_documents(separators.op9_token_counts, word_vocabulary),
+        "op10_language_id": _on_documents(language_id.op10_language_id),
     }
 
 
