@@ -95,17 +95,25 @@ def pack(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         at, ends = at[going], ends[going]
     spots = np.flatnonzero(begins)
     words = np.zeros(len(spots), np.uint64)
-    room = np.concatenate([padded, np.zeros(60, np.uint64)])
+    # The last word of a block may hold fewer ids than its selector says.
     stops = np.minimum((spots // BLOCK + 1) * BLOCK, n)
+    kind = chosen[spots]
+    short = spots + COUNTS[kind] > stops
+    room = np.concatenate([padded, np.zeros(60, np.uint64)])
     for selector in range(16):
-        mine = np.flatnonzero(chosen[spots] == selector)
-        if not len(mine):
-            continue
-        first, word = spots[mine], np.full(len(mine), selector << 60, np.uint64)
-        for k in range(int(COUNTS[selector])):
-            value = np.where(first + k < stops[mine], room[first + k], np.uint64(0))
-            word |= value << np.uint64(k * int(BITS[selector]))
-        words[mine] = word
+        bits = int(BITS[selector])
+        for cut in (False, True):
+            mine = np.flatnonzero((kind == selector) & (short == cut))
+            if not len(mine):
+                continue
+            first = spots[mine]
+            word = room[first] | np.uint64(selector << 60)
+            for k in range(1, int(COUNTS[selector])):
+                value = room[first + k]
+                if cut:
+                    value[first + k >= stops[mine]] = 0
+                word |= value << np.uint64(k * bits)
+            words[mine] = word
     starts = np.searchsorted(spots, np.arange(blocks) * BLOCK)
     return words, starts.astype(np.uint64), escapes
 

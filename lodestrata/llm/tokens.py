@@ -26,7 +26,7 @@ class TextEncoder:
     that may hold the name of a special token, is encoded directly.
     """
 
-    def __init__(self, path: str, special_as_text: bool = False, max_words: int = 500_000):
+    def __init__(self, path: str, special_as_text: bool = False, max_words: int = 1_200_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -43,7 +43,11 @@ class TextEncoder:
             [x["type"] for x in kinds] == ["NFC", "Replace", "Lowercase"]
             and splits[0].get("pattern", {}).get("Regex") == WORD_SPLIT
             and splits[0].get("behavior") == "Removed"
+            and parts["model"].get("end_of_word_suffix") == "</w>"
         )
+        names = self._tokenizer.get_vocab()
+        self._is_end = np.zeros(max(names.values()) + 1, bool)
+        self._is_end[[i for x, i in names.items() if x.endswith("</w>")]] = True
 
     def _direct(self, texts: list[bytes]) -> list[bytes]:
         found = []
@@ -53,24 +57,57 @@ class TextEncoder:
             found += [np.array(x.ids, "<u4").tobytes() for x in coded]
         return found
 
+    def _words(self, words: list[bytes]) -> None:
+        """Learn the ids of words.
+
+        Words of letters alone are encoded many at a time: each ends with an id
+        that ends a word, and holds no other such id.
+        """
+        letters, rest = [], []
+        for word in words:
+            text = word.decode("utf-8", "replace")
+            (letters if text.isalpha() else rest).append((word, text))
+        for spot in range(0, len(letters), 4096):
+            part = letters[spot: spot + 4096]
+            coded = self._tokenizer.encode_batch_fast(
+                [" ".join([x[1] for x in part])], add_special_tokens=False
+            )
+            ids = np.array(coded[0].ids, "<u4")
+            ends = (np.flatnonzero(self._is_end[ids]) + 1) * 4
+            if len(ends) != len(part):
+                rest += part
+                continue
+            raw, at = ids.tobytes(), 0
+            for (word, _), end in zip(part, ends.tolist()):
+                self._known[word] = raw[at:end]
+                at = end
+        self._known.update(zip([x[0] for x in rest], self._direct([x[0] for x in rest])))
+
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """The ids of each text, as bytes."""
         if not self._by_word:
             return self._direct(texts)
-        words, known = [], self._known
+        if len(self._known) > self._max_words:
+            self._known.clear()
+        found, missing, open_ = [], set(), []
+        get = self._known.get
         for text in texts:
-            whole = any(mark in text for mark in self._special)
-            words.append(None if whole else TAIL.sub(b" ", text.lower()).split())
-        new = list(set().union(*(x for x in words if x)).difference(known))
-        if len(known) + len(new) > self._max_words:
-            known.clear()
-            new = list(set().union(*(x for x in words if x)))
-        known.update(zip(new, self._direct(new)))
-        one = known.__getitem__
-        return [
-            self._direct([text])[0] if x is None else b"".join(map(one, x))
-            for text, x in zip(texts, words)
-        ]
+            if any(mark in text for mark in self._special):
+                found.append(self._direct([text]))
+                continue
+            words = TAIL.sub(b" ", text.lower()).split()
+            parts = list(map(get, words))
+            if None in parts:
+                missing.update([w for w, x in zip(words, parts) if x is None])
+                open_.append((len(found), words))
+                parts = None
+            found.append(parts)
+        if missing:
+            self._words(list(missing))
+            one = self._known.__getitem__
+            for spot, words in open_:
+                found[spot] = list(map(one, words))
+        return [b"".join(x) for x in found]
 
 
 @lru_cache(maxsize=4)
