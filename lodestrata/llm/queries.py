@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lodestrata.llm import language_id, packing, separators, simple8b, toxicity, warc
+from lodestrata.llm import (
+    decision_list, language_id, packing, separators, simple8b, toxicity, warc,
+)
 from lodestrata.llm.common import read_table
 from lodestrata.llm.tokens import word_vocabulary
 
@@ -21,6 +23,9 @@ def _on_documents(operator, *more):
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_packing": _on_documents(packing.op2_packing, word_vocabulary),
+        "op4_quality_rules": lambda spark, sf_dir: decision_list.op4_quality(
+            spark, read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
+        ),
         "op5_warc": lambda spark, sf_dir: warc.op5_warc(spark, read_table(spark, sf_dir, "pages")),
         "op7_simple8b": _on_documents(simple8b.op7_token_output, word_vocabulary),
         "op8_toxicity": lambda spark, sf_dir: toxicity.op8_toxicity(
