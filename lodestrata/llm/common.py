@@ -101,6 +101,14 @@ def column_bytes(array) -> tuple[np.ndarray, np.ndarray]:
     return raw[offsets[0]: offsets[-1]], offsets - offsets[0]
 
 
-def texts_of(array) -> list[bytes]:
-    """A text column as byte strings; null as empty."""
-    return [x or b"" for x in array.cast(pa.binary()).to_pylist()]
+def grouped(batches, size: int = 8 << 20):
+    """Batches joined up to about ``size`` bytes, so that work is done on many rows at once."""
+    held, total = [], 0
+    for batch in batches:
+        held.append(batch)
+        total += batch.nbytes
+        if total >= size:
+            yield pa.concat_batches(held)
+            held, total = [], 0
+    if held:
+        yield pa.concat_batches(held)

@@ -26,8 +26,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lodestrata.llm.common import stored, texts_of
-from lodestrata.llm.tokens import encoder
+from lodestrata.llm.common import column_bytes, grouped, stored
+from lodestrata.llm.tokens import encoder, with_end
 
 CAPACITY = 4096
 GROUPS = 256          # sizes that stay after rounding
@@ -46,24 +46,29 @@ def cut_pieces(
     schema = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        code, end = encoder(vocabulary), np.array([end_id], "<u4").tobytes()
-        step = 4 * capacity
-        for batch in batches:
-            rows = []
-            for doc, coded in zip(batch["doc_id"].to_pylist(), code.encode(texts_of(batch["text"]))):
-                whole = coded + end
-                for piece, at in enumerate(range(0, len(whole), step)):
-                    part = whole[at: at + step]
-                    row = (doc, piece, at // 4, len(part) // 4, zlib.crc32(part))
-                    rows.append(row + (np.frombuffer(part, "<u4"),) if ids else row)
-            kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()]
+        code = encoder(vocabulary)
+        for batch in grouped(batches):
+            coded, counts = code.encode(*column_bytes(batch["text"]))
+            coded, counts = with_end(coded, counts, end_id)
+            # Each text's ids in steps of the capacity, the rest last.
+            number = -(-counts // capacity)
+            of = np.repeat(np.arange(len(counts)), number)
+            piece = np.arange(len(of)) - np.repeat(np.cumsum(number) - number, number)
+            start = piece * capacity
+            length = np.minimum(counts[of] - start, capacity)
+            first = np.repeat(np.cumsum(counts) - counts, number) + start
+            raw = memoryview(coded).cast("B")
+            cuts = list(zip((4 * first).tolist(), (4 * (first + length)).tolist()))
+            columns = [
+                batch["doc_id"].take(pa.array(of)), pa.array(piece.astype(np.int32)),
+                pa.array(start), pa.array(length), pa.array([zlib.crc32(raw[a:b]) for a, b in cuts]),
+            ]
+            names = ["doc_id", "piece", "start", "length", "ids_crc32"]
             if ids:
-                kinds.append(pa.list_(pa.int64()))
-            columns = list(zip(*rows)) or [[] for _ in kinds]
-            names = ["doc_id", "piece", "start", "length", "ids_crc32", "ids"][: len(kinds)]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(x, k) for x, k in zip(columns, kinds)], names
-            )
+                bounds = np.concatenate([[0], np.cumsum(length)]).astype(np.int32)
+                columns.append(pa.ListArray.from_arrays(bounds, pa.array(coded.astype(np.int64))))
+                names.append("ids")
+            yield pa.RecordBatch.from_arrays(columns, names)
 
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(
         run, schema + (", ids array<long>" if ids else "")

@@ -17,8 +17,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lodestrata.llm.common import open_store, read_file, stored, texts_of, write_file
-from lodestrata.llm.tokens import encoder
+from lodestrata.llm.common import column_bytes, grouped, open_store, read_file, stored, write_file
+from lodestrata.llm.tokens import encoder, with_end
 from lodestrata.session import fresh_dir
 
 END_ID = 49407           # the vocabulary's own end of text, which texts can't produce
@@ -45,24 +45,24 @@ def write_flat(
         part, number, held = TaskContext.get().partitionId(), 0, 0
         code = encoder(vocabulary, special_as_text=True)
         kind, names, coded = f"<u{width}", [], []
-        end = np.array([end_id], kind).tobytes()
 
         def flush() -> pa.RecordBatch:
             file = f"{part:08d}-{number:06d}.tokens"
             write_file(f"{folder}/{file}", coded)
+            ids = pa.concat_arrays(names)
             return pa.RecordBatch.from_arrays(
-                [pa.array([file] * len(names)), pa.array(range(len(names)), pa.int64()),
-                 pa.array(names, pa.int64())], ["file", "ordinal", "doc_id"],
+                [pa.array([file] * len(ids)), pa.array(np.arange(len(ids))), ids],
+                ["file", "ordinal", "doc_id"],
             )
 
-        for batch in batches:
-            for doc, ids in zip(batch["doc_id"].to_pylist(), code.encode(texts_of(batch["text"]))):
-                names.append(doc)
-                flat = np.frombuffer(ids, "<u4")
-                if len(flat) and int(flat.max()) >> 8 * width:
-                    raise ValueError(f"an id doesn't fit into {width} bytes")
-                coded += [flat.astype(kind).tobytes(), end]
-                held += len(flat) + 1
+        for batch in grouped(batches):
+            ids, counts = code.encode(*column_bytes(batch["text"]))
+            if len(ids) and int(ids.max()) >> 8 * width:
+                raise ValueError(f"an id doesn't fit into {width} bytes")
+            ids, _ = with_end(ids, counts, end_id)
+            names.append(batch["doc_id"])
+            coded.append(ids.astype(kind).tobytes())
+            held += len(ids)
             if held >= file_tokens:
                 yield flush()
                 names, coded, held, number = [], [], 0, number + 1

@@ -19,11 +19,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestrata.llm.common import read_file, stored, texts_of, write_file
-from lodestrata.llm.tokens import encoder
+from lodestrata.llm.common import column_bytes, grouped, read_file, stored, write_file
+from lodestrata.llm.tokens import encoder, with_end
 from lodestrata.session import fresh_dir
 
 # Fixed values of the coding: ids per word and their bits, by selector; 15 is the escape.
@@ -143,7 +144,7 @@ def unpack(words: np.ndarray, starts: np.ndarray, escapes: np.ndarray, n: int) -
     return ids
 
 
-def file_parts(doc_ids: list[int], counts: list[int], ids: np.ndarray) -> list[bytes]:
+def file_parts(doc_ids: np.ndarray, counts: np.ndarray, ids: np.ndarray) -> list[bytes]:
     """The parts of one file, in order."""
     words, starts, escapes = pack(ids.astype(np.uint64))
     head = np.array([VERSION, len(doc_ids), len(ids), len(words), len(escapes)], "<u8")
@@ -188,25 +189,28 @@ def write_packed(
         from pyspark import TaskContext
 
         part, number = TaskContext.get().partitionId(), 0
-        code, end = encoder(vocabulary), np.array([end_id], "<u4").tobytes()
-        names, counts, coded, held = [], [], [], 0
+        code, names, counts, coded, held = encoder(vocabulary), [], [], [], 0
 
         def flush() -> pa.RecordBatch:
             name = f"{part:08d}-{number:06d}.s8b"
-            ids = np.frombuffer(b"".join(coded), "<u4")
-            write_file(f"{folder}/{name}", file_parts(names, counts, ids))
-            row = {"file": [name], "docs": [len(names)], "ids": [len(ids)]}
-            return pa.RecordBatch.from_pydict(row)
-
-        for batch in batches:
-            for doc, ids in zip(batch["doc_id"].to_pylist(), code.encode(texts_of(batch["text"]))):
-                names.append(-(1 << 63) if doc is None else doc)
-                coded.append(ids + end)
-                counts.append(len(coded[-1]) // 4)
-                held += counts[-1]
-                if held >= file_ids:
-                    yield flush()
-                    names, counts, coded, held, number = [], [], [], 0, number + 1
+            size = np.concatenate(counts)
+            write_file(
+                f"{folder}/{name}", file_parts(np.concatenate(names), size, np.concatenate(coded))
+            )
+            return pa.RecordBatch.from_pydict(
+                {"file": [name], "docs": [len(size)], "ids": [int(size.sum())]}
+            )
+
+        for batch in grouped(batches):
+            ids, count = code.encode(*column_bytes(batch["text"]))
+            ids, count = with_end(ids, count, end_id)
+            names.append(pc.fill_null(batch["doc_id"], -(1 << 63)).to_numpy())
+            counts.append(count)
+            coded.append(ids)
+            held += len(ids)
+            if held >= file_ids:
+                yield flush()
+                names, counts, coded, held, number = [], [], [], 0, number + 1
         if names:
             yield flush()
 

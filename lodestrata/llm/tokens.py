@@ -4,31 +4,76 @@ from __future__ import annotations
 
 import json
 import os
-import re
+import unicodedata
 from functools import lru_cache
 
 import numpy as np
 
-# What marks a tokenizer that drops white space and cuts letters
+# Fixed value: the pattern of tokenizers that drop white space and cut letters
 # from other signs, so that the ids of a text are those of its words in order.
 WORD_SPLIT = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
 
-# Full stops and commas that end a word never share a token with the letter before.
-TAIL = re.compile(rb"(?<=[a-z])(?=[,.]+(?:[\t-\r ]|\Z))")
+LOWER = np.arange(256, dtype=np.uint8)
+LOWER[65:91] += 32
+BLANK = np.zeros(256, bool)
+BLANK[[32, 9, 10, 11, 12, 13]] = True
+LETTER = np.zeros(256, bool)
+LETTER[65:91] = LETTER[97:123] = True
+STOP = np.zeros(256, bool)
+STOP[[44, 46]] = True
+LOW_BYTES = np.array([(1 << 8 * k) - 1 for k in range(8)] + [(1 << 64) - 1], np.uint64)
+ODD = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F))
+
+
+def word_bounds(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where words begin and end; none crosses from one text to the next.
+
+    Words are what white space separates; a full stop or comma after a letter
+    begins a new one, as letters and such signs never share a token.
+    """
+    n = len(data)
+    blank = BLANK[data]
+    first = np.zeros(n + 1, bool)
+    first[offsets[:-1]] = True
+    first[n] = True
+    begin = ~blank
+    cut = STOP[data[1:]] & LETTER[data[:-1]]
+    begin[1:] &= blank[:-1] | first[1:n] | cut
+    end = ~blank
+    end[:-1] &= blank[1:] | first[1:n] | begin[1:]
+    return np.flatnonzero(begin), np.flatnonzero(end) + 1
+
+
+def word_hashes(data: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64-bit hashes of byte ranges, eight bytes at a time."""
+    room = np.concatenate([data, np.zeros(8, np.uint8)])
+    eight = np.lib.stride_tricks.sliding_window_view(room, 8)
+    size = ends - begins
+    found = size.astype(np.uint64) * ODD[1]
+    rest, at = np.arange(len(begins)), begins
+    left = size
+    while len(rest):
+        part = eight[at].view(np.uint64).ravel() & LOW_BYTES[np.minimum(left, 8)]
+        mixed = (found[rest] ^ part) * ODD[0]
+        found[rest] = (mixed ^ (mixed >> np.uint64(29))) * ODD[1]
+        more = left > 8
+        rest, at, left = rest[more], at[more] + 8, left[more] - 8
+    return found ^ (found >> np.uint64(32))
 
 
 class TextEncoder:
-    """Little-endian unsigned 32-bit ids of texts, no special tokens added.
+    """Ids of texts, no special tokens added.
 
-    For tokenizers that drop white space, a text's ids are the ids of its words,
-    so words are encoded once and looked up after that; the store of words is
-    emptied when ``max_words`` is reached.  Any other tokenizer, and any text
-    that may hold the name of a special token, is encoded directly.
+    For tokenizers that drop white space, a text's ids are the ids of its words.
+    The words of a batch are told apart by their hashes, each distinct one is
+    looked up, and only those not met before are encoded; the store of words is
+    emptied when it holds ``max_words``.  Any other tokenizer, and any text that
+    may hold the name of a special token, is encoded directly.
     """
 
-    def __init__(self, path: str, special_as_text: bool = False, max_words: int = 1_200_000):
+    def __init__(self, path: str, special_as_text: bool = False, max_words: int = 1_000_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self._tokenizer = Tokenizer.from_file(path)
         self._tokenizer.encode_special_tokens = special_as_text
@@ -38,76 +83,111 @@ class TextEncoder:
             parts = json.load(file)
         kinds = (parts.get("normalizer") or {}).get("normalizers", [])
         splits = (parts.get("pre_tokenizer") or {}).get("pretokenizers", [{}])
-        self._special = [x["content"].encode()[:2] for x in parts.get("added_tokens", [])]
+        self._special = [x["content"].encode()[:2].lower() for x in parts.get("added_tokens", [])]
         self._by_word = (
             [x["type"] for x in kinds] == ["NFC", "Replace", "Lowercase"]
             and splits[0].get("pattern", {}).get("Regex") == WORD_SPLIT
             and splits[0].get("behavior") == "Removed"
+            and [x["type"] for x in splits] == ["Split", "ByteLevel"]
             and parts["model"].get("end_of_word_suffix") == "</w>"
         )
-        names = self._tokenizer.get_vocab()
-        self._is_end = np.zeros(max(names.values()) + 1, bool)
-        self._is_end[[i for x, i in names.items() if x.endswith("</w>")]] = True
+        if self._by_word:
+            names = self._tokenizer.get_vocab()
+            self._is_end = np.zeros(max(names.values()) + 1, bool)
+            self._is_end[[i for x, i in names.items() if x.endswith("</w>")]] = True
+            # For words of letters, which the normal form and the pattern leave as they are.
+            self._plain = Tokenizer(self._tokenizer.model)
+            self._plain.pre_tokenizer = pre_tokenizers.Sequence([
+                pre_tokenizers.Split(" ", "removed"),
+                pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False),
+            ])
 
     def _direct(self, texts: list[bytes]) -> list[bytes]:
         found = []
-        for spot in range(0, len(texts), 8192):
-            part = [x.decode("utf-8", "replace") for x in texts[spot: spot + 8192]]
+        for spot in range(0, len(texts), 4096):
+            part = [x.decode("utf-8", "replace") for x in texts[spot: spot + 4096]]
             coded = self._tokenizer.encode_batch_fast(part, add_special_tokens=False)
             found += [np.array(x.ids, "<u4").tobytes() for x in coded]
         return found
 
-    def _words(self, words: list[bytes]) -> None:
-        """Learn the ids of words.
+    def _learn(self, words: list[bytes]) -> None:
+        """Note the ids of words.
 
         Words of letters alone are encoded many at a time: each ends with an id
         that ends a word, and holds no other such id.
         """
-        letters, rest = [], []
+        letters, names, rest = [], [], []
         for word in words:
             text = word.decode("utf-8", "replace")
-            (letters if text.isalpha() else rest).append((word, text))
+            if word.isalpha() or (
+                text.isalpha() and text == text.lower() and unicodedata.is_normalized("NFC", text)
+            ):
+                letters.append(text)
+                names.append(word)
+            else:
+                rest.append(word)
         for spot in range(0, len(letters), 4096):
-            part = letters[spot: spot + 4096]
-            coded = self._tokenizer.encode_batch_fast(
-                [" ".join([x[1] for x in part])], add_special_tokens=False
-            )
+            part = slice(spot, spot + 4096)
+            coded = self._plain.encode_batch_fast([" ".join(letters[part])], add_special_tokens=False)
             ids = np.array(coded[0].ids, "<u4")
             ends = (np.flatnonzero(self._is_end[ids]) + 1) * 4
-            if len(ends) != len(part):
-                rest += part
+            if len(ends) != len(names[part]):
+                rest += names[part]
                 continue
-            raw, at = ids.tobytes(), 0
-            for (word, _), end in zip(part, ends.tolist()):
-                self._known[word] = raw[at:end]
-                at = end
-        self._known.update(zip([x[0] for x in rest], self._direct([x[0] for x in rest])))
-
-    def encode(self, texts: list[bytes]) -> list[bytes]:
-        """The ids of each text, as bytes."""
-        if not self._by_word:
-            return self._direct(texts)
+            raw, ends = ids.tobytes(), ends.tolist()
+            self._known.update(zip(names[part], [raw[a:b] for a, b in zip([0, *ends], ends)]))
+        self._known.update(zip(rest, self._direct(rest)))
+
+    def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts one after the other (unsigned 32-bit), and how many each has.
+
+        Texts are given as all their bytes and n + 1 offsets.
+        """
+        texts = len(offsets) - 1
+        if not len(data):
+            return np.zeros(0, "<u4"), np.zeros(texts, np.int64)
+        raw = data.tobytes()
+        marked = any(mark in raw.lower() for mark in self._special)
+        if not self._by_word or marked:
+            each = [raw[a:b] for a, b in zip(offsets[:-1], offsets[1:])]
+            if not self._by_word:
+                coded = self._direct(each)
+            else:
+                coded = [
+                    self._direct([x])[0] if any(m in x.lower() for m in self._special)
+                    else self.encode(np.frombuffer(x, np.uint8), np.array([0, len(x)]))[0].tobytes()
+                    for x in each
+                ]
+            return np.frombuffer(b"".join(coded), "<u4"), np.array([len(x) // 4 for x in coded])
+        low = LOWER[data]
+        begins, ends = word_bounds(low, offsets)
+        _, first, which = np.unique(
+            word_hashes(low, begins, ends), return_index=True, return_inverse=True
+        )
+        raw = low.tobytes()
+        words = [raw[a:b] for a, b in zip(begins[first].tolist(), ends[first].tolist())]
         if len(self._known) > self._max_words:
             self._known.clear()
-        found, missing, open_ = [], set(), []
-        get = self._known.get
-        for text in texts:
-            if any(mark in text for mark in self._special):
-                found.append(self._direct([text]))
-                continue
-            words = TAIL.sub(b" ", text.lower()).split()
-            parts = list(map(get, words))
-            if None in parts:
-                missing.update([w for w, x in zip(words, parts) if x is None])
-                open_.append((len(found), words))
-                parts = None
-            found.append(parts)
-        if missing:
-            self._words(list(missing))
-            one = self._known.__getitem__
-            for spot, words in open_:
-                found[spot] = list(map(one, words))
-        return [b"".join(x) for x in found]
+        known = self._known
+        new = [x for x in words if x not in known]
+        if new:
+            self._learn(new)
+        values = [known[x] for x in words]
+        sizes = np.fromiter(map(len, values), np.int64, len(values)) // 4
+        flat = np.frombuffer(b"".join(values), "<u4")
+        starts = np.cumsum(sizes) - sizes
+        count = sizes[which]
+        stop = np.cumsum(count)
+        spots = np.repeat(starts[which] - (stop - count), count) + np.arange(stop[-1] if len(stop) else 0)
+        before = np.concatenate([[0], stop])
+        return flat[spots], np.diff(before[np.searchsorted(begins, offsets)])
+
+
+def with_end(ids: np.ndarray, counts: np.ndarray, end_id: int) -> tuple[np.ndarray, np.ndarray]:
+    """Put the end id after each text."""
+    out = np.full(len(ids) + len(counts), end_id, "<u4")
+    out[np.arange(len(ids)) + np.repeat(np.arange(len(counts)), counts)] = ids
+    return out, counts + 1
 
 
 @lru_cache(maxsize=4)
