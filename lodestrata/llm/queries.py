@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from lodestrata.llm import (
-    decision_list, language_id, packing, separators, simple8b, toxicity, warc,
+    decision_list, decontamination, language_id, packing, separators, simple8b, toxicity, warc,
 )
 from lodestrata.llm.common import read_table
 from lodestrata.llm.tokens import word_vocabulary
@@ -22,6 +22,9 @@ def _on_documents(operator, *more):
 
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_decontamination": lambda spark, sf_dir: decontamination.op1_decontamination(
+            spark, read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark")
+        ),
         "op2_packing": _on_documents(packing.op2_packing, word_vocabulary),
         "op4_quality_rules": lambda spark, sf_dir: decision_list.op4_quality(
             spark, read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
