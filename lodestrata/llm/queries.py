@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from lodestrata.llm import (
-    decision_list, decontamination, language_id, packing, separators, simple8b, toxicity, warc,
+    decision_list, decontamination, jaccard_join, language_id, packing, separators, simple8b, toxicity, warc,
 )
 from lodestrata.llm.common import read_table
 from lodestrata.llm.tokens import word_vocabulary
@@ -30,6 +30,7 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             spark, read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
         ),
         "op5_warc": lambda spark, sf_dir: warc.op5_warc(spark, read_table(spark, sf_dir, "pages")),
+        "op6_jaccard_join": _on_documents(jaccard_join.op6_jaccard_join),
         "op7_simple8b": _on_documents(simple8b.op7_token_output, word_vocabulary),
         "op8_toxicity": lambda spark, sf_dir: toxicity.op8_toxicity(
             spark, read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
