@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from lodestrata.llm import (
-    decision_list, decontamination, jaccard_join, language_id, packing, separators, simple8b, toxicity, warc,
+    decision_list, decontamination, jaccard_join, language_id, packing, separators, simple8b, suffix_dedup, toxicity, warc,
 )
 from lodestrata.llm.common import read_table
 from lodestrata.llm.tokens import word_vocabulary
@@ -26,6 +26,7 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             spark, read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark")
         ),
         "op2_packing": _on_documents(packing.op2_packing, word_vocabulary),
+        "op3_suffix_dedup": _on_documents(suffix_dedup.op3_suffix_dedup),
         "op4_quality_rules": lambda spark, sf_dir: decision_list.op4_quality(
             spark, read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
         ),
