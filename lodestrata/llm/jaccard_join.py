@@ -399,3 +399,13 @@ def similar_documents(docs: DataFrame) -> DataFrame:
 def op6_jaccard_join(spark, docs: DataFrame) -> DataFrame:
     """Components of five-word shingle sets at similarity 0.8 over all documents."""
     return similar_documents(docs)
+
+
+def one_per_group(docs: DataFrame) -> DataFrame:
+    """The documents without those that are linked to a smaller id, with all their columns.
+
+    Documents without words stay, and so do rows without an id.
+    """
+    later = similar_documents(docs).filter("doc_id != component_id").select(F.col("doc_id").alias("_gone")).distinct()
+    known = docs.filter("doc_id is not null").join(later, F.col("doc_id") == F.col("_gone"), "left_anti")
+    return known.unionByName(docs.filter("doc_id is null"))
