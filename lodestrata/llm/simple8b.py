@@ -31,9 +31,12 @@ from lodestrata.session import fresh_dir
 COUNTS = np.array([60, 30, 20, 15, 12, 10, 8, 7, 6, 5, 4, 3, 2, 1, 1, 1], np.int64)
 BITS = np.array([1, 2, 3, 4, 5, 6, 7, 8, 10, 12, 15, 20, 30, 32, 60, 0], np.int64)
 ESCAPE = 15
+SHORT_SELECTOR = 13  # up to here, ids of 32 bits at most
 BLOCK = 1024
 MAGIC, VERSION = b"LSS8", 1
-FILE_IDS = 4_000_000
+FILE_IDS = 16_000_000   # ids after which a file is closed
+SEGMENT = 512 * BLOCK   # ids that are packed or unpacked at once
+BATCH_BYTES = 4 << 20   # of texts that are encoded at once
 SHORT = np.frexp(np.arange(1 << 16, dtype=np.float64))[1].astype(np.uint8)
 
 
@@ -62,8 +65,11 @@ def _widths(ids: np.ndarray) -> np.ndarray:
     return np.where(high > 0, high + 32, low).astype(np.uint8)
 
 
-def pack(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Words, the first word of each block and the escapes of unsigned 64-bit ids."""
+def pack(ids: np.ndarray, escaped: int = 0) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Words, the first word of each block and the escapes of unsigned 64-bit ids.
+
+    ``escaped`` is the number of escapes that the file has already.
+    """
     n = len(ids)
     if not n:
         return np.zeros(0, np.uint64), np.zeros(0, np.uint64), np.zeros(0, np.uint64)
@@ -72,7 +78,7 @@ def pack(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     padded[:n] = ids
     large = padded >> np.uint64(60) != 0
     escapes = padded[large]
-    padded[large] = np.arange(len(escapes), dtype=np.uint64)
+    padded[large] = np.arange(escaped, escaped + len(escapes), dtype=np.uint64)
     widths = _widths(padded)
     widths[large] = 61  # fits no plain selector
     # Runs end with their block.
@@ -120,7 +126,7 @@ def pack(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def unpack(words: np.ndarray, starts: np.ndarray, escapes: np.ndarray, n: int) -> np.ndarray:
-    """The ids that ``pack`` was given."""
+    """The ids that ``pack`` was given; ``starts`` counts from the first of these words."""
     if not n:
         return np.zeros(0, np.uint64)
     selector = (words >> np.uint64(60)).astype(np.int64)
@@ -144,15 +150,57 @@ def unpack(words: np.ndarray, starts: np.ndarray, escapes: np.ndarray, n: int) -
     return ids
 
 
-def file_parts(doc_ids: np.ndarray, counts: np.ndarray, ids: np.ndarray) -> list[bytes]:
-    """The parts of one file, in order."""
-    words, starts, escapes = pack(ids.astype(np.uint64))
-    head = np.array([VERSION, len(doc_ids), len(ids), len(words), len(escapes)], "<u8")
-    return [
-        MAGIC, head.tobytes(), np.array(doc_ids, "<i8").tobytes(),
-        np.array(counts, "<u8").tobytes(), starts.astype("<u8").tobytes(),
-        words.astype("<u8").tobytes(), escapes.astype("<u8").tobytes(),
-    ]
+def unpack_all(words: np.ndarray, starts: np.ndarray, escapes: np.ndarray, n: int) -> np.ndarray:
+    """As ``unpack``, some blocks at a time; 32-bit numbers where all ids fit."""
+    wide = len(words) and int(words.max() >> np.uint64(60)) > SHORT_SELECTOR
+    ids = np.empty(n, np.uint64 if wide else np.uint32)
+    stops = np.append(starts, len(words)).astype(np.int64)
+    for block in range(0, len(starts), SEGMENT // BLOCK):
+        some = stops[block: block + SEGMENT // BLOCK + 1]
+        first = block * BLOCK
+        size = min(n - first, SEGMENT)
+        ids[first: first + size] = unpack(
+            words[some[0]: some[-1]], some[:-1] - some[0], escapes, size
+        )
+    return ids
+
+
+class FilePacker:
+    """Packs the ids of a file as they come, holding the packed words only."""
+
+    def __init__(self):
+        self.doc_ids, self.counts, self.ids = [], [], 0
+        self._rest = np.zeros(0, np.uint64)
+        self._words, self._starts, self._escapes = [], [], []
+        self._sizes = [0, 0]
+
+    def add(self, doc_ids: np.ndarray, counts: np.ndarray, ids: np.ndarray) -> None:
+        """Documents, their numbers of ids and all these ids in order."""
+        self.doc_ids.append(doc_ids)
+        self.counts.append(counts)
+        self.ids += len(ids)
+        room = np.concatenate([self._rest, ids.astype(np.uint64)])
+        whole = len(room) // BLOCK * BLOCK
+        self._pack(room[:whole])
+        self._rest = room[whole:]
+
+    def _pack(self, ids: np.ndarray) -> None:
+        for spot in range(0, len(ids), SEGMENT):
+            words, starts, escapes = pack(ids[spot: spot + SEGMENT], self._sizes[1])
+            self._words.append(words)
+            self._starts.append(starts + np.uint64(self._sizes[0]))
+            self._escapes.append(escapes)
+            self._sizes = [self._sizes[0] + len(words), self._sizes[1] + len(escapes)]
+
+    def parts(self) -> list[bytes]:
+        """The parts of the file, in order."""
+        self._pack(self._rest)
+        self._rest = self._rest[:0]
+        docs = sum(map(len, self.doc_ids))
+        head = np.array([VERSION, docs, self.ids, *self._sizes], "<u8")
+        lists = [(self.doc_ids, "<i8"), (self.counts, "<u8"), (self._starts, "<u8"),
+                 (self._words, "<u8"), (self._escapes, "<u8")]
+        return [MAGIC, head.tobytes(), *(x.astype(kind).tobytes() for xs, kind in lists for x in xs)]
 
 
 def parse_file(raw: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -169,7 +217,7 @@ def parse_file(raw: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         parts.append(np.frombuffer(raw, kind, size, at))
         at += 8 * size
     doc_ids, counts, starts, words, escapes = parts
-    return doc_ids, counts.astype(np.int64), unpack(words, starts, escapes, n)
+    return doc_ids, counts.astype(np.int64), unpack_all(words, starts, escapes, n)
 
 
 def write_packed(
@@ -189,29 +237,21 @@ def write_packed(
         from pyspark import TaskContext
 
         part, number = TaskContext.get().partitionId(), 0
-        code, names, counts, coded, held = encoder(vocabulary), [], [], [], 0
+        code, file = encoder(vocabulary), FilePacker()
 
         def flush() -> pa.RecordBatch:
             name = f"{part:08d}-{number:06d}.s8b"
-            size = np.concatenate(counts)
-            write_file(
-                f"{folder}/{name}", file_parts(np.concatenate(names), size, np.concatenate(coded))
-            )
-            return pa.RecordBatch.from_pydict(
-                {"file": [name], "docs": [len(size)], "ids": [int(size.sum())]}
-            )
-
-        for batch in grouped(batches):
-            ids, count = code.encode(*column_bytes(batch["text"]))
-            ids, count = with_end(ids, count, end_id)
-            names.append(pc.fill_null(batch["doc_id"], -(1 << 63)).to_numpy())
-            counts.append(count)
-            coded.append(ids)
-            held += len(ids)
-            if held >= file_ids:
+            write_file(f"{folder}/{name}", file.parts())
+            docs = sum(map(len, file.doc_ids))
+            return pa.RecordBatch.from_pydict({"file": [name], "docs": [docs], "ids": [file.ids]})
+
+        for batch in grouped(batches, BATCH_BYTES):
+            ids, counts = with_end(*code.encode(*column_bytes(batch["text"])), end_id)
+            file.add(pc.fill_null(batch["doc_id"], -(1 << 63)).to_numpy(), counts, ids)
+            if file.ids >= file_ids:
                 yield flush()
-                names, counts, coded, held, number = [], [], [], 0, number + 1
-        if names:
+                file, number = FilePacker(), number + 1
+        if file.doc_ids:
             yield flush()
 
     ordered = docs.select(F.col("doc_id").cast("long"), "text").repartitionByRange("doc_id")
