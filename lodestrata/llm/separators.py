@@ -154,6 +154,7 @@ def op9_token_counts(spark: SparkSession, docs: DataFrame, vocabulary: str) -> D
     """
     folder = fresh_dir(spark, "flat-tokens")
     where = write_flat(docs, vocabulary, folder)
-    return count_tokens(spark, folder).join(where, ["file", "ordinal"]).select(
+    # Estimates don't see how many rows a block's ends become; neither side may be broadcast.
+    return count_tokens(spark, folder).join(where.hint("merge"), ["file", "ordinal"]).select(
         "doc_id", "n_tokens", "file", "ordinal", "start"
     )
