@@ -12,6 +12,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructField, StructType
 
 from lodestrata.session import fresh_dir
 
@@ -112,3 +113,15 @@ def grouped(batches, size: int = 8 << 20):
             held, total = [], 0
     if held:
         yield pa.concat_batches(held)
+
+
+def spare_name(df: DataFrame, name: str) -> str:
+    """A column name that the frame doesn't have."""
+    while name in df.columns:
+        name += "_"
+    return name
+
+
+def nullable(schema: StructType) -> StructType:
+    """The schema of rows that went through Python."""
+    return StructType([StructField(x.name, x.dataType) for x in schema])

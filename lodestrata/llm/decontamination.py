@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lodestrata.llm.common import column_bytes, grouped
+from lodestrata.llm.common import column_bytes, grouped, nullable
 
 Q = 10
 EDIT_RATE = 0.06           # edits allowed for each byte of an item
@@ -256,7 +256,7 @@ def benchmark_passages(docs: DataFrame, items: DataFrame) -> DataFrame:
 
 def drop_contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
     """The documents without a passage of any item, with all their columns."""
-    schema, names = docs.schema, docs.columns
+    schema, names = nullable(docs.schema), docs.columns
     for index in item_blocks(items):
 
         def run(batches: Iterator[pa.RecordBatch], index=index) -> Iterator[pa.RecordBatch]:

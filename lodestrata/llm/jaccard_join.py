@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lodestrata.llm.common import column_bytes, grouped, stored
+from lodestrata.llm.common import column_bytes, grouped, spare_name, stored
 from lodestrata.llm.components import connected
 from lodestrata.llm.shingles import mixed, shingle_sets
 
@@ -406,6 +406,7 @@ def one_per_group(docs: DataFrame) -> DataFrame:
 
     Documents without words stay, and so do rows without an id.
     """
-    later = similar_documents(docs).filter("doc_id != component_id").select(F.col("doc_id").alias("_gone")).distinct()
-    known = docs.filter("doc_id is not null").join(later, F.col("doc_id") == F.col("_gone"), "left_anti")
+    gone = spare_name(docs, "_gone")
+    later = similar_documents(docs).filter("doc_id != component_id").select(F.col("doc_id").alias(gone)).distinct()
+    known = docs.filter("doc_id is not null").join(later, F.col("doc_id") == F.col(gone), "left_anti")
     return known.unionByName(docs.filter("doc_id is null"))

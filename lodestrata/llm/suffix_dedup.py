@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lodestrata.llm.bwt import GRAM, chains_of, gram_hashes, merged_order
-from lodestrata.llm.common import column_bytes, grouped, stored
+from lodestrata.llm.common import column_bytes, grouped, nullable, spare_name, stored
 from lodestrata.llm.tokens import word_hashes
 
 MATCH = 100                 # bytes of a match; a multiple of the gram of the transforms
@@ -276,7 +276,7 @@ def compared(found: DataFrame, texts: DataFrame, limit: int = MOST_CONTEXTS) ->
     return merged.unionByName(split)
 
 
-def repeat_spans(docs: DataFrame, texts: DataFrame, limit: int = MOST_CONTEXTS) -> DataFrame:
+def repeat_spans(texts: DataFrame, limit: int = MOST_CONTEXTS) -> DataFrame:
     """``doc_id spans``: for each document with repeats, arrays of their start and length (may overlap)."""
     found = sort_out(contexts(texts))
     whole = found.filter("repeat").select(
@@ -312,7 +312,7 @@ def repeat_digests(docs: DataFrame, limit: int = MOST_CONTEXTS) -> DataFrame:
     apply to all, as far as they reach.
     """
     texts = known_texts(docs)
-    joined = texts.join(repeat_spans(docs, texts, limit), "doc_id", "left").select("doc_id", "text", "spans")
+    joined = texts.join(repeat_spans(texts, limit), "doc_id", "left").select("doc_id", "text", "spans")
     nameless = docs.filter("doc_id is null").select(
         F.lit(None).cast("long").alias("doc_id"), "text",
         F.lit(None).cast("array<struct<start:int,length:int>>").alias("spans"),
@@ -344,23 +344,26 @@ def repeat_digests(docs: DataFrame, limit: int = MOST_CONTEXTS) -> DataFrame:
 
 
 def without_repeats(docs: DataFrame) -> DataFrame:
-    """The documents with repeated passages taken out of ``text``, and ``n_chars`` set anew.
+    """The documents with repeated passages taken out of ``text``, and ``n_chars`` of those set anew.
 
     Of a character only part of which is covered all is kept, so texts stay valid.  A
     document of which nothing is left is dropped; one that was empty stays.
     """
     texts = known_texts(docs)
-    spans = repeat_spans(docs, texts).withColumnRenamed("doc_id", "_id").withColumnRenamed("spans", "_spans")
-    joined = docs.join(spans, docs["doc_id"] == spans["_id"], "left").drop("_id")
-    names, schema = docs.columns, docs.schema
+    key, cover = spare_name(docs, "_id"), spare_name(docs, "_spans")
+    spans = repeat_spans(texts).select(F.col("doc_id").alias(key), F.col("spans").alias(cover))
+    joined = docs.join(spans, F.col("doc_id") == F.col(key), "left").drop(key)
+    names, schema = docs.columns, nullable(docs.schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            kept, keep = [], []
-            for text, spans in zip(batch["text"], batch["_spans"].to_pylist()):
+            kept, keep, sizes = [], [], []
+            before = batch["n_chars"].to_pylist() if "n_chars" in names else [None] * batch.num_rows
+            for text, spans, size in zip(batch["text"], batch[cover].to_pylist(), before):
                 if not spans or not text.is_valid:
                     kept.append(text.as_py())
                     keep.append(True)
+                    sizes.append(size)
                     continue
                 raw = text.as_buffer().to_pybytes()
                 parts, at = [], 0
@@ -374,12 +377,13 @@ def without_repeats(docs: DataFrame) -> DataFrame:
                 left = (b"".join(parts) + raw[at:]).decode("utf-8", "replace")
                 kept.append(left)
                 keep.append(bool(left))
+                sizes.append(len(left))
             columns = []
             for name in names:
                 if name == "text":
                     columns.append(pa.array(kept, batch["text"].type))
                 elif name == "n_chars":
-                    columns.append(pa.array([None if x is None else len(x) for x in kept]).cast(batch["n_chars"].type))
+                    columns.append(pa.array(sizes, batch["n_chars"].type))
                 else:
                     columns.append(batch[name])
             yield pa.RecordBatch.from_arrays(columns, names).filter(pa.array(keep, pa.bool_()))

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lodestrata.llm.common import stored
+from lodestrata.llm.common import nullable, stored
 
 SAMPLE_ROWS = 20_000   # labelled rows that the classifier is fitted on, at most (about)
 FEATURES = 2048        # features that it may use, at most
@@ -238,7 +238,7 @@ def score_toxicity(docs: DataFrame, model: Classifier) -> DataFrame:
 
 def drop_toxic(docs: DataFrame, model: Classifier, limit: float = 0.5) -> DataFrame:
     """The documents that score below the limit, with all their columns."""
-    schema, names = docs.schema, docs.columns
+    schema, names = nullable(docs.schema), docs.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -189,6 +189,8 @@ class _Stream:
         while (at := self._held.find(mark, seen)) < 0:
             seen = max(0, len(self._held) - len(mark))
             if not self._more():
+                if self._held.strip():
+                    raise ValueError("a record is cut off")
                 return None
         found = bytes(self._held[:at])
         del self._held[: at + len(mark)]
