@@ -111,10 +111,12 @@ TEXTS["profile_table"] = "select * from l_profile"
 TEXTS["profile_log_read"] = (
     "select table_name, column_name, metric, metric_value, profiled_at from l_profile_log"
 )
-TEXTS["rpt_latest_profile"] = """
-select table_name, column_name, metric, metric_value from l_profile_log
-where profile_run_id = (select profile_run_id from l_profile_log order by profiled_at desc limit 1)
-"""
+# The newest of the two runs in the log.
+TEXTS["rpt_latest_profile"] = "select table_name, column_name, metric, metric_value from l_profile"
+TEXTS["profile_table_approx"] = (
+    "select * replace (case metric when 'DISTINCT_COUNT' then 'near' else metric_value end "
+    "as metric_value) from l_profile"
+)
 TEXTS["rpt_profile_rows"] = (
     "select table_name, cast(metric_value as bigint) as row_count from l_profile "
     "where metric = 'ROW_COUNT'"
@@ -273,14 +275,14 @@ def _counts(run: str, ts: str, tables: list[tuple[str, str, str | None]]) -> str
     )
 
 
-_ALL_TABLES = [(layer, name, cte) for (layer, name), cte in CTE_OF.items()]
-TEXTS["run_summary"] = _counts(
-    RUN, NOW, [*_ALL_TABLES, ("gold", "customer_rfm_scores", "r_scores")]
-)
+_ALL_TABLES = [
+    *((layer, name, cte) for (layer, name), cte in CTE_OF.items()),
+    ("gold", "customer_rfm_scores", "r_scores"),
+]
+TEXTS["run_summary"] = _counts(RUN, NOW, _ALL_TABLES)
 CTES["l_runs"] = _union([
     _counts(EARLIER_RUN, EARLIER,
-            [("bronze", n, EARLIER_OF[n]) for n in LAYERS["bronze"]]
-            + [("gold", n, None) for n in LAYERS["gold"]]),
+            [(layer, n, EARLIER_OF[n] if layer == "bronze" else None) for layer, n, _ in _ALL_TABLES]),
     _counts(RUN, NOW, _ALL_TABLES),
 ])
 TEXTS["rpt_latest_run"] = """
@@ -471,10 +473,9 @@ TEXTS.update(
 CTES["l_metrics"] = _union(
     text
     for a in A.ATTACHMENTS
-    if a[0] == "bronze"
     for text in (
         _now_metric(*a),
-        _metric(*a, EARLIER_OF[a[1]], "e_customers", EARLIER),
+        *([_metric(*a, EARLIER_OF[a[1]], "e_customers", EARLIER)] if a[0] == "bronze" else []),
     )
 )
 CTES["l_latest"] = """
@@ -554,10 +555,21 @@ TEXTS["schema_tests"] = _column_tests()
 
 # --------------------------------------------------------------- governance
 
+# Rows that two runs leave in the logs, whatever the data: three per column and one per
+# table in the profile, and one per table in the run log.
+_PROFILE_ROWS = 2 * sum(3 * len(schema.names) + 1 for schema in BRONZE.values())
+_LOGS = [
+    ("bronze", "data_profile_log", f"(select 1 from range({_PROFILE_ROWS})) as p"),
+    ("silver", "anomaly_flags", "a_flag_log"),
+    ("gold", "pipeline_run_summary", f"(select 1 from range({2 * len(_ALL_TABLES)})) as p"),
+]
 CTES["t_inventory"] = _union(
     f"select '{layer.upper()}' as table_schema, '{name.upper()}' as table_name, "
     f"count(*) as row_count from {cte}"
-    for layer, name, cte in _ALL_TABLES
+    for layer, name, cte in [*_ALL_TABLES, *_LOGS]
+)
+TEXTS["src_inventory"] = TEXTS["inventory_report"] = (
+    "select *, true as has_size, true as has_time from t_inventory"
 )
 _tag_rows = [
     f"('{tag}', '{value}', 'RETAIL', '{layer}', '{table}', 'TABLE', null)"

@@ -17,7 +17,7 @@ from lodestrata.operators import (
 )
 from lodestrata.plans import attachments as A
 from lodestrata.plans import medallion
-from lodestrata.schemas import BRONZE, LAYERS
+from lodestrata.schemas import BRONZE, LAYERS, LOG_TABLES
 from lodestrata.session import fresh_dir, tune
 from lodestrata.sources import csv_feed
 from lodestrata.sources.sample import AS_OF, FEEDS, sample_feed
@@ -48,11 +48,15 @@ class Planned(Mapping):
         return len(self._builders)
 
 
+# Where the stored layers and logs of a folder of sample tables are, by application and folder.
+_STORED: dict[tuple[str, str], str] = {}
+
+
 class Layers:
     """The derived layers over one folder of sample tables."""
 
     def __init__(self, spark: SparkSession, sf_dir: str, bronze=None):
-        self.spark = tune(spark)
+        self.spark, self.sf_dir = tune(spark), sf_dir
         self.bronze = bronze or Planned(
             {feed: (lambda f=feed: sample_feed(spark, sf_dir, f)) for feed in FEEDS}
         )
@@ -70,40 +74,83 @@ class Layers:
             known[table] = known[table].filter(F.col(column) <= F.lit(EARLIER.date()))
         return known
 
+    def lake(self) -> Lake:
+        """Stored layers and logs of two runs over the whole tables, written once per application.
+
+        The earlier run has Bronze alone.  Reports on logs and on the inventory read these
+        tables, as they would after any run, and plan no model anew.
+        """
+        key = (self.spark.sparkContext.applicationId, self.sf_dir)
+        if key not in _STORED:
+            lake = Lake(self.spark, fresh_dir(self.spark, "stored"))
+            bronze = {n: lake.publish(df, "bronze", n) for n, df in self.bronze.items()}
+            staged = silver.build_silver(bronze, AS_OF)
+            staged = {n: lake.publish(df, "silver", n) for n, df in staged.items()}
+            built = gold.gold_models(staged, AS_OF)
+            built = {n: lake.publish(build(), "gold", n) for n, build in built.items()}
+            self._log_runs(lake, Layers(self.spark, self.sf_dir, bronze), staged, built)
+            _STORED[key] = lake.root
+        return Lake(self.spark, _STORED[key])
+
+    def _log_runs(self, lake: Lake, x: Layers, staged: dict, built: dict) -> None:
+        now = {"bronze": x.bronze, "silver": staged, "gold": built}
+        scores = lake.publish(
+            rfm.rfm_scores(built["dim_customers"], NOW), "gold", "customer_rfm_scores")
+        before = {"bronze": x.earlier_bronze()}
+        at_bronze = [a for a in A.ATTACHMENTS if a[0] == "bronze"]
+        missing = {n: {t: None for t in (*LAYERS[n], *(["customer_rfm_scores"] * (n == "gold")))}
+                   for n in ("silver", "gold")}
+        for log, layer, first, second in (
+            ("data_profile_log", "bronze", profiling.profile_tables(before["bronze"], EARLIER_RUN, EARLIER),
+             profiling.profile_tables(x.bronze, RUN, NOW)),
+            ("anomaly_flags", "silver",
+             anomalies.anomaly_flags(staged, EARLIER.date(), EARLIER_RUN, EARLIER),
+             anomalies.anomaly_flags(staged, AS_OF, RUN, NOW)),
+            ("metric_results", "governance", quality.dq_suite(before, EARLIER, at_bronze),
+             quality.dq_suite(now, NOW)),
+            ("pipeline_run_summary", "gold",
+             profiling.run_summary({**before, **missing}, EARLIER_RUN, EARLIER),
+             profiling.run_summary({**now, "gold": {**built, "customer_rfm_scores": scores}}, RUN, NOW)),
+        ):
+            lake.append_log(first, layer, log)
+            lake.append_log(second, layer, log)
+
+    def stored(self) -> dict[str, dict[str, DataFrame]]:
+        """The three layers as stored."""
+        lake = self.lake()
+        return {layer: {n: lake.read(layer, n) for n in names} for layer, names in LAYERS.items()}
+
     def flags(self) -> DataFrame:
         return anomalies.anomaly_flags(self.silver, AS_OF, RUN, NOW)
 
     def flag_log(self) -> DataFrame:
         """Flags of two runs."""
-        before = anomalies.anomaly_flags(self.silver, EARLIER.date(), EARLIER_RUN, EARLIER)
-        return before.unionByName(self.flags())
+        return self.lake().read("silver", "anomaly_flags")
+
+    def latest_flags(self) -> DataFrame:
+        return self.flag_log().filter(F.col("detected_at") == F.lit(NOW).cast("timestamp_ntz"))
 
     def scores(self) -> DataFrame:
         return rfm.rfm_scores(self.gold["dim_customers"], NOW)
 
     def profile_log(self) -> DataFrame:
         """Profiles of two runs."""
-        before = profiling.profile_tables(self.earlier_bronze(), EARLIER_RUN, EARLIER)
-        return before.unionByName(profiling.profile_tables(self.bronze, RUN, NOW))
+        return self.lake().read("bronze", "data_profile_log")
 
     def metric_log(self) -> DataFrame:
-        """Bronze metrics of two runs."""
-        chosen = [a for a in A.ATTACHMENTS if a[0] == "bronze"]
-        before = quality.dq_suite({"bronze": self.earlier_bronze()}, EARLIER, chosen)
-        return before.unionByName(quality.dq_suite({"bronze": self.bronze}, NOW, chosen))
+        """Metrics of two runs: all attachments in the second, those of Bronze in the first."""
+        return self.lake().read("governance", "metric_results")
 
     def run_log(self) -> DataFrame:
-        """Row counts of two runs; Gold is missing in the first."""
-        before = {
-            "bronze": self.earlier_bronze(),
-            "gold": {name: None for name in LAYERS["gold"]},
-        }
-        return profiling.run_summary(before, EARLIER_RUN, EARLIER).unionByName(
-            profiling.run_summary(self.all, RUN, NOW)
-        )
+        """Row counts of two runs; the first has Bronze alone."""
+        return self.lake().read("gold", "pipeline_run_summary")
+
+    def stored_tables(self) -> DataFrame:
+        """Rows, bytes and times of all stored tables, logs included."""
+        return self.lake().inventory({n: [*LAYERS[n], *LOG_TABLES[n]] for n in LAYERS})
 
     def inventory(self) -> DataFrame:
-        return governance.measured_inventory(self.all)
+        return self.stored_tables().select("table_schema", "table_name", "row_count")
 
     def references(self) -> DataFrame:
         return governance.tag_references(
@@ -111,7 +158,7 @@ class Layers:
         )
 
     def personal(self) -> DataFrame:
-        return governance.pii_inventory(governance.tag_assignments(self.spark), self.all)
+        return governance.pii_inventory(governance.tag_assignments(self.spark), self.stored())
 
     def all_checks(self) -> DataFrame:
         return (
@@ -154,6 +201,18 @@ def model_queries() -> dict:
     return found
 
 
+def _approx_profile(x: Layers) -> DataFrame:
+    """The approximate profile: exact counts as they are, sketches by whether they are near enough."""
+    keys = ["table_name", "column_name", "metric"]
+    rough = profiling.profile_tables(x.bronze, RUN, NOW, approx=True)
+    exact = profiling.profile_tables(x.bronze, RUN, NOW).select(*keys, F.col("metric_value").alias("exact"))
+    value, true = (F.col(c).cast("double") for c in ("metric_value", "exact"))
+    near = F.when(F.abs(value - true) <= 0.15 * true + 1, "near").otherwise(F.col("metric_value"))
+    return rough.join(exact, keys).withColumn(
+        "metric_value", F.when(F.col("metric") == "DISTINCT_COUNT", near).otherwise(F.col("metric_value"))
+    ).drop("exact")
+
+
 def check_queries() -> dict:
     orders, fk = "orders", ("bronze", "orders", A.CUSTOMER_FK, "customer_id,order_id")
 
@@ -165,7 +224,7 @@ def check_queries() -> dict:
 
     return dict(
         profile_table=lambda x: profiling.profile_tables(x.bronze, RUN, NOW),
-        profile_table_approx=lambda x: profiling.profile_tables(x.bronze, RUN, NOW, approx=True),
+        profile_table_approx=_approx_profile,
         iqr_outliers=lambda x: anomalies.iqr_outliers(x.silver["stg_orders"]),
         high_discount=lambda x: anomalies.high_discount(x.silver["stg_order_items"]),
         dormant_customers=lambda x: anomalies.dormant_customers(
@@ -186,7 +245,7 @@ def check_queries() -> dict:
         dq_freshness=lambda x: metric(x, "bronze", orders, A.FRESHNESS, ""),
         dq_positive_amounts=lambda x: metric(x, "silver", "stg_orders", A.NEGATIVE, "total_amount"),
         dq_orders_customer_fk=lambda x: metric(x, *fk),
-        dq_suite=lambda x: quality.dq_suite(x.all, NOW),
+        dq_suite=lambda x: quality.dq_suite(x.stored(), NOW),
         dq_results_read=lambda x: quality.dq_results_read(x.metric_log()),
         dq_latest=lambda x: quality.dq_latest(x.metric_log()),
         dq_status=lambda x: quality.dq_status(quality.dq_latest(x.metric_log())),
@@ -195,7 +254,7 @@ def check_queries() -> dict:
         ),
         dq_trend=lambda x: quality.dq_trend(x.metric_log(), A.ROWS),
         dq_inventory=lambda x: quality.dq_inventory(x.metric_log()),
-        schema_tests=lambda x: quality.schema_tests({**x.silver, **x.gold}),
+        schema_tests=lambda x: quality.schema_tests({**x.stored()["silver"], **x.stored()["gold"]}),
     )
 
 
@@ -214,7 +273,7 @@ def governance_queries() -> dict:
         tag_coverage=lambda x: governance.tag_coverage(x.references(), x.inventory()),
         tag_distribution=lambda x: governance.tag_distribution(x.references()),
         governance_kpis=lambda x: governance.governance_kpis(
-            x.references(), x.inventory(), quality.dq_inventory(x.metric_log()), x.flags()
+            x.references(), x.inventory(), quality.dq_inventory(x.metric_log()), x.latest_flags()
         ),
         pii_inventory=lambda x: x.personal(),
         pii_by_layer=lambda x: governance.pii_by_layer(x.personal()),
@@ -231,10 +290,10 @@ def governance_queries() -> dict:
         anomaly_kpis=lambda x: governance.anomaly_kpis(x.flag_log()),
         anomaly_timeline=lambda x: governance.anomaly_timeline(x.flag_log()),
         anomaly_details=lambda x: governance.anomaly_details(
-            x.flag_log(), ["AMOUNT_OUTLIER", "DORMANT_CUSTOMER"]
+            x.flag_log(), ["AMOUNT_OUTLIER", "DORMANT_CUSTOMER"], 500
         ),
         null_highlights=lambda x: governance.null_highlights(
-            profiling.profile_tables(x.bronze, RUN, NOW)
+            reports.rpt_latest_profile(x.profile_log()), 20
         ),
     )
 
@@ -257,16 +316,16 @@ def report_queries() -> dict:
         rpt_kpis=lambda x: reports.rpt_kpis(x.gold),
         rpt_customer_segments=segments,
         rpt_top_products=lambda x: reports.rpt_top_products(x.gold),
-        rpt_top15=lambda x: reports.rpt_top15(x.gold),
+        rpt_top15=lambda x: reports.rpt_top15(x.gold, 15),
         rpt_shipment_performance=shipments,
         rpt_payment_summary=lambda x: reports.rpt_payment_summary(x.gold),
         rpt_payment_health=lambda x: reports.rpt_payment_health(
             reports.rpt_payment_summary(x.gold)
         ),
         rpt_rfm_segments=lambda x: reports.rpt_rfm_segments(x.scores()),
-        rpt_anomaly_summary=lambda x: reports.rpt_anomaly_summary(x.flags()),
+        rpt_anomaly_summary=lambda x: reports.rpt_anomaly_summary(x.latest_flags()),
         rpt_anomaly_totals=lambda x: reports.rpt_anomaly_totals(
-            reports.rpt_anomaly_summary(x.flags())
+            reports.rpt_anomaly_summary(x.latest_flags())
         ),
         rpt_latest_profile=latest,
         rpt_latest_run=lambda x: reports.rpt_latest_run(x.run_log()),
@@ -281,7 +340,7 @@ def report_queries() -> dict:
         rpt_carrier_on_time=lambda x: reports.rpt_carrier_on_time(shipments(x)),
         rpt_speed_mix=lambda x: reports.rpt_speed_mix(shipments(x)),
         rpt_profile_rows=lambda x: reports.rpt_profile_rows(latest(x)),
-        rpt_profile_nulls=lambda x: reports.rpt_profile_nulls(latest(x)),
+        rpt_profile_nulls=lambda x: reports.rpt_profile_nulls(latest(x), 15),
     )
 
 
@@ -409,8 +468,16 @@ def _land_bronze(x: Layers) -> str:
     return lake.root
 
 
+def _sized(inventory: DataFrame, size: str) -> DataFrame:
+    """An inventory by what another engine can tell, too: names, rows, and that sizes and times are there."""
+    return inventory.select(
+        "table_schema", "table_name", "row_count", F.col(size).isNotNull().alias("has_size"),
+        F.col("last_altered").isNotNull().alias("has_time"),
+    )
+
+
 def _inventory(x: Layers) -> DataFrame:
-    return Lake(x.spark, _land_bronze(x)).inventory({"bronze": LAYERS["bronze"]})
+    return _sized(x.stored_tables(), "bytes")
 
 
 def _promote(x: Layers) -> DataFrame:
@@ -442,7 +509,7 @@ def storage_queries() -> dict:
         src_cdc_stream=_change_feed,
         src_cdc_diff=lambda x: changes.snapshot_diff(*order_versions(x), "order_id"),
         src_inventory=_inventory,
-        inventory_report=lambda x: governance.inventory_report(_inventory(x)),
+        inventory_report=lambda x: _sized(governance.inventory_report(x.stored_tables()), "size_mb"),
         snk_overwrite=_overwrite,
         snk_append=_append,
         snk_replace=_replace,

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -66,3 +66,8 @@ def sum_where(condition: Column, value) -> Column:
 def moment(ts: dt.datetime) -> Column:
     """A literal timestamp without time zone."""
     return F.lit(ts.replace(tzinfo=None).isoformat(sep=" ")).cast("timestamp_ntz")
+
+
+def first_rows(df: DataFrame, k: int | None) -> DataFrame:
+    """The first ``k`` rows of a sorted report, or all of it."""
+    return df if k is None else df.limit(k)

@@ -13,14 +13,12 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestrata.functions.columns import count_where
+from lodestrata.functions.columns import count_where, first_rows
 from lodestrata.plans import tags as T
 
 Layers = Mapping[str, Mapping[str, DataFrame]]
 
 DATABASE = "RETAIL"
-DETAIL_ROWS = 500
-HIGHLIGHT_ROWS = 20
 
 
 def tag_definitions(spark: SparkSession) -> DataFrame:
@@ -292,24 +290,24 @@ def anomaly_timeline(flags: DataFrame) -> DataFrame:
     ).agg(F.count("*").alias("anomalies"))
 
 
-def anomaly_details(flags: DataFrame, types: list[str] | None = None) -> DataFrame:
-    """The newest flags, of the given types, as a top-k report."""
+def anomaly_details(
+    flags: DataFrame, types: list[str] | None = None, k: int | None = None
+) -> DataFrame:
+    """Flags of the given types, newest first; the first ``k`` if given."""
     if types is not None:
         flags = flags.filter(F.col("anomaly_type").isin(types))
-    return (
+    return first_rows(
         flags.select("record_id", "anomaly_type", "details", "detected_at")
-        .orderBy(F.desc("detected_at"), "anomaly_type", "record_id")
-        .limit(DETAIL_ROWS)
+        .orderBy(F.desc("detected_at"), "anomaly_type", "record_id"), k
     )
 
 
-def null_highlights(profile_log: DataFrame) -> DataFrame:
-    """Columns with the highest NULL share, as a top-k report."""
+def null_highlights(profile_log: DataFrame, k: int | None = None) -> DataFrame:
+    """Columns by NULL share, highest first; the first ``k`` if given."""
     share = F.col("metric_value").try_cast("double")
-    return (
+    return first_rows(
         profile_log.filter(F.col("metric") == "NULL_PCT")
         .select("table_name", "column_name", F.round(share, 2).alias("null_pct"))
         .filter(F.col("null_pct") > 0)
-        .orderBy(F.desc("null_pct"), "table_name", "column_name")
-        .limit(HIGHLIGHT_ROWS)
+        .orderBy(F.desc("null_pct"), "table_name", "column_name"), k
     )

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Mapping
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -13,15 +14,6 @@ from lodestrata.functions.columns import count_where, half_up, moment, or_zero
 Tables = Mapping[str, DataFrame]
 
 
-def _long_form(df: DataFrame, name: str) -> DataFrame:
-    """One row per cell: table, column, value as text."""
-    texts = df.select(*[F.col(c).cast("string").alias(c) for c in df.columns])
-    return texts.unpivot([], df.columns, "column_name", "value").select(
-        F.lit(name.upper()).alias("table_name"), F.upper("column_name").alias("column_name"),
-        "value",
-    )
-
-
 def _with_all_columns(measured: DataFrame, tables: Tables) -> DataFrame:
     """Columns without any row (an empty table) get zeros."""
     columns = [
@@ -65,40 +57,33 @@ def _metric_rows(measured: DataFrame, run_id: str, ts: dt.datetime) -> DataFrame
 
 
 def profile_tables(
-    tables: Tables, run_id: str, ts: dt.datetime, approx: bool = False
+    tables: Tables, run_id: str, ts: dt.datetime, approx: bool = False,
+    unique: Mapping[str, list[str]] | None = None,
 ) -> DataFrame:
     """Row count, and per column NULL count, NULL percent and distinct count.
 
-    Counting each (column, value) pair once gives all metrics of all tables
-    from one scan each and two hash aggregates: NULL is one of the values, as
-    in a distinct projection.  ``approx`` replaces the exact distinct count by
-    a sketch, so only one small row per table and task is shuffled.
+    One aggregate per table.  Row and NULL counts need one row per task; for the distinct
+    counts each task sends every value of a column once, typed and with a
+    small column number.  ``unique`` names columns that a key check has proved
+    free of repeats: their distinct count needs no shuffle.  ``approx`` replaces
+    the exact distinct counts by sketches, so nothing but those one-row
+    aggregates is shuffled.  NULL counts as one of the distinct values.
     """
-    if approx:
-        parts = [_sketch(df, name) for name, df in tables.items()]
-    else:
-        parts = [_long_form(df, name) for name, df in tables.items()]
-    stacked = parts[0]
-    for part in parts[1:]:
-        stacked = stacked.unionByName(part)
-    if not approx:
-        stacked = (
-            stacked.groupBy("table_name", "column_name", "value")
-            .agg(F.count("*").alias("n"))
-            .groupBy("table_name", "column_name")
-            .agg(
-                F.sum("n").alias("rows"),
-                F.sum(F.when(F.col("value").isNull(), F.col("n")).otherwise(0)).alias("nulls"),
-                F.count("*").alias("distincts"),
-            )
-        )
+    stacked = reduce(DataFrame.unionByName, [
+        _cells(df, name, approx, set((unique or {}).get(name, ()))) for name, df in tables.items()
+    ])
     return _metric_rows(_with_all_columns(stacked, tables), run_id, ts)
 
 
-def _sketch(df: DataFrame, name: str) -> DataFrame:
+def _cells(df: DataFrame, name: str, approx: bool, unique: set[str]) -> DataFrame:
+    """One row per column: table, column, rows, NULLs, distinct values."""
     def distincts(c):
         null_counts_as_one = F.coalesce(F.max(F.col(c).isNull().cast("int")), F.lit(0))
-        return (F.approx_count_distinct(c) + null_counts_as_one).cast("bigint")
+        if c in unique:
+            seen = F.count(c)
+        else:
+            seen = F.approx_count_distinct(c) if approx else F.count_distinct(c)
+        return (seen + null_counts_as_one).cast("bigint")
 
     cells = [
         F.struct(

@@ -7,13 +7,10 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lodestrata.functions.columns import count_where, mean, sum_where
+from lodestrata.functions.columns import count_where, first_rows, mean, sum_where
 
 Tables = Mapping[str, DataFrame]
 
-TOP_PRODUCTS = 15
-NULL_ROWS = 15
-
 
 # ------------------------------------------------------------------ revenue
 
@@ -167,8 +164,9 @@ def rpt_top_products(gold: Tables) -> DataFrame:
     ).orderBy(F.desc("total_revenue"), "product_id")
 
 
-def rpt_top15(gold: Tables) -> DataFrame:
-    return rpt_top_products(gold).limit(TOP_PRODUCTS)
+def rpt_top15(gold: Tables, k: int = 15) -> DataFrame:
+    """The ``k`` products with the highest revenue."""
+    return rpt_top_products(gold).limit(k)
 
 
 def rpt_category_revenue(gold: Tables) -> DataFrame:
@@ -316,12 +314,11 @@ def rpt_profile_rows(profile: DataFrame) -> DataFrame:
     )
 
 
-def rpt_profile_nulls(profile: DataFrame) -> DataFrame:
-    """Columns with NULLs in the latest profile, as a top-k report."""
-    return (
+def rpt_profile_nulls(profile: DataFrame, k: int | None = None) -> DataFrame:
+    """Columns with NULLs in the latest profile, most first; the first ``k`` if given."""
+    return first_rows(
         profile.filter(F.col("metric") == "NULL_PCT")
         .select("table_name", "column_name", F.col("metric_value").cast("double").alias("null_pct"))
         .filter(F.col("null_pct") > 0)
-        .orderBy(F.desc("null_pct"), "table_name", "column_name")
-        .limit(NULL_ROWS)
+        .orderBy(F.desc("null_pct"), "table_name", "column_name"), k
     )

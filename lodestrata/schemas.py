@@ -77,3 +77,10 @@ LAYERS = {
         "fact_payment_summary", "fact_shipment_performance",
     ],
 }
+
+# The log tables of each layer.
+LOG_TABLES = {
+    "bronze": ["data_profile_log"],
+    "silver": ["anomaly_flags"],
+    "gold": ["customer_rfm_scores", "pipeline_run_summary"],
+}
