@@ -10,8 +10,8 @@ share a prefix shingle in each further order before sets are compared.
 Equal sets are one class from the start.  Then, so that a group of similar sets doesn't
 become all its pairs, two passes find the links:
 
-1. in each group of a prefix shingle, members are compared with a pivot only,
-   and the links are joined to components;
+1. in each group of a prefix shingle, members are compared with a pivot only (one of
+   ``PIVOTS`` ways to choose it, by shingle), and the links are joined to components;
 2. in groups that still hold several components, the members of different
    components are compared by their bitmaps, block against block, and the pairs
    that pass are verified.  No candidate is left out, so the components are exact.
@@ -35,6 +35,8 @@ NUMERATOR, DENOMINATOR = 4, 5   # the similarity, 0.8
 CELL_BITS = 18                  # cells of the table of counts: its size is fixed
 ORDERS = 3
 TOKEN_BITS = 40                 # of a prefix shingle's name; two that clash only meet in vain
+PIVOTS = 4
+CELLS_PER_SHINGLE = 4           # of the bitmaps, at least
 BLOCK = 256                     # members of a group that are compared with as many at once
 
 
@@ -42,6 +44,12 @@ def prefix_length(n: np.ndarray) -> np.ndarray:
     return n - -(-n * NUMERATOR // DENOMINATOR) + 1
 
 
+def reach(n: np.ndarray) -> np.ndarray:
+    """Shingles of the longer prefix of the first order."""
+    short = prefix_length(n)
+    return np.minimum(n, short + short // 2)
+
+
 def order_keys(shingles: np.ndarray, bands: np.ndarray, order: int) -> np.ndarray:
     """Sort keys of one global order: rare cells first, then by the order's own hash."""
     band = bands[(shingles >> np.uint64(64 - CELL_BITS)).astype(np.int64)].astype(np.uint64)
@@ -54,7 +62,7 @@ def bands_of(counts: np.ndarray) -> np.ndarray:
     return np.clip(np.floor(np.log2(np.maximum(counts, 1) / mean)), 0, 63).astype(np.uint8)
 
 
-def prefixes(shingles: np.ndarray, offsets: np.ndarray, bands: np.ndarray, order: int):
+def prefixes(shingles: np.ndarray, offsets: np.ndarray, bands: np.ndarray, order: int, size=prefix_length):
     """The prefix shingles of sets (by their sort keys), and the set each is of."""
     of = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
     keys = order_keys(shingles, bands, order)
@@ -62,13 +70,13 @@ def prefixes(shingles: np.ndarray, offsets: np.ndarray, bands: np.ndarray, order
     kind = np.uint16 if len(offsets) <= 1 << 16 else np.int64
     sort = sort[np.argsort(of[sort].astype(kind), kind="stable")]
     rank = np.arange(len(keys)) - offsets[:-1][of]
-    first = rank < prefix_length(np.diff(offsets))[of]
+    first = rank < size(np.diff(offsets))[of]
     return keys[sort][first], of[first]
 
 
 def parity_bitmap(shingles: np.ndarray) -> bytes:
     """A bit for each of a power of two of cells: whether it holds an odd number of shingles."""
-    bits = max(64, 1 << (len(shingles) - 1).bit_length())
+    bits = max(64, CELLS_PER_SHINGLE << (len(shingles) - 1).bit_length())
     cells = (mixed(shingles, 0) & np.uint64(bits - 1)).astype(np.int64)
     return np.packbits(np.bincount(cells, minlength=bits).astype(np.uint8) & 1, bitorder="little").tobytes()
 
@@ -161,12 +169,8 @@ def set_keys(sets: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
 # ----------------------------------------------------- prefix groups and pivots
 
 
-def prefix_groups(docs: DataFrame, bands: np.ndarray) -> DataFrame:
-    """Members of the groups of two or more sets: ``token k1 k2 n p1 p2``.
-
-    ``p1 p2`` is the group's pivot for the member, null for a pivot itself.  Groups stream
-    through sorted, a pivot for each range of sizes being all that is held.
-    """
+def shared_rows(docs: DataFrame, bands: np.ndarray) -> DataFrame:
+    """Prefix shingles of the first order that two or more sets have: ``token k1 k2 n``, stored."""
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in grouped(batches):
@@ -177,60 +181,83 @@ def prefix_groups(docs: DataFrame, bands: np.ndarray) -> DataFrame:
             same = np.lexsort((np.arange(len(k1)), k2, k1))
             once = np.zeros(len(k1), bool)
             once[same] = np.append(True, (k1[same][1:] != k1[same][:-1]) | (k2[same][1:] != k2[same][:-1]))[: len(k1)]
-            keys, of = prefixes(sets, offsets, bands, 0)
+            keys, of = prefixes(sets, offsets, bands, 0, reach)
             keys, of = keys[once[of]], of[once[of]]
             token = (mixed(keys, 4) >> np.uint64(64 - TOKEN_BITS)).astype(np.int64)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(token), pa.array(k1[of]), pa.array(k2[of]), pa.array(size[of].astype(np.int32))],
-                ["token", "k1", "k2", "n"],
+                NAMES,
             )
 
-    def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int32()]
+    def drop_single(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # A row goes out when the next is known; the last one is held back, with
         # whether it continues its group.
-        held, continues, pivots, current = None, False, [], None
-
-        def placed(row: tuple) -> tuple:
-            nonlocal current, pivots
-            token, _, _, size = row
-            if token != current:
-                current, pivots = token, []
-            for pivot in pivots:
-                if similar_sizes(min(size, pivot[2]), max(size, pivot[2])):
-                    return (*row, pivot[0], pivot[1])
-            pivots.append(row[1:])
-            return (*row, None, None)
-
-        def batch_of(rows: list[tuple]) -> pa.RecordBatch:
-            columns = list(zip(*rows)) or [[]] * 6
-            return pa.RecordBatch.from_arrays(
-                [pa.array(x, k) for x, k in zip(columns, kinds)], ["token", "k1", "k2", "n", "p1", "p2"]
-            )
-
+        held, continues = None, False
         for batch in batches:
             if not batch.num_rows:
                 continue
-            columns = [batch[i].to_numpy() for i in range(4)]
+            columns = [batch[x].to_numpy() for x in NAMES]
             if held is not None:
-                columns = [np.concatenate([[h], c]) for h, c in zip(held, columns)]
+                columns = [np.concatenate([[h], c]).astype(c.dtype) for h, c in zip(held, columns)]
             token, k1, k2, _ = columns
             new = np.ones(len(token), bool)
             new[1:] = (token[1:] != token[:-1]) | (k1[1:] != k1[:-1]) | (k2[1:] != k2[:-1])
             columns = [c[new] for c in columns]
             same = columns[0][1:] == columns[0][:-1]
             before = np.append(continues and held is not None, same)
-            out = np.flatnonzero(before[:-1] | same)
-            yield batch_of([placed(x) for x in zip(*(c[out].tolist() for c in columns))])
+            out = before[:-1] | same
+            yield pa.RecordBatch.from_arrays([pa.array(c[:-1][out]) for c in columns], NAMES)
             held, continues = [c[-1] for c in columns], bool(before[-1])
         if held is not None and continues:
-            yield batch_of([placed(tuple(int(x) for x in held))])
+            yield pa.RecordBatch.from_arrays([pa.array(np.array([h])) for h in held], NAMES)
 
-    rows = docs.select("text").mapInArrow(emit, "token long, k1 long, k2 int, n int")
+    rows = docs.select("text").mapInArrow(emit, ROW_DDL)
     sorted_ = rows.repartition(F.col("token")).sortWithinPartitions("token", "k1", "k2")
-    return stored(
-        sorted_.mapInArrow(choose, "token long, k1 long, k2 int, n int, p1 long, p2 int"), "prefix-groups"
-    )
+    return stored(sorted_.mapInArrow(drop_single, ROW_DDL), "shared-prefixes")
+
+
+NAMES = ["token", "k1", "k2", "n"]
+ROW_DDL = "token long, k1 long, k2 int, n int"
+
+
+def prefix_groups(shared: DataFrame) -> DataFrame:
+    """The rows of sets that may have a partner, each with the pivot of its group: ``p1 p2``.
+
+    Of a prefix of ``p + c - 1`` shingles a set must share ``c`` with others.  A pivot has null
+    for its own; a group has a pivot for each range of sizes, and streams
+    through sorted, its pivots being all that is held.
+    """
+    n = F.col("n").cast("long")
+    short = n - F.ceil(n * NUMERATOR / DENOMINATOR) + 1
+    need = F.least(n, short + F.floor(short / 2)) - short + 1
+    able = shared.groupBy("k1", "k2", "n").count().filter(F.col("count") >= need).select("k1", "k2")
+    rows = shared.join(able, ["k1", "k2"]).select(*NAMES)
+
+    def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int32()]
+        pivots, current = [], None
+        for batch in batches:
+            out = []
+            for row in zip(*(batch[x].to_pylist() for x in NAMES)):
+                token, _, _, size = row
+                if token != current:
+                    current, pivots = token, []
+                pivot = next((p for p in pivots if similar_sizes(min(size, p[2]), max(size, p[2]))), None)
+                if pivot is None:
+                    pivots.append(row[1:])
+                    pivot = (None, None)
+                out.append((*row, pivot[0], pivot[1]))
+            columns = list(zip(*out)) or [[]] * 6
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(x, k) for x, k in zip(columns, kinds)], [*NAMES, "p1", "p2"]
+            )
+
+    # Which member comes first differs by shingle, so that a member that is far
+    # from one pivot of its group may be near another.
+    ordered = rows.repartition(F.col("token")).withColumn(
+        "turn", F.xxhash64("k1", "k2", F.col("token") % PIVOTS)
+    ).sortWithinPartitions("token", "turn").select(*NAMES)
+    return stored(ordered.mapInArrow(choose, f"{ROW_DDL}, p1 long, p2 int"), "prefix-groups")
 
 
 def bitmap_filter(pairs: DataFrame) -> DataFrame:
@@ -373,7 +400,7 @@ def similar_documents(docs: DataFrame) -> DataFrame:
                                      F.any_value("bitmap").alias("bitmap")).filter("rep is not null"),
         "classes",
     )
-    groups = prefix_groups(docs, bands)
+    groups = prefix_groups(shared_rows(docs, bands))
     left = classes.select("k1", "k2", F.col("rep").alias("a"), F.col("n").alias("n_a"), F.col("bitmap").alias("map_a"))
     right = classes.select(
         F.col("k1").alias("p1"), F.col("k2").alias("p2"), F.col("rep").alias("b"),
