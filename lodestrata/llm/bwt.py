@@ -63,19 +63,19 @@ def chains_of(data: np.ndarray, offsets: np.ndarray, gram: int = GRAM) -> Chains
     grams = size - gram + 1
     total = grams + np.minimum(gram, grams)
     first = np.cumsum(total) - total
-    string = np.repeat(np.arange(len(size)), total)
-    place = np.arange(len(string)) - first[string]
+    string = np.repeat(np.arange(len(size), dtype=np.int32), total)
+    number = np.arange(len(string), dtype=np.int32)
+    place = number - first.astype(np.int32)[string]
     real = place < grams[string]
-    symbol = np.zeros(len(string), np.int64)
+    symbol = np.zeros(len(string), np.int32)
     hashes = gram_hashes(data, gram)[offsets[:-1][string[real]] + place[real]]
     symbol[real] = np.unique(hashes, return_inverse=True)[1] + 1
-    number = np.arange(len(string))
     # The suffix ``gram`` places on: a gram, or the end of this chain.
-    after = np.where(real, number + gram, -1)
+    after = np.where(real, number + np.int32(gram), np.int32(-1))
     short = real & (grams[string] < gram)
     # Strings with fewer grams than chains could be: one end for each gram.
     after[short] = first[string[short]] + grams[string[short]] + place[short]
-    before = np.full(len(string), -1)
+    before = np.full(len(string), -1, np.int32)
     before[after[real]] = number[real]
     return Chains(symbol, after, before, string, place)
 
@@ -85,21 +85,23 @@ def sort_suffixes(chains: Chains, members: np.ndarray) -> np.ndarray:
 
     Ends of chains are all different and come first, in the order of their numbers.
     """
-    spot = np.full(len(chains.symbol), -1)
-    spot[members] = np.arange(len(members))
+    spot = np.full(len(chains.symbol), -1, np.int32)
+    spot[members] = np.arange(len(members), dtype=np.int32)
     symbol = chains.symbol[members]
-    after = np.where(symbol > 0, spot[chains.after[members]], np.arange(len(members)))
+    after = np.where(symbol > 0, spot[chains.after[members]], np.arange(len(members), dtype=np.int32))
     ends = symbol == 0
-    rank = symbol + int(ends.sum())
+    rank = symbol.astype(np.int64) + int(ends.sum())
     rank[ends] = np.arange(int(ends.sum()))
     while True:
-        order = np.argsort(rank * np.int64(int(rank.max()) + 1) + np.where(ends, 0, rank[after]), kind="stable")
-        key, then = rank[order], np.where(ends, 0, rank[after])[order]
+        then = rank[after]
+        then[ends] = 0
+        key = (rank << 32) | then
+        order = np.argsort(key)
+        key = key[order]
         new = np.ones(len(order), bool)
-        new[1:] = (key[1:] != key[:-1]) | (then[1:] != then[:-1])
+        new[1:] = key[1:] != key[:-1]
         if new.all():
             return members[order]
-        rank = np.empty(len(order), np.int64)
         rank[order] = np.cumsum(new) - 1
         after = after[after]
 
@@ -132,10 +134,10 @@ def merge(first: np.ndarray, second: np.ndarray, rounds: int | None = None) -> t
     mix = np.concatenate([np.zeros(len(first), bool), np.ones(len(second), bool)])
     known = np.full(n, -1)
     known[:1] = 0
-    block = np.zeros(n, np.int64)
+    block = np.zeros(n, np.int32)
     done = 0
     while rounds is None or done < rounds:
-        symbols = np.empty(n, np.int64)
+        symbols = np.empty(n, np.int32)
         symbols[~mix], symbols[mix] = first, second
         going = np.flatnonzero(symbols)
         order = going[_stable_order(symbols[going])]
@@ -148,7 +150,7 @@ def merge(first: np.ndarray, second: np.ndarray, rounds: int | None = None) -> t
         known[fresh] = done
         done += 1
         settled = not fresh.any() and bool((new_mix == mix).all())
-        mix, block = new_mix, np.cumsum(border)
+        mix, block = new_mix, np.cumsum(border, dtype=np.int32)
         if settled:
             break
     known[known < 0] = done

@@ -33,9 +33,9 @@ from lodestrata.llm.tokens import word_hashes
 MATCH = 100                 # bytes of a match; a multiple of the gram of the transforms
 K = 32                      # bytes of an anchor
 SCAN_BYTES = 4 << 20
-CHUNK_BYTES = 3 << 20       # bytes of contexts whose transforms are merged at once
+CHUNK_BYTES = 1 << 20       # bytes of contexts whose transforms are merged at once
 SHARDS = 2
-MOST_CONTEXTS = 50_000      # different contexts of one anchor that are collected
+MOST_CONTEXTS = 10_000      # different contexts of one anchor that are collected
 
 
 def window_contexts(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
@@ -75,7 +75,12 @@ CONTEXT_DDL = "anchor long, digest long, doc_id long, start int, windows int"
 
 
 def contexts(docs: DataFrame) -> DataFrame:
-    """All contexts of all texts; a copy of a text in the same batch gives one row (digest null)."""
+    """All contexts of all texts.
+
+    What repeats within a batch is known at once and needs no comparing: copies of a text
+    as a whole, and runs of contexts that are equal to earlier ones, give one row each
+    (digest null, dealt by document).
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in grouped(batches, SCAN_BYTES):
@@ -97,17 +102,36 @@ def contexts(docs: DataFrame) -> DataFrame:
             kept = ~copy[text]
             anchor, text, first, number = anchor[kept], text[kept], first[kept], number[kept]
             digest = word_hashes(data, first, first + number + MATCH - 1)
+            start = first - offsets[text]
+            order = np.lexsort((start, ids[text], digest, anchor))
+            new = np.ones(len(order), bool)
+            new[1:] = (digest[order][1:] != digest[order][:-1]) | (anchor[order][1:] != anchor[order][:-1])
+            again = np.zeros(len(order), bool)
+            again[order] = ~new
+            # Contexts of a text follow one another, so a run of repeats is one span.
+            at = np.flatnonzero(again)
+            begins = np.ones(len(at), bool)
+            begins[1:] = (np.diff(at) > 1) | (text[at][1:] != text[at][:-1])
+            begins = np.flatnonzero(begins)
+            windows = np.add.reduceat(number[at], begins) if len(at) else at
+            lead = at[begins]
+            whole = np.flatnonzero(repeats)
+            spans = [
+                (ids[text[lead]], start[lead], windows),
+                (ids[whole], np.zeros(len(whole), np.int64), np.diff(offsets)[whole] - MATCH + 1),
+            ]
             names = ["anchor", "digest", "doc_id", "start", "windows"]
+            fresh = ~again
             yield pa.RecordBatch.from_arrays([
-                pa.array(anchor.view(np.int64)), pa.array(digest.view(np.int64)), pa.array(ids[text]),
-                pa.array((first - offsets[text]).astype(np.int32)), pa.array(number.astype(np.int32)),
-            ], names)
-            at = np.flatnonzero(repeats)
-            yield pa.RecordBatch.from_arrays([
-                pa.array(ids[at]), pa.nulls(len(at), pa.int64()), pa.array(ids[at]),
-                pa.array(np.zeros(len(at), np.int32)),
-                pa.array((np.diff(offsets)[at] - MATCH + 1).astype(np.int32)),
+                pa.array(anchor[fresh].view(np.int64)), pa.array(digest[fresh].view(np.int64)),
+                pa.array(ids[text[fresh]]), pa.array(start[fresh].astype(np.int32)),
+                pa.array(number[fresh].astype(np.int32)),
             ], names)
+            for doc, begin, size in spans:
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(doc), pa.nulls(len(doc), pa.int64()), pa.array(doc),
+                    pa.array(begin.astype(np.int32)), pa.array(size.astype(np.int32)),
+                ], names)
 
     return docs.mapInArrow(run, CONTEXT_DDL)
 
@@ -185,20 +209,19 @@ def compared(found: DataFrame, texts: DataFrame, limit: int = MOST_CONTEXTS) ->
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = []
-            for doc, text, places in zip(batch["doc_id"].to_pylist(), batch["text"], batch["places"].to_pylist()):
-                raw = text.as_buffer().to_pybytes() if text.is_valid else b""
-                for x in places:
-                    part = raw[x["start"]: x["start"] + x["windows"] + MATCH - 1]
-                    # A text that another row gives the same id may be shorter.
-                    if len(part) == x["windows"] + MATCH - 1:
-                        rows.append((x["anchor"], doc, x["start"], part, x["crowded"]))
-            columns = list(zip(*rows)) or [[]] * 5
-            kinds = [pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.bool_()]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, k) for c, k in zip(columns, kinds)],
-                ["anchor", "doc_id", "start", "part", "crowded"],
-            )
+            data, offsets = column_bytes(batch["text"])
+            raw, flat = data.tobytes(), batch["places"].flatten()
+            text = np.repeat(np.arange(batch.num_rows), np.diff(batch["places"].offsets.to_numpy()))
+            start = flat.field("start").to_numpy()
+            begin = offsets[text] + start
+            end = begin + flat.field("windows").to_numpy() + MATCH - 1
+            # A text that another row gives the same id may be shorter.
+            fits = pa.array(end <= offsets[text + 1])
+            parts = [raw[b:e] for b, e in zip(begin.tolist(), end.tolist())]
+            yield pa.RecordBatch.from_arrays([
+                flat.field("anchor"), batch["doc_id"].take(pa.array(text)), flat.field("start"),
+                pa.array(parts, pa.binary()), flat.field("crowded"),
+            ], ["anchor", "doc_id", "start", "part", "crowded"]).filter(fits)
 
     parts = texts.join(places, "doc_id").select("doc_id", "text", "places").mapInArrow(
         cut, "anchor long, doc_id long, start int, part binary, crowded boolean"
@@ -286,16 +309,28 @@ def repeat_spans(texts: DataFrame, limit: int = MOST_CONTEXTS) -> DataFrame:
     return every.groupBy("doc_id").agg(F.collect_list(F.struct("start", "length")).alias("spans"))
 
 
-def merged_spans(spans, size: int) -> list[tuple[int, int]]:
-    """Maximal runs of covered bytes, as (begin, end), within a text of ``size`` bytes."""
-    runs: list[list[int]] = []
-    for start, length in sorted((x["start"], x["length"]) for x in spans or ()):
-        end = min(start + length, size)
-        if runs and start <= runs[-1][1]:
-            runs[-1][1] = max(runs[-1][1], end)
-        elif start < end:
-            runs.append([start, end])
-    return [tuple(x) for x in runs]
+def runs_by_text(spans: pa.ListArray) -> Iterator[list[tuple[int, int]]]:
+    """For each text, the maximal runs of covered bytes as (begin, end)."""
+    number = np.diff(spans.offsets.to_numpy())
+    number[spans.is_null().to_numpy(zero_copy_only=False)] = 0
+    flat = spans.flatten()
+    text = np.repeat(np.arange(len(number)), number)
+    start = flat.field("start").to_numpy().astype(np.int64)
+    end = start + flat.field("length").to_numpy()
+    order = np.lexsort((start, text))
+    # Texts lie far apart on one line, so that runs never join across them.
+    far = int(end.max()) + 1 if len(end) else 1
+    start, end = start[order] + text[order] * far, end[order] + text[order] * far
+    reach = np.maximum.accumulate(end)
+    new = np.ones(len(start), bool)
+    new[1:] = start[1:] > reach[:-1]
+    first = np.flatnonzero(new)
+    last = np.append(first[1:], len(start)) - 1
+    of = start[first] // far
+    begins, ends = (start[first] - of * far).tolist(), (reach[last] - of * far).tolist()
+    bounds = np.searchsorted(of, np.arange(len(number) + 1)).tolist()
+    for low, high in zip(bounds[:-1], bounds[1:]):
+        yield list(zip(begins[low:high], ends[low:high]))
 
 
 def known_texts(docs: DataFrame) -> DataFrame:
@@ -321,9 +356,9 @@ def repeat_digests(docs: DataFrame, limit: int = MOST_CONTEXTS) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sizes, removed, number, digests = [], [], [], []
-            for text, spans in zip(batch["text"], batch["spans"].to_pylist()):
+            for text, runs in zip(batch["text"], runs_by_text(batch["spans"])):
                 raw = text.as_buffer() if text.is_valid else pa.py_buffer(b"")
-                runs = merged_spans(spans, raw.size)
+                runs = [(begin, min(end, raw.size)) for begin, end in runs if begin < raw.size]
                 digest, at, view = hashlib.sha256(), 0, memoryview(raw)
                 for begin, end in runs:
                     digest.update(view[at:begin])
@@ -359,15 +394,16 @@ def without_repeats(docs: DataFrame) -> DataFrame:
         for batch in batches:
             kept, keep, sizes = [], [], []
             before = batch["n_chars"].to_pylist() if "n_chars" in names else [None] * batch.num_rows
-            for text, spans, size in zip(batch["text"], batch[cover].to_pylist(), before):
-                if not spans or not text.is_valid:
+            for text, runs, size in zip(batch["text"], runs_by_text(batch[cover]), before):
+                if not runs or not text.is_valid:
                     kept.append(text.as_py())
                     keep.append(True)
                     sizes.append(size)
                     continue
                 raw = text.as_buffer().to_pybytes()
                 parts, at = [], 0
-                for begin, end in merged_spans(spans, len(raw)):
+                for begin, end in runs:
+                    end = min(end, len(raw))
                     while begin < end and raw[begin] & 0xC0 == 0x80:
                         begin += 1
                     while end < len(raw) and end > begin and raw[end] & 0xC0 == 0x80:

@@ -161,9 +161,13 @@ class TextEncoder:
             return np.frombuffer(b"".join(coded), "<u4"), np.array([len(x) // 4 for x in coded])
         low = LOWER[data]
         begins, ends = word_bounds(low, offsets)
-        _, first, which = np.unique(
-            word_hashes(low, begins, ends), return_index=True, return_inverse=True
-        )
+        hashes = word_hashes(low, begins, ends)
+        order = np.argsort(hashes)
+        hashes = hashes[order]
+        new = np.ones(len(hashes), bool)
+        new[1:] = hashes[1:] != hashes[:-1]
+        first, which = order[new], np.empty(len(order), np.int64)
+        which[order] = np.cumsum(new) - 1
         raw = low.tobytes()
         words = [raw[a:b] for a, b in zip(begins[first].tolist(), ends[first].tolist())]
         if len(self._known) > self._max_words:
