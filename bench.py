@@ -3,7 +3,8 @@
 The sample tables are one row group each, so one task would read them whole.
 The Bronze feeds are therefore landed first, in several files as an ingest
 leaves them, and every query runs from there: Bronze to result.  The landing
-is timed and reported, too.
+is timed and part of the total.  Reports on logs and on the inventory read stored
+tables, which the warm-up writes.
 """
 
 from __future__ import annotations
@@ -23,7 +24,8 @@ from lodestrata.sources.tables import Lake  # noqa: E402
 HEADLINES = [
     "fact_sales", "dim_customers", "dim_products", "fact_daily_revenue", "fact_payment_summary",
     "fact_shipment_performance", "profile_table", "rfm_scores", "iqr_outliers", "gate_gold",
-    "dq_suite", "rpt_daily_revenue",
+    "dq_suite", "rpt_daily_revenue", "schema_tests", "tag_validate", "governance_kpis",
+    "anomaly_flags", "medallion_run",
 ]
 WARM_UPS, RUNS = 1, 3
 
@@ -61,7 +63,7 @@ def main() -> None:
     spark.stop()
     print(json.dumps({
         "metric": "total_median_wall_clock",
-        "value": round(sum(seconds.values()), 3),
+        "value": round(sum(seconds.values()) + landing, 3),
         "unit": "sec",
         "queries": seconds,
         "land_bronze_sec": landing,

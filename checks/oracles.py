@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import re
+
+from checks.queries import CHECKSUMS, DIRTY
 from checks.sql_models import CTES, TODAY, days, half_up, mean, with_ctes
 from lodestrata.plans import attachments as A
 from lodestrata.plans import tags as T
@@ -406,7 +409,7 @@ select gate, case when bool_and(passed) then 'GATE ' || gate || ' PASSED: '
   end as message
 from c_all group by gate
 """
-TEXTS["medallion_run"] = _union(
+_steps = _union(
     f"select {no} as step_no, '{step}' as step, 'DONE' as status, {text} as message"
     for no, (step, text) in enumerate([
         ("bronze_gate", "(select message from c_messages where gate = 1)"),
@@ -419,6 +422,11 @@ TEXTS["medallion_run"] = _union(
         ("gold_gate", "(select message from c_messages where gate = 3)"),
     ], 1)
 )
+TEXTS["medallion_run"] = _union([_steps, *(
+    f"select {101 + i}, '{table}', 'STORED', count(*) || ' rows, ' || "
+    f"cast(cast(sum({measure}) as decimal(30,2)) as varchar) from {table}"
+    for i, (table, measure) in enumerate(CHECKSUMS.items())
+)])
 TEXTS.update(
     gate_bronze="select * from c_bronze",
     gate_silver="select * from c_silver",
@@ -819,5 +827,49 @@ TEXTS.update(
 )
 
 
+# ------------------------------------------------------------ failing checks
+
+
+def _faulty(text: str) -> str:
+    """The text over the tables with faults."""
+    for key in DIRTY:
+        text = re.sub(rf"\b(from|join) {CTE_OF[key]}\b", rf"\1 d_{CTE_OF[key]}", text)
+    return text
+
+
+for _key, (_replaced, _kept, _repeated) in DIRTY.items():
+    _columns = ", ".join(f"{sql} as {name}" for name, sql in _replaced.items())
+    _cte = CTE_OF[_key]
+    CTES[f"d_{_cte}"] = (
+        f"select *{f' replace ({_columns})' if _columns else ''} from (select * from {_cte} where {_kept} "
+        f"union all select * from {_cte} where {_repeated}) as rows_"
+    )
+CTES["dc_bronze"] = _faulty(CTES["c_bronze"])
+CTES["dc_silver"] = _faulty(CTES["c_silver"])
+# Gold is compared to the clean Silver.
+_dirty_gold = CTES["c_gold"]
+for (_layer, _table) in DIRTY:
+    if _layer == "gold":
+        _dirty_gold = re.sub(rf"\bfrom {_table}\b", f"from d_{_table}", _dirty_gold)
+CTES["dc_gold"] = _dirty_gold
+CTES["dc_all"] = "select * from dc_bronze union all select * from dc_silver " \
+                 "union all select * from dc_gold"
+TEXTS.update(
+    gate_bronze_dirty="select * from dc_bronze",
+    gate_silver_dirty="select * from dc_silver",
+    gate_gold_dirty="select * from dc_gold",
+    gate_message_dirty=CTES["c_messages"].replace("from c_all", "from dc_all"),
+    schema_tests_dirty=_faulty(_column_tests()),
+    event_run=_union([
+        *(f"select 'call {call}' as what, '{step} DONE' as name, 1 as n" for call in (1, 2) for step in (
+            "bronze_gate", "bronze_profile", "silver_transform", "anomalies", "silver_gate",
+            "gold_transform", "gold_enrichment", "gold_gate")),
+        "select 'call 3', 'ingest SKIPPED', 1",
+        *(f"select 'stored', '{feed}', count(*) from b_{feed}" for feed in LAYERS["bronze"]),
+        *(f"select 'rejected', '{feed}', 1" for feed in LAYERS["bronze"]),
+    ]),
+)
+
+
 def all_oracles() -> dict[str, str]:
     return {name: with_ctes(text) for name, text in TEXTS.items()}

@@ -16,7 +16,7 @@ from lodestrata.operators import (
     anomalies, changes, gates, gold, governance, profiling, quality, reports, rfm, silver,
 )
 from lodestrata.plans import attachments as A
-from lodestrata.plans import medallion
+from lodestrata.plans import arrivals, medallion
 from lodestrata.schemas import BRONZE, LAYERS, LOG_TABLES
 from lodestrata.session import fresh_dir, tune
 from lodestrata.sources import csv_feed
@@ -355,16 +355,30 @@ def _csv_files(x: Layers, *feeds: str) -> str:
     return folder
 
 
-def _write_named(df: DataFrame, folder: str, feed: str) -> None:
+def _write_named(df: DataFrame, folder: str, feed: str, drop: str = "") -> None:
     """CSV part files named after the feed."""
-    staged = f"{folder}/_staged_{feed}"
+    staged = f"{folder}/_staged_{feed}{drop}"
     df.write.option("header", True).csv(staged)
+    _name_files(df, staged, folder, feed, drop, "csv")
+
+
+def _write_text(lines: DataFrame, folder: str, feed: str) -> None:
+    """A file of a header and the given lines, named after the feed."""
+    staged = f"{folder}/_staged_lines_{feed}"
+    header = lines.sparkSession.createDataFrame([("header",)], "line string")
+    header.unionByName(lines).coalesce(1).write.text(staged)
+    _name_files(lines, staged, folder, feed, "9", "txt")
+
+
+def _name_files(df: DataFrame, staged: str, folder: str, feed: str, drop: str, kind: str) -> None:
     jvm = df.sparkSession._jvm
     conf = df.sparkSession._jsc.hadoopConfiguration()
     source = jvm.org.apache.hadoop.fs.Path(staged)
     fs = source.getFileSystem(conf)
-    for spot, status in enumerate(fs.globStatus(jvm.org.apache.hadoop.fs.Path(f"{staged}/*.csv"))):
-        fs.rename(status.getPath(), jvm.org.apache.hadoop.fs.Path(f"{folder}/{feed}_v{spot}.csv"))
+    number = 1000 if drop else 0
+    for spot, status in enumerate(fs.globStatus(jvm.org.apache.hadoop.fs.Path(f"{staged}/*.{kind}"))):
+        name = f"{feed}_v{spot + number}{drop if drop.isdigit() else ''}.csv"
+        fs.rename(status.getPath(), jvm.org.apache.hadoop.fs.Path(f"{folder}/{name}"))
 
 
 def _read_csv(x: Layers) -> DataFrame:
@@ -494,8 +508,132 @@ def _promote(x: Layers) -> DataFrame:
     return x.spark.createDataFrame(rows, medallion.STEP_SCHEMA)
 
 
+# A measure of each Gold table by which a whole run is compared.
+CHECKSUMS = {
+    "dim_customers": "lifetime_spend", "dim_products": "total_revenue", "dim_dates": "year_num",
+    "fact_sales": "net_revenue", "fact_daily_revenue": "gross_revenue",
+    "fact_payment_summary": "total_amount_completed", "fact_shipment_performance": "delivery_days",
+}
+
+
 def _run(x: Layers) -> DataFrame:
-    return medallion.run_medallion(x.spark, _land_bronze(x), AS_OF, NOW, RUN)
+    """The steps of a run, and rows and checksum of every Gold table it left."""
+    root = _land_bronze(x)
+    steps = medallion.run_medallion(x.spark, root, AS_OF, NOW, RUN)
+    lake = Lake(x.spark, root)
+    for spot, (table, measure) in enumerate(CHECKSUMS.items()):
+        total = F.sum(measure).cast("decimal(30,2)").cast("string")
+        steps = steps.unionByName(lake.read("gold", table).agg(
+            F.concat(F.count("*").cast("string"), F.lit(" rows, "), total).alias("message")
+        ).select(F.lit(101 + spot).alias("step_no"), F.lit(table).alias("step"),
+                 F.lit("STORED").alias("status"), "message"))
+    return steps
+
+
+def _arrivals(x: Layers) -> DataFrame:
+    """Two drops of files, a bad line in each feed, and a call without any: what came of them."""
+    landing, root = fresh_dir(x.spark, "landing"), fresh_dir(x.spark, "lake")
+    cut, found = F.col("payment_date") <= F.lit(EARLIER.date()), []
+
+    def arrive() -> None:
+        for step in arrivals.on_arrival(x.spark, landing, root, AS_OF, NOW, RUN).collect():
+            found.append((f"call {calls}", f"{step.step} {step.status}", 1))
+
+    for feed, df in x.bronze.items():
+        _write_named(df.filter(cut) if feed == "payments" else df, landing, feed)
+        width = len(BRONZE[feed])
+        bad = x.spark.createDataFrame([("x9" + "," * (width - 1),)], "line string")
+        _write_text(bad, landing, feed)
+    calls = 1
+    arrive()
+    _write_named(x.bronze["payments"].filter(~cut), landing, "payments", "late")
+    for calls in (2, 3):
+        arrive()
+    for feed in x.bronze:
+        for kind, path in (("stored", f"{root}/bronze/{feed}"), ("rejected", arrivals.reject_path(root, feed))):
+            found.append((kind, feed, x.spark.read.parquet(path).count()))
+    return x.spark.createDataFrame(found, "what string, name string, n long")
+
+
+# ------------------------------------------------------------ failing checks
+
+# What is wrong with each table: columns replaced, rows kept, rows repeated.  The oracle
+# applies the same texts.
+DIRTY = {
+    ("bronze", "orders"): (
+        {"order_id": "case when order_id % 17 = 0 then null else order_id end",
+         "customer_id": "case when order_id % 19 = 0 then null else customer_id end"},
+        "true", "order_id % 23 = 1"),
+    ("bronze", "customers"): (
+        {"email": "case when customer_id % 13 = 0 then null else email end"}, "true", "customer_id % 29 = 1"),
+    ("bronze", "products"): ({}, "true", "product_id % 31 = 1"),
+    ("bronze", "shipments"): ({}, "false", "false"),
+    ("silver", "stg_orders"): (
+        {"customer_id": "case when order_id % 7 = 0 then -customer_id when order_id % 11 = 0 then null "
+                        "else customer_id end",
+         "order_date": "case when order_id % 13 = 0 then null else order_date end",
+         "total_amount": "case when order_id % 5 = 0 then -total_amount else total_amount end",
+         "status": "case when order_id % 3 = 0 then 'ODD' else status end"}, "true", "order_id % 37 = 1"),
+    ("silver", "stg_order_items"): (
+        {"order_id": "case when order_item_id % 9 = 0 then -order_id else order_id end"}, "true", "false"),
+    ("silver", "stg_payments"): (
+        {"order_id": "case when payment_id % 8 = 0 then null else order_id end"}, "true", "false"),
+    ("silver", "stg_products"): ({}, "false", "false"),
+    ("gold", "fact_sales"): (
+        {"order_id": "case when order_id % 10 = 0 then null else order_id end"}, "order_id % 3 <> 0", "false"),
+    ("gold", "dim_customers"): (
+        {"loyalty_tier": "case when customer_id % 6 = 0 then 'WOOD' else loyalty_tier end"},
+        "true", "customer_id % 41 = 1"),
+    ("gold", "dim_products"): ({}, "false", "false"),
+    ("gold", "dim_dates"): ({}, "false", "false"),
+    ("gold", "fact_shipment_performance"): (
+        {"shipment_id": "case when shipment_id % 9 = 0 then null else shipment_id end"}, "true", "false"),
+    ("gold", "fact_payment_summary"): (
+        {"payment_outcome": "case when order_id % 12 = 0 then 'ODD' else payment_outcome end",
+         "order_id": "case when order_id % 14 = 0 then null else order_id end"}, "true", "false"),
+    ("gold", "fact_daily_revenue"): (
+        {"revenue_date": "case when total_orders % 2 = 0 then null else revenue_date end"}, "true", "false"),
+}
+
+
+def dirty_layers(x: Layers) -> dict[str, dict[str, DataFrame]]:
+    """The stored layers with faults of every kind that a check looks for."""
+    layers = x.stored()
+    for (layer, table), (replaced, kept, repeated) in DIRTY.items():
+        df = layers[layer][table]
+        rows = df.filter(kept).unionByName(df.filter(repeated))
+        layers[layer][table] = rows.selectExpr(*[
+            f"{replaced[c]} as {c}" if c in replaced else c for c in df.columns
+        ])
+    return layers
+
+
+def _dirty_checks(x: Layers) -> dict[str, DataFrame]:
+    dirty, clean = dirty_layers(x), x.stored()
+    return {
+        "gate_bronze_dirty": gates.validate_bronze(dirty["bronze"]),
+        "gate_silver_dirty": gates.validate_silver(dirty["silver"]),
+        "gate_gold_dirty": gates.validate_gold(dirty["gold"], clean["silver"]),
+    }
+
+
+def _dirty_message(x: Layers) -> DataFrame:
+    first, second, third = _dirty_checks(x).values()
+    return gates.gate_message(first.unionByName(second).unionByName(third))
+
+
+def _dirty_tests(x: Layers) -> DataFrame:
+    dirty = dirty_layers(x)
+    return quality.schema_tests({**dirty["silver"], **dirty["gold"]})
+
+
+def dirty_queries() -> dict:
+    return dict(
+        **{n: (lambda x, n=n: _dirty_checks(x)[n])
+           for n in ("gate_bronze_dirty", "gate_silver_dirty", "gate_gold_dirty")},
+        gate_message_dirty=_dirty_message,
+        schema_tests_dirty=_dirty_tests,
+    )
 
 
 def storage_queries() -> dict:
@@ -516,6 +654,7 @@ def storage_queries() -> dict:
         snk_metric_rows=_metric_rows,
         gated_promote=_promote,
         medallion_run=_run,
+        event_run=_arrivals,
     )
 
 
@@ -523,7 +662,7 @@ def layer_queries() -> dict:
     """The queries over given layers."""
     return {
         **model_queries(), **check_queries(), **governance_queries(), **report_queries(),
-        **storage_queries(),
+        **storage_queries(), **dirty_queries(),
     }
 
 

@@ -6,7 +6,7 @@ down instead: each round cuts the current value range into at most ``FAN_OUT``
 equal intervals, counts the values in each, and keeps the one that contains
 rank k.  A round is one flat job over the counts of the values; what goes
 through the driver are at most ``FAN_OUT`` counts of each range.  It ends when every range
-is one value, so a range of 16 million cents takes two rounds, whatever the number of
+is one value, so a range of 67 million cents takes two rounds, whatever the number of
 values.  The result depends on the values alone, so a recomputed task gives the
 same answer.
 """
@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-FAN_OUT = 1 << 12
+FAN_OUT = 1 << 13
 
 
 def order_statistics(values: DataFrame, ranks: dict[str, Column]) -> DataFrame:

@@ -18,6 +18,10 @@ Tables = Mapping[str, DataFrame]
 # Accepted classifications.
 LOYALTY_VALUES = ["PLATINUM", "GOLD", "SILVER", "BRONZE"]
 OUTCOME_VALUES = ["CLEAN", "RECOVERED", "ALL_FAILED", "REFUNDED", "NO_PAYMENT"]
+# Keys that the first gate proves unique.
+UNIQUE_KEYS = {
+    "orders": ["order_id"], "customers": ["customer_id"], "products": ["product_id"],
+}
 # Message of a gate without failures.
 PASS_TEXTS = {
     1: "Bronze data validated for Silver promotion",

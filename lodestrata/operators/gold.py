@@ -113,8 +113,9 @@ def customer_payments(silver: Tables) -> DataFrame:
 def preferred_channel(silver: Tables) -> DataFrame:
     """Most used channel per customer; the first in name order on a tie.
 
-    Both steps are hash aggregates with map-side combine, so a customer with a
-    large share of the orders is reduced before it is shuffled.
+    Uses are counted by hash and combined map-side, so a customer with a large
+    share of the orders is one row per channel and task before the shuffle.  The
+    choice among these few rows sorts, as a least text has no fixed width.
     """
     per_channel = silver["stg_orders"].groupBy("customer_id", "channel").agg(
         F.count("*").alias("uses")
@@ -473,7 +474,7 @@ def fact_sales(silver: Tables, slowest_by_rank: bool = False) -> DataFrame:
     # The difference keeps the customer out of the join keys, which would
     # otherwise move the orders once more.
     same_order = (F.col("order_id") == F.col("only_order")) & (
-        F.col("customer_id") - F.col("only_buyer") == 0
+        (F.col("customer_id") <= F.col("only_buyer")) & (F.col("customer_id") >= F.col("only_buyer"))
     )
     net = or_zero("amount_paid") - or_zero("amount_refunded")
     return (

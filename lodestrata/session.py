@@ -36,27 +36,34 @@ def build_session(app: str, master: str | None = None, **extra: str) -> SparkSes
 
 
 def tune(spark: SparkSession) -> SparkSession:
-    """Give a session from elsewhere the settings the operators rely on."""
+    """Give a session from elsewhere the settings the operators rely on.
+
+    They stay set: frames are lazy, so they must hold when a result is computed.
+    """
     for key, value in RELIED_ON.items():
         spark.conf.set(key, value)
     return spark
 
 
-# Bytes one task should read or receive from a shuffle.
-TASK_BYTES = 200 * 1024 * 1024
+# Bytes one task should read from a table, and receive from a shuffle at most.
+SCAN_BYTES = 512 * 1024 * 1024
+SHUFFLE_BYTES = 1024 * 1024 * 1024
+FEWEST, MOST_PARTITIONS = 200, 100_000
 
 
 def sized_for(input_bytes: int) -> dict[str, str]:
-    """Settings for a given input size.
+    """Settings for a given input size, in bytes of the columns that are read.
 
-    Shuffles start with enough partitions that each fits a task; adaptive
-    execution merges the ones that turn out small.
+    Shuffles start with a partition for each GB, 100,000 at most, as blocks grow with
+    the product of map and reduce tasks; adaptive execution merges the ones that
+    turn out small and splits those of joins that turn out large.
     """
-    partitions = max(200, -(-input_bytes // TASK_BYTES))
+    partitions = min(MOST_PARTITIONS, max(FEWEST, -(-input_bytes // SHUFFLE_BYTES)))
     return {
         "spark.sql.shuffle.partitions": str(partitions),
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(TASK_BYTES),
-        "spark.sql.files.maxPartitionBytes": str(TASK_BYTES),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(partitions),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(SHUFFLE_BYTES // 4),
+        "spark.sql.files.maxPartitionBytes": str(SCAN_BYTES),
     }
 
 

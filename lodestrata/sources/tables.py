@@ -50,9 +50,15 @@ class Lake:
         writer.parquet(self.path(layer, name))
         return self.read(layer, name)
 
-    def replace_if_any(self, df: DataFrame, layer: str, name: str) -> DataFrame | None:
-        """Replace a table unless there is nothing to put in."""
-        if df.isEmpty():
+    def replace_if_any(
+        self, df: DataFrame, layer: str, name: str, given: DataFrame | None = None
+    ) -> DataFrame | None:
+        """Replace a table unless there is nothing to put in.
+
+        ``given`` are rows that ``df`` has a row for each of; asking them saves a
+        run of a plan that is costly.
+        """
+        if (df if given is None else given).isEmpty():
             return self.find(layer, name)
         return self.publish(df, layer, name)
 

@@ -103,6 +103,36 @@ def test_stream_takes_each_file_once(spark, tmp_path):
     assert ingest.has_new_data([again, third])
 
 
+def test_all_batches_count(spark, tmp_path):
+    """Also those that the session's window of progress wouldn't hold."""
+    key = "spark.sql.streaming.numRecentProgressUpdates"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "3")
+    try:
+        landing = tmp_path / "landing"
+        for i in range(7):
+            write(landing, f"orders_v{i}.csv", f"{i},7,2024-01-02 00:00:00,done,web,1.00")
+        query = ingest.ingest_stream(spark, str(landing), "orders", str(tmp_path / "b"), str(tmp_path / "c"), 1)
+        assert ingest.new_rows(query) == 7 and spark.conf.get(key) == "3"
+    finally:
+        spark.conf.set(key, before)
+
+
+def test_lines_that_do_not_fit_are_kept_apart(spark, tmp_path):
+    landing, rejects = tmp_path / "landing", str(tmp_path / "rejects")
+    good = "1,7,2024-01-02 00:00:00,done,web,1.00"
+    write(landing, "orders.csv", good, "x9,7,2024-01-02 00:00:00,done,web,1.00",
+          "2,7,2024-01-02 00:00:00,done,web,12.5O", "3,7", "4,,,,,")
+    target, checkpoint = str(tmp_path / "bronze"), str(tmp_path / "c")
+    for _ in range(2):
+        ingest.ingest_stream(spark, str(landing), "orders", target, checkpoint, rejects=rejects)
+    stored = spark.read.schema(BRONZE["orders"]).parquet(target)
+    assert sorted(r["order_id"] for r in stored.collect()) == [1, 4]
+    lines = spark.read.parquet(rejects).collect()
+    assert sorted(r["line"][:2] for r in lines) == ["2,", "3,", "x9"]
+    assert {r["file_name"] for r in lines} == {"orders.csv"}
+
+
 def test_limited_batches_take_everything(spark, tmp_path):
     landing = tmp_path / "landing"
     for i in range(4):
@@ -192,7 +222,8 @@ def test_shared_folder_comes_from_the_session(spark):
 def test_settings_grow_with_the_input():
     small, large = sized_for(10**9), sized_for(100 * 10**12)
     assert small["spark.sql.shuffle.partitions"] == "200"
-    assert int(large["spark.sql.shuffle.partitions"]) == -(-100 * 10**12 // (200 * 1024 * 1024))
+    assert int(large["spark.sql.shuffle.partitions"]) == -(-100 * 10**12 // 1024**3)
+    assert sized_for(10**18)["spark.sql.shuffle.partitions"] == "100000"
 
 
 def test_tune_sets_what_the_operators_rely_on(spark):
