@@ -64,6 +64,12 @@ def bands_of(counts: np.ndarray) -> np.ndarray:
 
 def prefixes(shingles: np.ndarray, offsets: np.ndarray, bands: np.ndarray, order: int, size=prefix_length):
     """The prefix shingles of sets (by their sort keys), and the set each is of."""
+    keys, of, _ = ranked_prefixes(shingles, offsets, bands, order, size)
+    return keys, of
+
+
+def ranked_prefixes(shingles: np.ndarray, offsets: np.ndarray, bands: np.ndarray, order: int, size):
+    """As ``prefixes``, with each shingle's rank in its set."""
     of = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
     keys = order_keys(shingles, bands, order)
     sort = np.argsort(keys)
@@ -71,12 +77,12 @@ def prefixes(shingles: np.ndarray, offsets: np.ndarray, bands: np.ndarray, order
     sort = sort[np.argsort(of[sort].astype(kind), kind="stable")]
     rank = np.arange(len(keys)) - offsets[:-1][of]
     first = rank < size(np.diff(offsets))[of]
-    return keys[sort][first], of[first]
+    return keys[sort][first], of[first], rank[first]
 
 
-def parity_bitmap(shingles: np.ndarray) -> bytes:
+def parity_bitmap(shingles: np.ndarray, cells: int = CELLS_PER_SHINGLE) -> bytes:
     """A bit for each of a power of two of cells: whether it holds an odd number of shingles."""
-    bits = max(64, CELLS_PER_SHINGLE << (len(shingles) - 1).bit_length())
+    bits = max(64, cells << (len(shingles) - 1).bit_length())
     cells = (mixed(shingles, 0) & np.uint64(bits - 1)).astype(np.int64)
     return np.packbits(np.bincount(cells, minlength=bits).astype(np.uint8) & 1, bitorder="little").tobytes()
 
@@ -105,7 +111,9 @@ def similar_sizes(small: int, large: int) -> bool:
 
 
 def set_table(docs: DataFrame) -> tuple[DataFrame, np.ndarray]:
-    """``doc_id n k1 k2 bitmap`` of every document, and the band of each cell.
+    """``doc_id n k1 k2 bitmap small`` of every document, and the band of each cell.
+
+    ``small`` is a bitmap with a quarter of the cells.
 
     ``k1`` and ``k2`` are the same for equal sets and for those alone (96 bits).  The
     cells' counts come as one fixed-size row per task.
@@ -115,26 +123,30 @@ def set_table(docs: DataFrame) -> tuple[DataFrame, np.ndarray]:
         cells = np.zeros(1 << CELL_BITS, np.int64)
         kinds = pa.schema([
             ("doc_id", pa.int64()), ("n", pa.int64()), ("k1", pa.int64()), ("k2", pa.int32()),
-            ("bitmap", pa.binary()), ("cells", pa.binary()),
+            ("bitmap", pa.binary()), ("small", pa.binary()), ("cells", pa.binary()),
         ])
         for batch in grouped(batches):
             sets, offsets = shingle_sets(*column_bytes(batch["text"]))
             cells += np.bincount((sets >> np.uint64(64 - CELL_BITS)).astype(np.int64), minlength=len(cells))
             k1, k2 = set_keys(sets, offsets)
-            maps = [parity_bitmap(sets[a:b]) if b > a else None for a, b in zip(offsets[:-1], offsets[1:])]
+            maps = [
+                pa.array([parity_bitmap(sets[a:b], cells_per) if b > a else None
+                          for a, b in zip(offsets[:-1], offsets[1:])], pa.binary())
+                for cells_per in (CELLS_PER_SHINGLE, 1)
+            ]
             n = batch.num_rows
             yield pa.RecordBatch.from_arrays([
                 batch["doc_id"], pa.array(np.diff(offsets)), pa.array(k1), pa.array(k2),
-                pa.array(maps, pa.binary()), pa.nulls(n, pa.binary()),
+                *maps, pa.nulls(n, pa.binary()),
             ], schema=kinds)
         packed = zlib.compress(cells.tobytes(), 1)
         yield pa.RecordBatch.from_arrays([
-            pa.array([x], k.type) for x, k in zip([None, None, None, None, None, packed], kinds)
+            pa.array([x], k.type) for x, k in zip([None] * 6 + [packed], kinds)
         ], schema=kinds)
 
     rows = stored(
         docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(
-            run, "doc_id long, n long, k1 long, k2 int, bitmap binary, cells binary"
+            run, "doc_id long, n long, k1 long, k2 int, bitmap binary, small binary, cells binary"
         ), "shingle-sets",
     )
 
@@ -170,7 +182,10 @@ def set_keys(sets: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
 
 
 def shared_rows(docs: DataFrame, bands: np.ndarray) -> DataFrame:
-    """Prefix shingles of the first order that two or more sets have: ``token k1 k2 n``, stored."""
+    """Prefix shingles of the first order that two or more sets have, stored: ``token k1 k2 n short``.
+
+    ``short`` is 1 for those of the usual prefix, 0 for those that make it longer.
+    """
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in grouped(batches):
@@ -181,12 +196,12 @@ def shared_rows(docs: DataFrame, bands: np.ndarray) -> DataFrame:
             same = np.lexsort((np.arange(len(k1)), k2, k1))
             once = np.zeros(len(k1), bool)
             once[same] = np.append(True, (k1[same][1:] != k1[same][:-1]) | (k2[same][1:] != k2[same][:-1]))[: len(k1)]
-            keys, of = prefixes(sets, offsets, bands, 0, reach)
-            keys, of = keys[once[of]], of[once[of]]
+            keys, of, rank = ranked_prefixes(sets, offsets, bands, 0, reach)
+            keys, of, rank = keys[once[of]], of[once[of]], rank[once[of]]
             token = (mixed(keys, 4) >> np.uint64(64 - TOKEN_BITS)).astype(np.int64)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(token), pa.array(k1[of]), pa.array(k2[of]), pa.array(size[of].astype(np.int32))],
-                NAMES,
+                [pa.array(token), pa.array(k1[of]), pa.array(k2[of]), pa.array(size[of].astype(np.int32)),
+                 pa.array((rank < prefix_length(size)[of]).astype(np.int8))], NAMES,
             )
 
     def drop_single(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -199,7 +214,7 @@ def shared_rows(docs: DataFrame, bands: np.ndarray) -> DataFrame:
             columns = [batch[x].to_numpy() for x in NAMES]
             if held is not None:
                 columns = [np.concatenate([[h], c]).astype(c.dtype) for h, c in zip(held, columns)]
-            token, k1, k2, _ = columns
+            token, k1, k2 = columns[:3]
             new = np.ones(len(token), bool)
             new[1:] = (token[1:] != token[:-1]) | (k1[1:] != k1[:-1]) | (k2[1:] != k2[:-1])
             columns = [c[new] for c in columns]
@@ -216,8 +231,8 @@ def shared_rows(docs: DataFrame, bands: np.ndarray) -> DataFrame:
     return stored(sorted_.mapInArrow(drop_single, ROW_DDL), "shared-prefixes")
 
 
-NAMES = ["token", "k1", "k2", "n"]
-ROW_DDL = "token long, k1 long, k2 int, n int"
+NAMES = ["token", "k1", "k2", "n", "short"]
+ROW_DDL = "token long, k1 long, k2 int, n int, short tinyint"
 
 
 def prefix_groups(shared: DataFrame) -> DataFrame:
@@ -231,14 +246,16 @@ def prefix_groups(shared: DataFrame) -> DataFrame:
     short = n - F.ceil(n * NUMERATOR / DENOMINATOR) + 1
     need = F.least(n, short + F.floor(short / 2)) - short + 1
     able = shared.groupBy("k1", "k2", "n").count().filter(F.col("count") >= need).select("k1", "k2")
-    rows = shared.join(able, ["k1", "k2"]).select(*NAMES)
+    rows = shared.filter("short = 1").join(able, ["k1", "k2"]).select("token", "k1", "k2", "n")
+
+    names = ["token", "k1", "k2", "n"]
 
     def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int32()]
         pivots, current = [], None
         for batch in batches:
             out = []
-            for row in zip(*(batch[x].to_pylist() for x in NAMES)):
+            for row in zip(*(batch[x].to_pylist() for x in names)):
                 token, _, _, size = row
                 if token != current:
                     current, pivots = token, []
@@ -249,15 +266,18 @@ def prefix_groups(shared: DataFrame) -> DataFrame:
                 out.append((*row, pivot[0], pivot[1]))
             columns = list(zip(*out)) or [[]] * 6
             yield pa.RecordBatch.from_arrays(
-                [pa.array(x, k) for x, k in zip(columns, kinds)], [*NAMES, "p1", "p2"]
+                [pa.array(x, k) for x, k in zip(columns, kinds)], [*names, "p1", "p2"]
             )
 
     # Which member comes first differs by shingle, so that a member that is far
     # from one pivot of its group may be near another.
     ordered = rows.repartition(F.col("token")).withColumn(
         "turn", F.xxhash64("k1", "k2", F.col("token") % PIVOTS)
-    ).sortWithinPartitions("token", "turn").select(*NAMES)
-    return stored(ordered.mapInArrow(choose, f"{ROW_DDL}, p1 long, p2 int"), "prefix-groups")
+    ).sortWithinPartitions("token", "turn").select(*names)
+    return stored(ordered.mapInArrow(choose, "token long, k1 long, k2 int, n int, p1 long, p2 int"), "prefix-groups")
+
+
+PAIR = ["a", "b", "a1", "b1", "n_a", "n_b", "map_a", "map_b"]
 
 
 def bitmap_filter(pairs: DataFrame) -> DataFrame:
@@ -319,19 +339,20 @@ def verified(pairs: DataFrame, docs: DataFrame, bands: np.ndarray) -> DataFrame:
 
 
 def _across(groups: DataFrame, classes: DataFrame, roots: DataFrame) -> DataFrame:
-    """Pairs of different components that meet in a group and pass the bitmaps: ``a b a1 b1``.
+    """Pairs of different components that meet in a group and pass the small bitmaps: ``a b a1 b1``.
 
-    A group is cut into blocks of about ``BLOCK`` members by a hash; a block meets every
+    Two members alone were compared with each other in the first pass, one being
+    the pivot.  A group is cut into blocks of about ``BLOCK`` members by a hash; a block meets every
     block of its group (itself included) in a task of its own, and only pairs
     that pass leave it.
     """
     marked = groups.join(classes, ["k1", "k2"]).join(roots, F.col("rep") == F.col("node"), "left").select(
-        "token", "rep", "k1", "bitmap", groups["n"].alias("n"),
+        "token", "rep", "k1", F.col("small").alias("bitmap"), groups["n"].alias("n"),
         F.coalesce("root", "rep").alias("root"),
     )
     mixed_groups = marked.groupBy("token").agg(
         F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("members")
-    ).filter("low != high").select(
+    ).filter("low != high and members > 2").select(
         "token", F.ceil(F.col("members") / BLOCK).cast("int").alias("blocks")
     )
     members = marked.join(mixed_groups, "token").withColumn(
@@ -397,21 +418,29 @@ def similar_documents(docs: DataFrame) -> DataFrame:
     some = rows.filter("n > 0")
     classes = stored(
         some.groupBy("k1", "k2").agg(F.min("doc_id").alias("rep"), F.any_value("n").alias("n"),
-                                     F.any_value("bitmap").alias("bitmap")).filter("rep is not null"),
+                                     F.any_value("bitmap").alias("bitmap"), F.any_value("small").alias("small"))
+        .filter("rep is not null"),
         "classes",
     )
     groups = prefix_groups(shared_rows(docs, bands))
-    left = classes.select("k1", "k2", F.col("rep").alias("a"), F.col("n").alias("n_a"), F.col("bitmap").alias("map_a"))
+    left = classes.select(
+        F.col("k1").alias("a1"), F.col("k2").alias("a2"), F.col("rep").alias("a"),
+        F.col("n").alias("n_a"), F.col("bitmap").alias("map_a"),
+    )
     right = classes.select(
-        F.col("k1").alias("p1"), F.col("k2").alias("p2"), F.col("rep").alias("b"),
+        F.col("k1").alias("b1"), F.col("k2").alias("b2"), F.col("rep").alias("b"),
         F.col("n").alias("n_b"), F.col("bitmap").alias("map_b"),
     )
-    stars = groups.filter("p1 is not null").select("k1", "k2", "p1", "p2").distinct()
-    paired = stars.join(left, ["k1", "k2"]).join(right, ["p1", "p2"]).withColumn("a1", F.col("k1")).withColumn("b1", F.col("p1"))
-    near = stored(bitmap_filter(paired.filter("a != b").select("a", "b", "a1", "b1", "n_a", "n_b", "map_a", "map_b")), "star-pairs")
+    stars = groups.filter("p1 is not null").select(
+        F.col("k1").alias("a1"), F.col("k2").alias("a2"), F.col("p1").alias("b1"), F.col("p2").alias("b2")
+    ).distinct()
+    paired = stars.join(left, ["a1", "a2"]).join(right, ["b1", "b2"]).filter("a != b")
+    near = stored(bitmap_filter(paired.select(*PAIR)), "star-pairs")
     links = verified(near, docs, bands)
     roots = connected(links)
-    across = stored(_across(groups, classes.select("k1", "k2", "rep", "bitmap"), roots), "cross-pairs")
+    met = _across(groups, classes.select("k1", "k2", "rep", "small"), roots)
+    met = met.join(left.drop("a2"), ["a", "a1"]).join(right.drop("b2"), ["b", "b1"])
+    across = stored(bitmap_filter(met.select(*PAIR)), "cross-pairs")
     more = verified(across, docs, bands)
     final = connected(links.unionByName(more))
     named = classes.join(final, F.col("rep") == F.col("node"), "left").select(
