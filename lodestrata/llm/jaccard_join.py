@@ -182,9 +182,10 @@ def set_keys(sets: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
 
 
 def shared_rows(docs: DataFrame, bands: np.ndarray) -> DataFrame:
-    """Prefix shingles of the first order that two or more sets have, stored: ``token k1 k2 n short``.
+    """Prefix shingles of the first order that two or more sets have, stored: ``token k1 short``.
 
-    ``short`` is 1 for those of the usual prefix, 0 for those that make it longer.
+    Rows are as narrow as can be, as there are many: a set goes by ``k1``, and should
+    two sets share one, both are looked up and compared later.  ``short`` is 1 for those of the usual prefix, 0 for those that make it longer.
     """
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -199,10 +200,8 @@ def shared_rows(docs: DataFrame, bands: np.ndarray) -> DataFrame:
             keys, of, rank = ranked_prefixes(sets, offsets, bands, 0, reach)
             keys, of, rank = keys[once[of]], of[once[of]], rank[once[of]]
             token = (mixed(keys, 4) >> np.uint64(64 - TOKEN_BITS)).astype(np.int64)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(token), pa.array(k1[of]), pa.array(k2[of]), pa.array(size[of].astype(np.int32)),
-                 pa.array((rank < prefix_length(size)[of]).astype(np.int8))], NAMES,
-            )
+            short = (rank < prefix_length(size)[of]).astype(np.int8)
+            yield pa.RecordBatch.from_arrays([pa.array(token), pa.array(k1[of]), pa.array(short)], NAMES)
 
     def drop_single(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # A row goes out when the next is known; the last one is held back, with
@@ -214,9 +213,9 @@ def shared_rows(docs: DataFrame, bands: np.ndarray) -> DataFrame:
             columns = [batch[x].to_numpy() for x in NAMES]
             if held is not None:
                 columns = [np.concatenate([[h], c]).astype(c.dtype) for h, c in zip(held, columns)]
-            token, k1, k2 = columns[:3]
+            token, k1 = columns[:2]
             new = np.ones(len(token), bool)
-            new[1:] = (token[1:] != token[:-1]) | (k1[1:] != k1[:-1]) | (k2[1:] != k2[:-1])
+            new[1:] = (token[1:] != token[:-1]) | (k1[1:] != k1[:-1])
             columns = [c[new] for c in columns]
             same = columns[0][1:] == columns[0][:-1]
             before = np.append(continues and held is not None, same)
@@ -227,16 +226,16 @@ def shared_rows(docs: DataFrame, bands: np.ndarray) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(np.array([h])) for h in held], NAMES)
 
     rows = docs.select("text").mapInArrow(emit, ROW_DDL)
-    sorted_ = rows.repartition(F.col("token")).sortWithinPartitions("token", "k1", "k2")
+    sorted_ = rows.repartition(F.col("token")).sortWithinPartitions("token", "k1")
     return stored(sorted_.mapInArrow(drop_single, ROW_DDL), "shared-prefixes")
 
 
-NAMES = ["token", "k1", "k2", "n", "short"]
-ROW_DDL = "token long, k1 long, k2 int, n int, short tinyint"
+NAMES = ["token", "k1", "short"]
+ROW_DDL = "token long, k1 long, short tinyint"
 
 
-def prefix_groups(shared: DataFrame) -> DataFrame:
-    """The rows of sets that may have a partner, each with the pivot of its group: ``p1 p2``.
+def prefix_groups(shared: DataFrame, classes: DataFrame) -> DataFrame:
+    """The rows of sets that may have a partner, with the pivot of each: ``token rep k1 n p p1``.
 
     Of a prefix of ``p + c - 1`` shingles a set must share ``c`` with others.  A pivot has null
     for its own; a group has a pivot for each range of sizes, and streams
@@ -245,36 +244,38 @@ def prefix_groups(shared: DataFrame) -> DataFrame:
     n = F.col("n").cast("long")
     short = n - F.ceil(n * NUMERATOR / DENOMINATOR) + 1
     need = F.least(n, short + F.floor(short / 2)) - short + 1
-    able = shared.groupBy("k1", "k2", "n").count().filter(F.col("count") >= need).select("k1", "k2")
-    rows = shared.filter("short = 1").join(able, ["k1", "k2"]).select("token", "k1", "k2", "n")
-
-    names = ["token", "k1", "k2", "n"]
+    able = shared.groupBy("k1").count().join(classes.select("k1", "rep", "n"), "k1").filter(
+        F.col("count") >= need).select("k1", "rep", "n")
+    names = ["token", "rep", "k1", "n"]
+    rows = shared.filter("short = 1").select("token", "k1").join(able, "k1").select(*names)
 
     def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int32()]
+        kinds = [pa.int64()] * 6
         pivots, current = [], None
         for batch in batches:
             out = []
             for row in zip(*(batch[x].to_pylist() for x in names)):
-                token, _, _, size = row
+                token, rep, k1, size = row
                 if token != current:
                     current, pivots = token, []
                 pivot = next((p for p in pivots if similar_sizes(min(size, p[2]), max(size, p[2]))), None)
                 if pivot is None:
-                    pivots.append(row[1:])
+                    pivots.append((rep, k1, size))
                     pivot = (None, None)
                 out.append((*row, pivot[0], pivot[1]))
             columns = list(zip(*out)) or [[]] * 6
             yield pa.RecordBatch.from_arrays(
-                [pa.array(x, k) for x, k in zip(columns, kinds)], [*names, "p1", "p2"]
+                [pa.array(x, k) for x, k in zip(columns, kinds)], [*names, "p", "p1"]
             )
 
     # Which member comes first differs by shingle, so that a member that is far
     # from one pivot of its group may be near another.
     ordered = rows.repartition(F.col("token")).withColumn(
-        "turn", F.xxhash64("k1", "k2", F.col("token") % PIVOTS)
+        "turn", F.xxhash64("rep", "k1", F.col("token") % PIVOTS)
     ).sortWithinPartitions("token", "turn").select(*names)
-    return stored(ordered.mapInArrow(choose, "token long, k1 long, k2 int, n int, p1 long, p2 int"), "prefix-groups")
+    return stored(
+        ordered.mapInArrow(choose, "token long, rep long, k1 long, n long, p long, p1 long"), "prefix-groups"
+    )
 
 
 PAIR = ["a", "b", "a1", "b1", "n_a", "n_b", "map_a", "map_b"]
@@ -346,7 +347,7 @@ def _across(groups: DataFrame, classes: DataFrame, roots: DataFrame) -> DataFram
     block of its group (itself included) in a task of its own, and only pairs
     that pass leave it.
     """
-    marked = groups.join(classes, ["k1", "k2"]).join(roots, F.col("rep") == F.col("node"), "left").select(
+    marked = groups.join(classes, ["rep", "k1"]).join(roots, F.col("rep") == F.col("node"), "left").select(
         "token", "rep", "k1", F.col("small").alias("bitmap"), groups["n"].alias("n"),
         F.coalesce("root", "rep").alias("root"),
     )
@@ -422,24 +423,20 @@ def similar_documents(docs: DataFrame) -> DataFrame:
         .filter("rep is not null"),
         "classes",
     )
-    groups = prefix_groups(shared_rows(docs, bands))
-    left = classes.select(
-        F.col("k1").alias("a1"), F.col("k2").alias("a2"), F.col("rep").alias("a"),
-        F.col("n").alias("n_a"), F.col("bitmap").alias("map_a"),
-    )
-    right = classes.select(
-        F.col("k1").alias("b1"), F.col("k2").alias("b2"), F.col("rep").alias("b"),
-        F.col("n").alias("n_b"), F.col("bitmap").alias("map_b"),
+    groups = prefix_groups(shared_rows(docs, bands), classes)
+    left, right = (
+        classes.select(F.col("rep").alias(x), F.col("k1").alias(f"{x}1"), F.col("n").alias(f"n_{x}"),
+                       F.col("bitmap").alias(f"map_{x}")) for x in ("a", "b")
     )
-    stars = groups.filter("p1 is not null").select(
-        F.col("k1").alias("a1"), F.col("k2").alias("a2"), F.col("p1").alias("b1"), F.col("p2").alias("b2")
+    stars = groups.filter("p is not null").select(
+        F.col("rep").alias("a"), F.col("k1").alias("a1"), F.col("p").alias("b"), F.col("p1").alias("b1")
     ).distinct()
-    paired = stars.join(left, ["a1", "a2"]).join(right, ["b1", "b2"]).filter("a != b")
+    paired = stars.join(left, ["a", "a1"]).join(right, ["b", "b1"]).filter("a != b")
     near = stored(bitmap_filter(paired.select(*PAIR)), "star-pairs")
     links = verified(near, docs, bands)
     roots = connected(links)
-    met = _across(groups, classes.select("k1", "k2", "rep", "small"), roots)
-    met = met.join(left.drop("a2"), ["a", "a1"]).join(right.drop("b2"), ["b", "b1"])
+    met = _across(groups, classes.select("k1", "rep", "small"), roots)
+    met = met.join(left, ["a", "a1"]).join(right, ["b", "b1"])
     across = stored(bitmap_filter(met.select(*PAIR)), "cross-pairs")
     more = verified(across, docs, bands)
     final = connected(links.unionByName(more))
