@@ -36,7 +36,8 @@ CELL_BITS = 18                  # cells of the table of counts: its size is fixe
 ORDERS = 3
 TOKEN_BITS = 40                 # of a prefix shingle's name; two that clash only meet in vain
 PIVOTS = 4
-CELLS_PER_SHINGLE = 4           # of the bitmaps, at least
+CELLS_PER_SHINGLE = 8           # of the bitmaps of small sets
+BITMAP_BITS = 2048              # beyond which a bitmap has a cell per shingle
 BLOCK = 256                     # members of a group that are compared with as many at once
 
 
@@ -80,9 +81,14 @@ def ranked_prefixes(shingles: np.ndarray, offsets: np.ndarray, bands: np.ndarray
     return keys[sort][first], of[first], rank[first]
 
 
-def parity_bitmap(shingles: np.ndarray, cells: int = CELLS_PER_SHINGLE) -> bytes:
-    """A bit for each of a power of two of cells: whether it holds an odd number of shingles."""
-    bits = max(64, cells << (len(shingles) - 1).bit_length())
+def parity_bitmap(shingles: np.ndarray) -> bytes:
+    """A bit for each of a power of two of cells: whether it holds an odd number of shingles.
+
+    Small sets have several cells per shingle, so that few shingles share one
+    and the bound is close.
+    """
+    size = 1 << (len(shingles) - 1).bit_length()
+    bits = max(64, min(CELLS_PER_SHINGLE * size, max(BITMAP_BITS, size)))
     cells = (mixed(shingles, 0) & np.uint64(bits - 1)).astype(np.int64)
     return np.packbits(np.bincount(cells, minlength=bits).astype(np.uint8) & 1, bitorder="little").tobytes()
 
@@ -111,9 +117,7 @@ def similar_sizes(small: int, large: int) -> bool:
 
 
 def set_table(docs: DataFrame) -> tuple[DataFrame, np.ndarray]:
-    """``doc_id n k1 k2 bitmap small`` of every document, and the band of each cell.
-
-    ``small`` is a bitmap with a quarter of the cells.
+    """``doc_id n k1 k2 bitmap`` of every document, and the band of each cell.
 
     ``k1`` and ``k2`` are the same for equal sets and for those alone (96 bits).  The
     cells' counts come as one fixed-size row per task.
@@ -123,30 +127,26 @@ def set_table(docs: DataFrame) -> tuple[DataFrame, np.ndarray]:
         cells = np.zeros(1 << CELL_BITS, np.int64)
         kinds = pa.schema([
             ("doc_id", pa.int64()), ("n", pa.int64()), ("k1", pa.int64()), ("k2", pa.int32()),
-            ("bitmap", pa.binary()), ("small", pa.binary()), ("cells", pa.binary()),
+            ("bitmap", pa.binary()), ("cells", pa.binary()),
         ])
         for batch in grouped(batches):
             sets, offsets = shingle_sets(*column_bytes(batch["text"]))
             cells += np.bincount((sets >> np.uint64(64 - CELL_BITS)).astype(np.int64), minlength=len(cells))
             k1, k2 = set_keys(sets, offsets)
-            maps = [
-                pa.array([parity_bitmap(sets[a:b], cells_per) if b > a else None
-                          for a, b in zip(offsets[:-1], offsets[1:])], pa.binary())
-                for cells_per in (CELLS_PER_SHINGLE, 1)
-            ]
+            maps = [parity_bitmap(sets[a:b]) if b > a else None for a, b in zip(offsets[:-1], offsets[1:])]
             n = batch.num_rows
             yield pa.RecordBatch.from_arrays([
                 batch["doc_id"], pa.array(np.diff(offsets)), pa.array(k1), pa.array(k2),
-                *maps, pa.nulls(n, pa.binary()),
+                pa.array(maps, pa.binary()), pa.nulls(n, pa.binary()),
             ], schema=kinds)
         packed = zlib.compress(cells.tobytes(), 1)
         yield pa.RecordBatch.from_arrays([
-            pa.array([x], k.type) for x, k in zip([None] * 6 + [packed], kinds)
+            pa.array([x], k.type) for x, k in zip([None] * 5 + [packed], kinds)
         ], schema=kinds)
 
     rows = stored(
         docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(
-            run, "doc_id long, n long, k1 long, k2 int, bitmap binary, small binary, cells binary"
+            run, "doc_id long, n long, k1 long, k2 int, bitmap binary, cells binary"
         ), "shingle-sets",
     )
 
@@ -340,7 +340,7 @@ def verified(pairs: DataFrame, docs: DataFrame, bands: np.ndarray) -> DataFrame:
 
 
 def _across(groups: DataFrame, classes: DataFrame, roots: DataFrame) -> DataFrame:
-    """Pairs of different components that meet in a group and pass the small bitmaps: ``a b a1 b1``.
+    """Pairs of different components that meet in a group and pass the bitmaps: ``a b a1 b1``.
 
     Two members alone were compared with each other in the first pass, one being
     the pivot.  A group is cut into blocks of about ``BLOCK`` members by a hash; a block meets every
@@ -348,7 +348,7 @@ def _across(groups: DataFrame, classes: DataFrame, roots: DataFrame) -> DataFram
     that pass leave it.
     """
     marked = groups.join(classes, ["rep", "k1"]).join(roots, F.col("rep") == F.col("node"), "left").select(
-        "token", "rep", "k1", F.col("small").alias("bitmap"), groups["n"].alias("n"),
+        "token", "rep", "k1", "bitmap", groups["n"].alias("n"),
         F.coalesce("root", "rep").alias("root"),
     )
     mixed_groups = marked.groupBy("token").agg(
@@ -419,7 +419,7 @@ def similar_documents(docs: DataFrame) -> DataFrame:
     some = rows.filter("n > 0")
     classes = stored(
         some.groupBy("k1", "k2").agg(F.min("doc_id").alias("rep"), F.any_value("n").alias("n"),
-                                     F.any_value("bitmap").alias("bitmap"), F.any_value("small").alias("small"))
+                                     F.any_value("bitmap").alias("bitmap"))
         .filter("rep is not null"),
         "classes",
     )
@@ -435,9 +435,7 @@ def similar_documents(docs: DataFrame) -> DataFrame:
     near = stored(bitmap_filter(paired.select(*PAIR)), "star-pairs")
     links = verified(near, docs, bands)
     roots = connected(links)
-    met = _across(groups, classes.select("k1", "rep", "small"), roots)
-    met = met.join(left, ["a", "a1"]).join(right, ["b", "b1"])
-    across = stored(bitmap_filter(met.select(*PAIR)), "cross-pairs")
+    across = stored(_across(groups, classes.select("k1", "rep", "bitmap"), roots), "cross-pairs")
     more = verified(across, docs, bands)
     final = connected(links.unionByName(more))
     named = classes.join(final, F.col("rep") == F.col("node"), "left").select(
