@@ -461,3 +461,32 @@ def one_per_group(docs: DataFrame) -> DataFrame:
     later = similar_documents(docs).filter("doc_id != component_id").select(F.col("doc_id").alias(gone)).distinct()
     known = docs.filter("doc_id is not null").join(later, F.col("doc_id") == F.col(gone), "left_anti")
     return known.unionByName(docs.filter("doc_id is null"))
+
+
+# Shingles as text; components as the least id of all that is reached.
+OP6_SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS words FROM documents
+), s AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(words) BETWEEN 1 AND 4 THEN [array_to_string(words, ' ')]
+    ELSE list_transform(range(1, len(words) - 3), lambda i: array_to_string(words[i:i + 4], ' ')) END) AS shingle
+  FROM w
+), n AS (
+  SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id
+), p AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS both_have FROM s AS a JOIN s AS b
+    ON a.shingle = b.shingle AND a.doc_id < b.doc_id GROUP BY 1, 2
+), links AS (
+  SELECT a, b FROM p JOIN n AS x ON x.doc_id = a JOIN n AS y ON y.doc_id = b
+  WHERE 100 * both_have >= 80 * (x.n + y.n - both_have)
+), e AS (
+  SELECT a, b FROM links UNION ALL SELECT b, a FROM links
+), reached AS (
+  SELECT doc_id, doc_id AS other FROM documents
+  UNION
+  SELECT reached.doc_id, e.b FROM reached JOIN e ON e.a = reached.other
+)
+SELECT r.doc_id, coalesce(any_value(n.n), 0) AS n_shingles, min(other) AS component_id
+FROM reached AS r LEFT JOIN n ON n.doc_id = r.doc_id GROUP BY r.doc_id
+"""

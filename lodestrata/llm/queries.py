@@ -43,5 +43,7 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def llm_oracles() -> dict[str, str]:
     return {
+        "op3_suffix_dedup": suffix_dedup.OP3_SQL,
         "op5_warc": warc.OP5_SQL,
+        "op6_jaccard_join": jaccard_join.OP6_SQL,
     }

@@ -430,3 +430,38 @@ def without_repeats(docs: DataFrame) -> DataFrame:
 def op3_suffix_dedup(spark, docs: DataFrame) -> DataFrame:
     """Repeated strings of 100 bytes over all documents."""
     return repeat_digests(docs)
+
+
+# Bytes as hexadecimal text; a window is repeated if it isn't the first of its kind.
+OP3_SQL = """
+WITH d AS (
+  SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents
+), w AS (
+  SELECT doc_id, j, substr(h, 2 * j - 1, 200) AS bytes
+  FROM (SELECT doc_id, h, unnest(range(1, length(h) // 2 - 98)) AS j FROM d)
+), f AS (
+  SELECT bytes, min(struct_pack(doc_id := doc_id, j := j)) AS first FROM w GROUP BY bytes HAVING count(*) > 1
+), r AS (
+  SELECT w.doc_id, w.j FROM w JOIN f ON w.bytes = f.bytes
+  WHERE struct_pack(doc_id := w.doc_id, j := w.j) > f.first
+), g AS (
+  SELECT doc_id, j, sum(apart) OVER (PARTITION BY doc_id ORDER BY j) AS run
+  FROM (SELECT doc_id, j, (j > coalesce(lag(j) OVER (PARTITION BY doc_id ORDER BY j), -1000) + 100)::int AS apart FROM r)
+), spans AS (
+  SELECT doc_id, min(j) AS b, max(j) + 99 AS e FROM g GROUP BY doc_id, run
+), cuts AS (
+  SELECT doc_id, coalesce(lag(e) OVER (PARTITION BY doc_id ORDER BY b), 0) + 1 AS b, b - 1 AS e FROM spans
+  UNION ALL
+  SELECT d.doc_id, coalesce(max(spans.e), 0) + 1, any_value(length(d.h)) // 2
+  FROM d LEFT JOIN spans ON spans.doc_id = d.doc_id GROUP BY d.doc_id
+), kept AS (
+  SELECT d.doc_id, string_agg(CASE WHEN c.e >= c.b THEN substr(d.h, 2 * c.b - 1, 2 * (c.e - c.b + 1)) ELSE '' END, ''
+    ORDER BY c.b) AS h
+  FROM d JOIN cuts AS c ON c.doc_id = d.doc_id GROUP BY d.doc_id
+), sums AS (
+  SELECT doc_id, sum(e - b + 1) AS n_removed, count(*) AS n_spans FROM spans GROUP BY doc_id
+)
+SELECT d.doc_id, length(d.h) // 2 AS n_bytes, cast(coalesce(s.n_removed, 0) AS bigint) AS n_removed,
+  coalesce(s.n_spans, 0) AS n_spans, sha256(unhex(kept.h)) AS kept_sha256
+FROM d JOIN kept ON kept.doc_id = d.doc_id LEFT JOIN sums AS s ON s.doc_id = d.doc_id
+"""
