@@ -11,7 +11,8 @@ Equal sets are one class from the start.  Then, so that a group of similar sets
 become all its pairs, two passes find the links:
 
 1. in each group of a prefix shingle, members are compared with a pivot only (one of
-   ``PIVOTS`` ways to choose it, by shingle), and the links are joined to components;
+   ``PIVOTS`` ways to choose it, by shingle), and the links are joined to components; a
+   second turn does so with other pivots, where groups still hold several components;
 2. in groups that still hold several components, the members of different
    components are compared by their bitmaps, block against block, and the pairs
    that pass are verified.  No candidate is left out, so the components are exact.
@@ -36,6 +37,7 @@ CELL_BITS = 18                  # cells of the table of counts: its size is fixe
 ORDERS = 3
 TOKEN_BITS = 40                 # of a prefix shingle's name; two that clash only meet in vain
 PIVOTS = 4
+TURNS = 2                       # of comparing with pivots
 CELLS_PER_SHINGLE = 8           # of the bitmaps of small sets
 BITMAP_BITS = 2048              # beyond which a bitmap has a cell per shingle
 BLOCK = 256                     # members of a group that are compared with as many at once
@@ -234,48 +236,65 @@ NAMES = ["token", "k1", "short"]
 ROW_DDL = "token long, k1 long, short tinyint"
 
 
-def prefix_groups(shared: DataFrame, classes: DataFrame) -> DataFrame:
-    """The rows of sets that may have a partner, with the pivot of each: ``token rep k1 n p p1``.
+def able_rows(shared: DataFrame, classes: DataFrame) -> DataFrame:
+    """Rows of the usual prefix of sets that may have a partner, stored: ``token rep k1 n``.
 
-    Of a prefix of ``p + c - 1`` shingles a set must share ``c`` with others.  A pivot has null
-    for its own; a group has a pivot for each range of sizes, and streams
-    through sorted, its pivots being all that is held.
+    Of a prefix of ``p + c - 1`` shingles a set must share ``c`` with others.
     """
     n = F.col("n").cast("long")
     short = n - F.ceil(n * NUMERATOR / DENOMINATOR) + 1
     need = F.least(n, short + F.floor(short / 2)) - short + 1
     able = shared.groupBy("k1").count().join(classes.select("k1", "rep", "n"), "k1").filter(
         F.col("count") >= need).select("k1", "rep", "n")
-    names = ["token", "rep", "k1", "n"]
-    rows = shared.filter("short = 1").select("token", "k1").join(able, "k1").select(*names)
+    rows = shared.filter("short = 1").select("token", "k1").join(able, "k1")
+    return stored(rows.select("token", "rep", "k1", "n"), "able-rows")
+
+
+def mixed_rows(rows: DataFrame, roots: DataFrame) -> DataFrame:
+    """Rows with their component, of groups of more than two members that hold several components.
+
+    Two members alone were compared with each other in the first round, one
+    being the pivot.  Stored, as what follows reads it several times.
+    """
+    placed = rows.join(roots, F.col("rep") == F.col("node"), "left").select(
+        "token", "rep", "k1", "n", F.coalesce("root", "rep").alias("root")
+    )
+    several = placed.groupBy("token").agg(
+        F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("members")
+    ).filter("low != high and members > 2").select("token", "members")
+    return stored(placed.join(several, "token"), "mixed-rows")
+
+
+def star_pairs(rows: DataFrame, turn: int) -> DataFrame:
+    """Each member of a group with its pivot, where the components differ: ``a b a1 b1``.
+
+    A group has a pivot for each range of sizes, and streams through sorted, its
+    pivots being all that is held.  Which member comes first differs by shingle and
+    turn, so that a member that is far from one pivot may be near another.
+    """
+    names = ["token", "rep", "k1", "n", "root"]
 
     def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kinds = [pa.int64()] * 6
         pivots, current = [], None
         for batch in batches:
             out = []
-            for row in zip(*(batch[x].to_pylist() for x in names)):
-                token, rep, k1, size = row
+            for token, rep, k1, size, root in zip(*(batch[x].to_pylist() for x in names)):
                 if token != current:
                     current, pivots = token, []
                 pivot = next((p for p in pivots if similar_sizes(min(size, p[2]), max(size, p[2]))), None)
                 if pivot is None:
-                    pivots.append((rep, k1, size))
-                    pivot = (None, None)
-                out.append((*row, pivot[0], pivot[1]))
-            columns = list(zip(*out)) or [[]] * 6
+                    pivots.append((rep, k1, size, root))
+                elif pivot[3] != root:
+                    out.append((rep, pivot[0], k1, pivot[1]))
+            columns = list(zip(*out)) or [[]] * 4
             yield pa.RecordBatch.from_arrays(
-                [pa.array(x, k) for x, k in zip(columns, kinds)], [*names, "p", "p1"]
+                [pa.array(x, pa.int64()) for x in columns], ["a", "b", "a1", "b1"]
             )
 
-    # Which member comes first differs by shingle, so that a member that is far
-    # from one pivot of its group may be near another.
     ordered = rows.repartition(F.col("token")).withColumn(
-        "turn", F.xxhash64("rep", "k1", F.col("token") % PIVOTS)
+        "turn", F.xxhash64("rep", "k1", F.col("token") % PIVOTS, F.lit(turn))
     ).sortWithinPartitions("token", "turn").select(*names)
-    return stored(
-        ordered.mapInArrow(choose, "token long, rep long, k1 long, n long, p long, p1 long"), "prefix-groups"
-    )
+    return ordered.mapInArrow(choose, "a long, b long, a1 long, b1 long").filter("a != b").distinct()
 
 
 PAIR = ["a", "b", "a1", "b1", "n_a", "n_b", "map_a", "map_b"]
@@ -339,26 +358,16 @@ def verified(pairs: DataFrame, docs: DataFrame, bands: np.ndarray) -> DataFrame:
     return stored(both.mapInArrow(run, "a long, b long"), "links")
 
 
-def _across(groups: DataFrame, classes: DataFrame, roots: DataFrame) -> DataFrame:
+def _across(mixed: DataFrame, classes: DataFrame) -> DataFrame:
     """Pairs of different components that meet in a group and pass the bitmaps: ``a b a1 b1``.
 
-    Two members alone were compared with each other in the first pass, one being
-    the pivot.  A group is cut into blocks of about ``BLOCK`` members by a hash; a block meets every
+    A group is cut into blocks of about ``BLOCK`` members by a hash; a block meets every
     block of its group (itself included) in a task of its own, and only pairs
     that pass leave it.
     """
-    marked = groups.join(classes, ["rep", "k1"]).join(roots, F.col("rep") == F.col("node"), "left").select(
-        "token", "rep", "k1", "bitmap", groups["n"].alias("n"),
-        F.coalesce("root", "rep").alias("root"),
-    )
-    mixed_groups = marked.groupBy("token").agg(
-        F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("members")
-    ).filter("low != high and members > 2").select(
-        "token", F.ceil(F.col("members") / BLOCK).cast("int").alias("blocks")
-    )
-    members = marked.join(mixed_groups, "token").withColumn(
-        "block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")
-    )
+    members = mixed.join(classes.select("rep", "k1", "bitmap"), ["rep", "k1"]).withColumn(
+        "blocks", F.ceil(F.col("members") / BLOCK).cast("int")
+    ).withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
     placed = members.select(
         "token", "rep", "k1", "bitmap", "n", "root", "block",
         F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"),
@@ -423,21 +432,19 @@ def similar_documents(docs: DataFrame) -> DataFrame:
         .filter("rep is not null"),
         "classes",
     )
-    groups = prefix_groups(shared_rows(docs, bands), classes)
+    table = able_rows(shared_rows(docs, bands), classes)
     left, right = (
         classes.select(F.col("rep").alias(x), F.col("k1").alias(f"{x}1"), F.col("n").alias(f"n_{x}"),
                        F.col("bitmap").alias(f"map_{x}")) for x in ("a", "b")
     )
-    stars = groups.filter("p is not null").select(
-        F.col("rep").alias("a"), F.col("k1").alias("a1"), F.col("p").alias("b"), F.col("p1").alias("b1")
-    ).distinct()
-    paired = stars.join(left, ["a", "a1"]).join(right, ["b", "b1"]).filter("a != b")
-    near = stored(bitmap_filter(paired.select(*PAIR)), "star-pairs")
-    links = verified(near, docs, bands)
-    roots = connected(links)
-    across = stored(_across(groups, classes.select("k1", "rep", "bitmap"), roots), "cross-pairs")
-    more = verified(across, docs, bands)
-    final = connected(links.unionByName(more))
+    links, mixed = None, table.withColumn("root", F.col("rep"))
+    for turn in range(TURNS):
+        paired = star_pairs(mixed, turn).join(left, ["a", "a1"]).join(right, ["b", "b1"])
+        found = verified(stored(bitmap_filter(paired.select(*PAIR)), "star-pairs"), docs, bands)
+        links = found if links is None else links.unionByName(found)
+        mixed = mixed_rows(table, connected(links))
+    across = stored(_across(mixed, classes), "cross-pairs")
+    final = connected(links.unionByName(verified(across, docs, bands)))
     named = classes.join(final, F.col("rep") == F.col("node"), "left").select(
         "k1", "k2", F.coalesce("root", "rep").alias("component")
     )
