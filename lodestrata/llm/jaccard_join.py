@@ -35,6 +35,7 @@ from lodestrata.llm.shingles import mixed, shingle_sets
 NUMERATOR, DENOMINATOR = 4, 5   # the similarity, 0.8
 CELL_BITS = 18                  # cells of the table of counts: its size is fixed
 ORDERS = 3
+FILTER_BITS = 23                # of the table that tells candidates' texts from others
 TOKEN_BITS = 40                 # of a prefix shingle's name; two that clash only meet in vain
 PIVOTS = 4
 TURNS = 2                       # of comparing with pivots
@@ -315,6 +316,44 @@ def bitmap_filter(pairs: DataFrame) -> DataFrame:
     return pairs.mapInArrow(run, "a long, b long, a1 long, b1 long")
 
 
+def id_filter(ids: DataFrame) -> np.ndarray:
+    """A table of a fixed size that is true for the given ids, and for few others while they are few."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = np.zeros(1 << FILTER_BITS, bool)
+        for batch in batches:
+            bits[_cell(batch["doc_id"].to_numpy())] = True
+        packed = zlib.compress(np.packbits(bits).tobytes(), 1)
+        yield pa.RecordBatch.from_pydict({"bits": pa.array([packed], pa.binary())})
+
+    found = np.zeros(1 << FILTER_BITS, bool)
+    for row in ids.select("doc_id").repartition(16).mapInArrow(run, "bits binary").collect():
+        found |= np.unpackbits(np.frombuffer(zlib.decompress(row.bits), np.uint8)).astype(bool)
+    return found
+
+
+def _cell(ids: np.ndarray) -> np.ndarray:
+    return (mixed(ids.astype(np.int64).view(np.uint64), 0) >> np.uint64(64 - FILTER_BITS)).astype(np.int64)
+
+
+def texts_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """``doc_id text`` of the documents with the given ids, stored.
+
+    Texts of other documents are left out before the shuffle, as far as the
+    filter tells; the join decides.
+    """
+    bits = id_filter(ids)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = bits[_cell(batch["doc_id"].to_numpy())]
+            yield batch.filter(pa.array(keep))
+
+    named = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").filter("doc_id is not null")
+    near = named.mapInArrow(run, "doc_id long, text string")
+    return stored(near.join(ids, "doc_id", "left_semi"), "candidate-texts")
+
+
 def verified(pairs: DataFrame, docs: DataFrame, bands: np.ndarray) -> DataFrame:
     """The links among pairs ``a b a1 b1``: prefixes under every further order, then the sets.
 
@@ -323,10 +362,7 @@ def verified(pairs: DataFrame, docs: DataFrame, bands: np.ndarray) -> DataFrame:
     """
     needed = pairs.select(F.col("a").alias("doc_id")).unionByName(
         pairs.select(F.col("b").alias("doc_id"))).distinct()
-    texts = stored(
-        docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(needed, "doc_id", "left_semi"),
-        "candidate-texts",
-    )
+    texts = texts_of(docs, needed)
     both = pairs.join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), "a").join(
         texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")), "b"
     ).select("a", "b", "a1", "b1", "text_a", "text_b")
