@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 import tempfile
 import uuid
@@ -102,8 +103,23 @@ def column_bytes(array) -> tuple[np.ndarray, np.ndarray]:
     return raw[offsets[0]: offsets[-1]], offsets - offsets[0]
 
 
-def grouped(batches, size: int = 8 << 20):
-    """Batches joined up to about ``size`` bytes, so that work is done on many rows at once."""
+# Arrow's own pool keeps what it has freed; a worker lives on between tasks.
+pa.set_memory_pool(pa.system_memory_pool())
+
+
+def give_back() -> None:
+    """Return freed memory to the system, where the C library can."""
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):
+        pass
+
+
+def grouped(batches, size: int = 4 << 20):
+    """Batches joined up to about ``size`` bytes, so that work is done on many rows at once.
+
+    When they are through, the memory of the task is given back.
+    """
     held, total = [], 0
     for batch in batches:
         held.append(batch)
@@ -113,6 +129,8 @@ def grouped(batches, size: int = 8 << 20):
             held, total = [], 0
     if held:
         yield pa.concat_batches(held)
+    held = []
+    give_back()
 
 
 def spare_name(df: DataFrame, name: str) -> str:

@@ -71,7 +71,7 @@ class TextEncoder:
     may hold the name of a special token, is encoded directly.
     """
 
-    def __init__(self, path: str, special_as_text: bool = False, max_words: int = 600_000):
+    def __init__(self, path: str, special_as_text: bool = False, max_words: int = 400_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer, pre_tokenizers
 
