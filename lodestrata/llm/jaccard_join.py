@@ -25,7 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lodestrata.llm.common import column_bytes, grouped, spare_name, stored
@@ -54,6 +54,16 @@ def reach(n: np.ndarray) -> np.ndarray:
     return np.minimum(n, short + short // 2)
 
 
+def least_shared(n: Column) -> Column:
+    """Shingles of its longer prefix that a set must share with others to be linked to any.
+
+    A linked set of any size shares as many: of a prefix of ``p + c - 1`` shingles ``c``.  Only a set of
+    5 has a partner (of 4, which has a prefix of one) that promises fewer.
+    """
+    short = n - F.ceil(n * NUMERATOR / DENOMINATOR) + 1
+    return F.when(n <= 5, 1).otherwise(F.least(n, short + F.floor(short / 2)) - short + 1)
+
+
 def order_keys(shingles: np.ndarray, bands: np.ndarray, order: int) -> np.ndarray:
     """Sort keys of one global order: rare cells first, then by the order's own hash."""
     band = bands[(shingles >> np.uint64(64 - CELL_BITS)).astype(np.int64)].astype(np.uint64)
@@ -240,11 +250,9 @@ ROW_DDL = "token long, k1 long, short tinyint"
 def able_rows(shared: DataFrame, classes: DataFrame) -> DataFrame:
     """Rows of the usual prefix of sets that may have a partner, stored: ``token rep k1 n``.
 
-    Of a prefix of ``p + c - 1`` shingles a set must share ``c`` with others.
+    A set must share ``least_shared`` shingles of its longer prefix with others.
     """
-    n = F.col("n").cast("long")
-    short = n - F.ceil(n * NUMERATOR / DENOMINATOR) + 1
-    need = F.least(n, short + F.floor(short / 2)) - short + 1
+    need = least_shared(F.col("n").cast("long"))
     able = shared.groupBy("k1").count().join(classes.select("k1", "rep", "n"), "k1").filter(
         F.col("count") >= need).select("k1", "rep", "n")
     rows = shared.filter("short = 1").select("token", "k1").join(able, "k1")

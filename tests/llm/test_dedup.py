@@ -9,6 +9,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from lodestrata.llm import bwt, components, decontamination, jaccard_join, suffix_dedup
 from tests.llm.conftest import documents, edge_rows, made_texts
@@ -160,6 +161,25 @@ def test_components_at_the_edges(session):
     assert jaccard_join.op6_jaccard_join(session, documents(session, [])).count() == 0
 
 
+def test_nothing_linked_shares_less_than_is_asked_for(session):
+    n = np.arange(1, 400)
+    usual, longer = jaccard_join.prefix_length(n), jaccard_join.reach(n)
+    need = np.array([x[0] for x in session.range(1, 400).orderBy("id").select(jaccard_join.least_shared(F.col("id"))).collect()])
+    for x in n:
+        for y in n[(5 * n >= 4 * x) & (4 * n <= 5 * x)]:
+            for common in range(-(-4 * (x + y) // 9), min(x, y) + 1):
+                a, b = x - common, y - common  # what each has alone may come first in the order
+                assert min(longer[x - 1] - a, longer[y - 1] - b) >= need[x - 1], (x, y, common)
+                assert min(usual[x - 1] - a, usual[y - 1] - b) >= 1, (x, y, common)
+
+
+def test_a_set_within_one_larger_by_a_shingle(session):
+    rows = [(1, "a b c d e f g h i"), (2, "a b c d e f g h"), (3, "q r s t u v w x"), (4, "p q r s t u v w x"), (5, "a b c d e f g")]
+    got = jaccard_join.similar_documents(documents(session, rows)).collect()
+    assert {x.doc_id: (x.n_shingles, x.component_id) for x in got} == brute_components(rows)
+    assert sorted(x.doc_id for x in jaccard_join.one_per_group(documents(session, rows)).collect()) == [1, 3, 5]
+
+
 def test_one_per_group(session):
     docs = documents(session, edge_rows())
     got = jaccard_join.one_per_group(docs)
