@@ -61,6 +61,24 @@ def word_hashes(data: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> np.nd
     return found ^ (found >> np.uint64(32))
 
 
+def lowered(data: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """The bytes with A-Z in lower case, but for words with bytes beyond ASCII.
+
+    The normal form comes before the lower case: a capital and the mark after it may
+    compose in lower case only, and other marks may stand between the two.
+    """
+    low = LOWER[data]
+    beyond = np.flatnonzero(data >= 128)
+    if len(beyond):
+        odd = np.zeros(len(begins), bool)
+        odd[np.searchsorted(begins, beyond, "right") - 1] = True
+        begins, size = begins[odd], (ends - begins)[odd]
+        stop = np.cumsum(size)
+        spots = np.repeat(begins - (stop - size), size) + np.arange(stop[-1])
+        low[spots] = data[spots]
+    return low
+
+
 class TextEncoder:
     """Ids of texts, no special tokens added.
 
@@ -159,8 +177,8 @@ class TextEncoder:
                     for x in each
                 ]
             return np.frombuffer(b"".join(coded), "<u4"), np.array([len(x) // 4 for x in coded])
-        low = LOWER[data]
-        begins, ends = word_bounds(low, offsets)
+        begins, ends = word_bounds(data, offsets)
+        low = lowered(data, begins, ends)
         hashes = word_hashes(low, begins, ends)
         order = np.argsort(hashes)
         hashes = hashes[order]

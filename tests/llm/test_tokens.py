@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import random
+import string
+import unicodedata
 import zlib
 from collections import defaultdict
 
@@ -42,6 +44,23 @@ def test_encoder_equals_the_tokenizer(tokenizer, texts):
     assert [x.tolist() for x in parts] == [ids_of(tokenizer, x) for x in texts]
 
 
+@pytest.mark.parametrize("base", ["J\u030c", "H\u0331", "T\u0308", "W\u030a", "Y\u030a"])
+def test_encoder_with_marks_that_compose_in_lower_case_only(tokenizer, base):
+    texts = [base, f"{base}ad and {base.lower()}ad", f"x. {base}an,{base}an É{base}", "plain Words only",
+             base[0] + "\u0323" + base[1:] + "q", base[0] + "\u20d2" + base[1:] + "q", base[0] + "\u05b0" + base[1:]]
+    ids, counts = TextEncoder(word_vocabulary()).encode(*column(texts))
+    parts = np.split(ids, np.cumsum(counts)[:-1])
+    assert [x.tolist() for x in parts] == [ids_of(tokenizer, x) for x in texts]
+
+
+def test_encoder_with_every_mark_after_every_letter(tokenizer):
+    marks = [chr(x) for x in range(0x110000) if unicodedata.combining(chr(x))]
+    texts = [" ".join(f"{letter}{mark}a" for mark in marks) for letter in string.ascii_letters]
+    ids, counts = TextEncoder(word_vocabulary()).encode(*column(texts))
+    parts = np.split(ids, np.cumsum(counts)[:-1])
+    assert [x.tolist() for x in parts] == [ids_of(tokenizer, x) for x in texts]
+
+
 def test_encoder_that_forgets(tokenizer):
     code = TextEncoder(word_vocabulary(), max_words=3)
     for text in ODD:
