@@ -24,6 +24,7 @@ CELL_BITS = 19         # the filter has 2 ** CELL_BITS cells
 HASHES = 3
 SAMPLE_ROWS = 10_000   # labelled rows per language that are learned from, at most (about)
 LEAST_COUNT = 3        # occurrences from which an n-gram counts as one of the language
+FEW_GRAMS = 2_000      # occurrences in all below which a language keeps each of its n-grams
 LEAST_SHARE = 0.25     # its rate there, against the language where it is most common
 MULTIPLIERS = np.array([2654435761, 2246822519, 3266489917], np.uint32)
 SPACE = 32
@@ -140,7 +141,7 @@ def learn_filter(
     rated = counted.join(totals, "language").withColumn("rate", F.col("n") / F.col("total"))
     most = rated.groupBy("gram").agg(F.max("rate").alias("most"))
     own = rated.join(most, "gram").filter(
-        (F.col("n") >= LEAST_COUNT) & (F.col("rate") >= LEAST_SHARE * F.col("most"))
+        ((F.col("n") >= LEAST_COUNT) | (F.col("total") < FEW_GRAMS)) & (F.col("rate") >= LEAST_SHARE * F.col("most"))
     )
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

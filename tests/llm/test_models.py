@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+import zlib
 from collections import Counter
 
 import duckdb
@@ -176,6 +177,15 @@ def test_languages_at_the_edges(session):
     assert language_id.op10_language_id(session, docs.limit(0)).count() == 0
 
 
+def test_a_language_of_one_short_row(session):
+    ids = [i for i in range(60) if zlib.crc32(str(i).encode()) % 4 != 2]
+    rows = [(i, "the cat sat on the mat and the dog", "en") for i in ids[1:]] + [(ids[0], "zwölf boxkämpfer jagen", "de")]
+    docs = session.createDataFrame(rows, "doc_id long, text string, lang string")
+    new = session.createDataFrame([(1, "zwölf boxkämpfer"), (2, "the cat and the dog")], "doc_id long, text string")
+    got = language_id.identify(new, language_id.learn_filter(docs)).collect()
+    assert {x.doc_id: x.lang_pred for x in got} == {1: "de", 2: "en"}
+
+
 def test_more_than_64_languages(session):
     from pyspark.sql import functions as F
 
