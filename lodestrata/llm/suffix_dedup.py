@@ -314,12 +314,15 @@ def runs_by_text(spans: pa.ListArray) -> Iterator[list[tuple[int, int]]]:
     number = np.diff(spans.offsets.to_numpy())
     number[spans.is_null().to_numpy(zero_copy_only=False)] = 0
     flat = spans.flatten()
+    if not len(flat):
+        yield from ([] for _ in number)
+        return
     text = np.repeat(np.arange(len(number)), number)
     start = flat.field("start").to_numpy().astype(np.int64)
     end = start + flat.field("length").to_numpy()
     order = np.lexsort((start, text))
     # Texts lie far apart on one line, so that runs never join across them.
-    far = int(end.max()) + 1 if len(end) else 1
+    far = int(end.max()) + 1
     start, end = start[order] + text[order] * far, end[order] + text[order] * far
     reach = np.maximum.accumulate(end)
     new = np.ones(len(start), bool)

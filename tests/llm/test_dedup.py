@@ -8,6 +8,7 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -107,6 +108,25 @@ def test_repeats_at_the_edges(session):
     assert suffix_dedup.op3_suffix_dedup(session, documents(session, [])).count() == 0
 
 
+@pytest.mark.parametrize("spans", [[None, None], [], [[], None], [None, [{"start": 3, "length": 4}]]])
+def test_runs_of_batches_without_repeats(spans):
+    column = pa.array(spans, pa.list_(pa.struct([("start", pa.int32()), ("length", pa.int32())])))
+    assert list(suffix_dedup.runs_by_text(column)) == [[(3, 7)] if x else [] for x in spans]
+
+
+def test_tables_and_batches_without_any_repeat(session):
+    rows = [(i, " ".join(f"{i}-{j}" for j in range(60))) for i in range(40)] + [(50, None), (51, ""), (52, "a")]
+    docs = documents(session, rows, 8)
+    for x in suffix_dedup.repeat_digests(docs).collect():
+        assert (x.n_removed, x.n_spans) == (0, 0)
+    left = suffix_dedup.without_repeats(docs).select("doc_id", "text").collect()
+    assert {tuple(x) for x in left} == set(rows) and len(left) == len(rows)
+    # One text repeats, so most batches hold no span and one does.
+    again = documents(session, [*rows, (60, rows[3][1])], 8)
+    assert {x.doc_id for x in suffix_dedup.repeat_digests(again).collect() if x.n_removed} == {60}
+    assert suffix_dedup.without_repeats(again).count() == len(rows)
+
+
 def test_texts_without_repeats_stay_valid(session):
     text = "é" * 200
     rows = [(1, "x" + text), (2, "yy" + text + "end"), (3, None), (4, "x" + text), (None, text)]
