@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from lodestrata.llm import (
-    decision_list, decontamination, jaccard_join, language_id, packing, separators, simple8b, suffix_dedup, toxicity, warc,
+    chat_format, decision_list, decontamination, jaccard_join, language_id, packing, separators, simple8b, suffix_dedup, toxicity, warc,
 )
 from lodestrata.llm.common import read_table
 from lodestrata.llm.tokens import word_vocabulary
@@ -38,6 +38,9 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         ),
         "op9_token_counts": _on_documents(separators.op9_token_counts, word_vocabulary),
         "op10_language_id": _on_documents(language_id.op10_language_id),
+        "op11_chat_format": lambda spark, sf_dir: chat_format.op11_chat_format(
+            spark, read_table(spark, sf_dir, "conversations")
+        ),
     }
 
 
@@ -46,4 +49,5 @@ def llm_oracles() -> dict[str, str]:
         "op3_suffix_dedup": suffix_dedup.OP3_SQL,
         "op5_warc": warc.OP5_SQL,
         "op6_jaccard_join": jaccard_join.OP6_SQL,
+        "op11_chat_format": chat_format.OP11_SQL,
     }
