@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from lodestrata.llm import (
-    chat_format, decision_list, decontamination, jaccard_join, language_id, packing, separators, simple8b, suffix_dedup, toxicity, warc,
+    chat_format, decision_list, decontamination, jaccard_join, language_id, packing, separators, simple8b, spelling, suffix_dedup, toxicity, warc,
 )
 from lodestrata.llm.common import read_table
 from lodestrata.llm.tokens import word_vocabulary
@@ -41,6 +41,7 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op11_chat_format": lambda spark, sf_dir: chat_format.op11_chat_format(
             spark, read_table(spark, sf_dir, "conversations")
         ),
+        "op12_spelling": _on_documents(spelling.op12_spelling),
     }
 
 
@@ -50,4 +51,5 @@ def llm_oracles() -> dict[str, str]:
         "op5_warc": warc.OP5_SQL,
         "op6_jaccard_join": jaccard_join.OP6_SQL,
         "op11_chat_format": chat_format.OP11_SQL,
+        "op12_spelling": spelling.OP12_SQL,
     }
