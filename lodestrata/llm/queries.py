@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from lodestrata.llm import (
-    chat_format, decision_list, decontamination, jaccard_join, language_id, packing, separators, simple8b, spelling, suffix_dedup, toxicity, warc,
+    chat_format, decision_list, decontamination, jaccard_join, language_id, packing, prefix_trie, separators, simple8b,
+    spelling, suffix_dedup, toxicity, warc,
 )
 from lodestrata.llm.common import read_table
 from lodestrata.llm.tokens import word_vocabulary
@@ -42,6 +43,9 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             spark, read_table(spark, sf_dir, "conversations")
         ),
         "op12_spelling": _on_documents(spelling.op12_spelling),
+        "op13_prefix_trie": lambda spark, sf_dir: prefix_trie.op13_prefix_trie(
+            spark, read_table(spark, sf_dir, "conversations")
+        ),
     }
 
 
@@ -52,4 +56,5 @@ def llm_oracles() -> dict[str, str]:
         "op6_jaccard_join": jaccard_join.OP6_SQL,
         "op11_chat_format": chat_format.OP11_SQL,
         "op12_spelling": spelling.OP12_SQL,
+        "op13_prefix_trie": prefix_trie.OP13_SQL,
     }
