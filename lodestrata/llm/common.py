@@ -107,12 +107,23 @@ def column_bytes(array) -> tuple[np.ndarray, np.ndarray]:
 pa.set_memory_pool(pa.system_memory_pool())
 
 
+# Fixed values of the C library: the option for the size from which a block is mapped on its own.
+M_MMAP_THRESHOLD = -3
+MAPPED_BYTES = 1 << 20
+
+try:
+    _LIBC = ctypes.CDLL("libc.so.6")
+    # Arrays go back to the system as soon as they are freed.  Left alone, the C library raises the
+    # size to 32 MB and keeps what is below, in pieces, as long as the worker lives.
+    _LIBC.mallopt(M_MMAP_THRESHOLD, MAPPED_BYTES)
+except (OSError, AttributeError):
+    _LIBC = None
+
+
 def give_back() -> None:
     """Return freed memory to the system, where the C library can."""
-    try:
-        ctypes.CDLL("libc.so.6").malloc_trim(0)
-    except (OSError, AttributeError):
-        pass
+    if _LIBC is not None:
+        _LIBC.malloc_trim(0)
 
 
 def grouped(batches, size: int = 4 << 20):
