@@ -260,6 +260,17 @@ from (select *, (recency_score + frequency_score + monetary_score)::double / 3 a
       from r_scored) as s
 """
 TEXTS["rfm_scores"] = TEXTS["snk_replace"] = "select * exclude (mean_score) from r_scores"
+TEXTS["rfm_ntile"] = f"""
+select customer_id, recency_score, frequency_score, monetary_score,
+  case when total >= 11 then 'CHAMPION' when total >= 8 then 'LOYAL' when total >= 5 then 'AT_RISK'
+    else 'HIBERNATING' end as rfm_segment, {NOW} as scored_at
+from (select *, recency_score + frequency_score + monetary_score as total from (
+  select customer_id,
+    5 - ntile(4) over (order by coalesce(days_since_last_order, 9999), customer_id) as recency_score,
+    ntile(4) over (order by total_orders, customer_id) as frequency_score,
+    ntile(4) over (order by lifetime_spend, customer_id) as monetary_score
+  from dim_customers where total_orders > 0))
+"""
 TEXTS["rpt_rfm_segments"] = f"""
 select rfm_segment, count(*) as customer_count, {mean('recency_score')} as avg_r,
   {mean('frequency_score')} as avg_f, {mean('monetary_score')} as avg_m
@@ -290,7 +301,7 @@ CTES["l_runs"] = _union([
 ])
 TEXTS["rpt_latest_run"] = """
 select layer, table_name, row_count, run_timestamp from l_runs
-where run_id = (select run_id from l_runs order by run_timestamp desc limit 1)
+qualify run_timestamp = max(run_timestamp) over ()
 """
 
 # -------------------------------------------------------------------- gates

@@ -232,6 +232,7 @@ def check_queries() -> dict:
         ),
         anomaly_flags=lambda x: x.flags(),
         rfm_scores=lambda x: x.scores(),
+        rfm_ntile=lambda x: rfm.rfm_ntile(x.gold["dim_customers"], NOW),
         run_summary=lambda x: profiling.run_summary(
             {**x.all, "gold": {**x.gold, "customer_rfm_scores": x.scores()}}, RUN, NOW
         ),

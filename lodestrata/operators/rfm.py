@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from lodestrata.functions.columns import moment
 from lodestrata.functions.order_stats import order_statistics
+from lodestrata.functions.ranks import global_ranks, ntile
 
 # Recency of a customer without one, and the score used when no
 # customer has a recency at all.
@@ -56,14 +57,18 @@ def _score(value: Column, measure: str, low_is_best: bool) -> Column:
     return place.otherwise(1 if low_is_best else 4).cast("bigint")
 
 
-def rfm_scores(dim_customers: DataFrame, ts: dt.datetime) -> DataFrame:
-    """Scores 1 to 4 per customer, and the segment of their mean."""
-    cuts = rfm_cuts(dim_customers)
-    one_row = cuts.select(F.struct(*cuts.columns)).scalar().alias("cuts")
+def _segment() -> Column:
     total = F.col("recency_score") + F.col("frequency_score") + F.col("monetary_score")
     segment = F
     for least, name in SEGMENTS:
         segment = segment.when(total >= least, name)
+    return segment.otherwise(LOWEST_SEGMENT).alias("rfm_segment")
+
+
+def rfm_scores(dim_customers: DataFrame, ts: dt.datetime) -> DataFrame:
+    """Scores 1 to 4 per customer, and the segment of their mean."""
+    cuts = rfm_cuts(dim_customers)
+    one_row = cuts.select(F.struct(*cuts.columns)).scalar().alias("cuts")
     recency = F.coalesce("recency", F.lit(UNKNOWN_RECENCY))
     return (
         _measures(dim_customers)
@@ -74,9 +79,25 @@ def rfm_scores(dim_customers: DataFrame, ts: dt.datetime) -> DataFrame:
             _score(F.col("frequency"), "frequency", False).alias("frequency_score"),
             _score(F.col("monetary"), "monetary", False).alias("monetary_score"),
         )
-        .select(
-            "*",
-            segment.otherwise(LOWEST_SEGMENT).alias("rfm_segment"),
-            moment(ts).alias("scored_at"),
-        )
+        .select("*", _segment(), moment(ts).alias("scored_at"))
+    )
+
+
+def rfm_ntile(dim_customers: DataFrame, ts: dt.datetime) -> DataFrame:
+    """Scores 1 to 4 by quarters of equal size: equal values are split between quarters by customer id.
+
+    The three measures are ranked at once, each over all customers, by ranges; no task holds
+    a measure.  A customer without a recency counts as long gone.
+    """
+    rows = _measures(dim_customers).withColumn("recency", F.coalesce("recency", F.lit(UNKNOWN_RECENCY)))
+    ranked = global_ranks(
+        rows.unpivot(["customer_id"], MEASURES, "measure", "value"), ["measure"], ["value", "customer_id"]
+    )
+    quarter = ntile(4, F.col("rank"), F.col("total"))
+    # Few days since the last order are best.
+    scored = ranked.withColumn("score", F.when(F.col("measure") == "recency", 5 - quarter).otherwise(quarter))
+    return (
+        scored.groupBy("customer_id")
+        .agg(*[F.max(F.when(F.col("measure") == m, F.col("score"))).alias(f"{m}_score") for m in MEASURES])
+        .select("*", _segment(), moment(ts).alias("scored_at"))
     )
