@@ -815,6 +815,8 @@ select * replace (case when order_date >= date '2000-12-01' then 'pending' else
   as status) from b_orders where order_date <= {EARLIER_DAY}
 """
 CTES["v_new"] = "select * from b_orders where order_date >= date '1996-01-01'"
+CTES["v_third"] = "select * from b_orders where order_id % 5 <> 0 or order_date is null"
+CTES["v_none"] = "select * from b_orders where false"
 TEXTS.update(
     src_csv=_as_landed("customers"),
     src_files_match=_as_landed("orders"),
@@ -825,7 +827,19 @@ TEXTS.update(
         select 1 as run, (select count(*) from b_orders) > 0 as has_new_data
         union all select 2, false
     """,
-    src_cdc_stream="select * from b_payments",
+    src_cdc_append="select * from b_payments",
+    src_cdc_stream=_union(
+        f"""
+        select {drop}::bigint as "drop", 'INSERT' as action, n.* from {new} as n
+          where not exists (select 1 from {old} as o where o.order_id = n.order_id)
+        union all select {drop}, 'DELETE', o.* from {old} as o
+          where not exists (select 1 from {new} as n where n.order_id = o.order_id)
+        union all select {drop}, 'UPDATE', n.* from {new} as n join {old} as o on o.order_id = n.order_id
+          where (n.customer_id, n.order_date, n.status, n.channel, n.total_amount)
+            is distinct from (o.customer_id, o.order_date, o.status, o.channel, o.total_amount)
+        """
+        for drop, old, new in ((1, "v_none", "v_old"), (2, "v_old", "v_new"), (3, "v_new", "v_third"))
+    ),
     src_cdc_diff="""
         select 'INSERT' as action, n.* from v_new as n
           where not exists (select 1 from v_old as o where o.order_id = n.order_id)

@@ -22,7 +22,7 @@ from lodestrata.session import fresh_dir, tune
 from lodestrata.sources import csv_feed
 from lodestrata.sources.sample import AS_OF, FEEDS, sample_feed
 from lodestrata.sources.tables import Lake
-from lodestrata.streaming import ingest
+from lodestrata.streaming import ingest, versions
 
 NOW = dt.datetime(2001, 8, 15, 12, 0, 0)
 EARLIER = dt.datetime(2000, 12, 31, 12, 0, 0)
@@ -433,6 +433,25 @@ def _change_feed(x: Layers) -> DataFrame:
     return x.spark.read.parquet(seen).select(BRONZE["payments"].names)
 
 
+def _versions_feed(x: Layers) -> DataFrame:
+    """Changes of three drops of orders, each consumed by a query of its own: first rows, then changed,
+    new and removed ones, then some that come back or go.  Every drop also holds the rows that stay as they are."""
+    landing, checkpoint = fresh_dir(x.spark, "versions"), fresh_dir(x.spark, "checkpoint")
+    seen, before = fresh_dir(x.spark, "seen"), None
+
+    def keep(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{seen}/batch={number}")
+
+    first, second = order_versions(x)
+    third = x.bronze["orders"].filter("order_id % 5 <> 0 or order_date is null")
+    for number, drop in enumerate((first, second, third), 1):
+        versions.land_versions(drop, landing, number, before, "order_id")
+        feed = versions.net_changes(versions.row_versions(x.spark, landing, "orders"), "order_id")
+        ingest.consume_changes(feed, checkpoint, keep)
+        before = drop
+    return x.spark.read.parquet(seen).select(F.col("_version").alias("drop"), "action", *BRONZE["orders"].names)
+
+
 def order_versions(x: Layers) -> tuple[DataFrame, DataFrame]:
     """Orders as known at the earlier run, and today without the first years."""
     orders = x.bronze["orders"]
@@ -645,7 +664,8 @@ def storage_queries() -> dict:
         src_ingest_stream=lambda x: _ingest(x, "order_items")[0],
         src_backfill=lambda x: _ingest(x, "shipments")[0],
         src_has_data=_has_data,
-        src_cdc_stream=_change_feed,
+        src_cdc_append=_change_feed,
+        src_cdc_stream=_versions_feed,
         src_cdc_diff=lambda x: changes.snapshot_diff(*order_versions(x), "order_id"),
         src_inventory=_inventory,
         inventory_report=lambda x: _sized(governance.inventory_report(x.stored_tables()), "size_mb"),
