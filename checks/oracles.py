@@ -825,7 +825,7 @@ TEXTS.update(
     src_backfill=_as_landed("shipments"),
     src_has_data="""
         select 1 as run, (select count(*) from b_orders) > 0 as has_new_data
-        union all select 2, false
+        union all select 2, false union all select 3, false
     """,
     src_cdc_append="select * from b_payments",
     src_cdc_stream=_union(

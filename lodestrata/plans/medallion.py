@@ -73,7 +73,7 @@ def run_medallion(
     # The gate has counted these keys: without repeats, their distinct values need no shuffle.
     proved = gates.UNIQUE_KEYS if first.startswith("GATE 1 PASSED") else None
     profile = profiling.profile_tables(bronze, run_id, ts, unique=proved)
-    lake.append_log(profile, "bronze", "data_profile_log")
+    lake.append_log(profile, "bronze", "data_profile_log", run_id)
     note("bronze_profile", "DONE", "Bronze profiling complete")
 
     note(*gated_promote(first, 1, "silver", lambda: _write_all(
@@ -86,7 +86,7 @@ def run_medallion(
         note("silver_gate", "SKIPPED", second)
     else:
         lake.append_log(
-            anomalies.anomaly_flags(staged, as_of, run_id, ts), "silver", "anomaly_flags"
+            anomalies.anomaly_flags(staged, as_of, run_id, ts), "silver", "anomaly_flags", run_id
         )
         note("anomalies", "DONE", "Anomaly detection complete")
         second = gate_text(gates.validate_silver(staged))
@@ -107,7 +107,7 @@ def run_medallion(
         for layer, names in LAYERS.items()
     }
     counted["gold"]["customer_rfm_scores"] = lake.find("gold", "customer_rfm_scores")
-    lake.append_log(profiling.run_summary(counted, run_id, ts), "gold", "pipeline_run_summary")
+    lake.append_log(profiling.run_summary(counted, run_id, ts), "gold", "pipeline_run_summary", run_id)
     note("gold_enrichment", "DONE", "Gold enrichment complete")
 
     certified = _layer(lake, "gold")

@@ -81,13 +81,13 @@ def test_typed_by_position(spark):
 
 def test_stream_takes_each_file_once(spark, tmp_path):
     landing = tmp_path / "landing"
-    target, checkpoint = str(tmp_path / "bronze"), str(tmp_path / "checkpoint")
+    lake, checkpoint = Lake(spark, str(tmp_path / "lake")), str(tmp_path / "checkpoint")
 
     def run():
-        return ingest.ingest_stream(spark, str(landing), "orders", target, checkpoint)
+        return ingest.ingest_stream(lake, str(landing), "orders", checkpoint)
 
     def stored():
-        return spark.read.schema(BRONZE["orders"]).parquet(target)
+        return lake.read("bronze", "orders")
 
     write(landing, "orders.csv", "1,7,2024-01-02 00:00:00, done ,web,1.00",
           "2,7,2024-01-02 00:00:00,done,web,1.00")
@@ -103,44 +103,56 @@ def test_stream_takes_each_file_once(spark, tmp_path):
     assert ingest.has_new_data([again, third])
 
 
-def test_all_batches_count(spark, tmp_path):
-    """Also those that the session's window of progress wouldn't hold."""
-    key = "spark.sql.streaming.numRecentProgressUpdates"
-    before = spark.conf.get(key)
-    spark.conf.set(key, "3")
-    try:
-        landing = tmp_path / "landing"
-        for i in range(7):
-            write(landing, f"orders_v{i}.csv", f"{i},7,2024-01-02 00:00:00,done,web,1.00")
-        query = ingest.ingest_stream(spark, str(landing), "orders", str(tmp_path / "b"), str(tmp_path / "c"), 1)
-        assert ingest.new_rows(query) == 7 and spark.conf.get(key) == "3"
-    finally:
-        spark.conf.set(key, before)
-
-
 def test_lines_that_do_not_fit_are_kept_apart(spark, tmp_path):
-    landing, rejects = tmp_path / "landing", str(tmp_path / "rejects")
+    landing, lake = tmp_path / "landing", Lake(spark, str(tmp_path / "lake"))
     good = "1,7,2024-01-02 00:00:00,done,web,1.00"
     write(landing, "orders.csv", good, "x9,7,2024-01-02 00:00:00,done,web,1.00",
           "2,7,2024-01-02 00:00:00,done,web,12.5O", "3,7", "4,,,,,")
-    target, checkpoint = str(tmp_path / "bronze"), str(tmp_path / "c")
     for _ in range(2):
-        ingest.ingest_stream(spark, str(landing), "orders", target, checkpoint, rejects=rejects)
-    stored = spark.read.schema(BRONZE["orders"]).parquet(target)
-    assert sorted(r["order_id"] for r in stored.collect()) == [1, 4]
-    lines = spark.read.parquet(rejects).collect()
+        run = ingest.ingest_stream(lake, str(landing), "orders", str(tmp_path / "c"))
+    stored = lake.read("bronze", "orders")
+    assert sorted(r["order_id"] for r in stored.collect()) == [1, 4] and stored.schema.names == BRONZE["orders"].names
+    lines = lake.read("rejects", "orders").collect()
     assert sorted(r["line"][:2] for r in lines) == ["2,", "3,", "x9"]
     assert {r["file_name"] for r in lines} == {"orders.csv"}
+    # A drop of bad lines alone is no new data.
+    write(landing, "orders_v2.csv", "y,7", "z,7")
+    run = ingest.ingest_stream(lake, str(landing), "orders", str(tmp_path / "c"))
+    assert tuple(run)[:2] == (0, 2) and not ingest.has_new_data([run])
+    assert lake.read("rejects", "orders").count() == 5 and lake.read("bronze", "orders").count() == 2
+
+
+def test_each_file_is_parsed_once(spark, tmp_path):
+    """Lines read by the stream: as many as the files hold, though two tables are written."""
+    landing, lake = tmp_path / "landing", Lake(spark, str(tmp_path / "lake"))
+    write(landing, "orders.csv", *[f"{i},7,2024-01-02 00:00:00,done,web,1.00" for i in range(50)], "bad")
+    run = ingest.ingest_stream(lake, str(landing), "orders", str(tmp_path / "c"))
+    assert tuple(run)[:2] == (50, 1)
+    assert sum(x["numInputRows"] for x in run.query.recentProgress) == 51
+
+
+def test_a_repeated_batch_takes_the_place_of_the_first(spark, tmp_path):
+    """The run stops behind the write and before the checkpoint knows of it."""
+    landing, lake = tmp_path / "landing", Lake(spark, str(tmp_path / "lake"))
+    write(landing, "orders.csv", "1,7,2024-01-02 00:00:00,done,web,1.00", "bad")
+    checkpoint = tmp_path / "c"
+    ingest.ingest_stream(lake, str(landing), "orders", str(checkpoint))
+    for mark in (checkpoint / "commits").iterdir():
+        mark.unlink()
+    run = ingest.ingest_stream(lake, str(landing), "orders", str(checkpoint))
+    assert tuple(run)[:2] == (1, 1)
+    assert lake.read("bronze", "orders").count() == lake.read("rejects", "orders").count() == 1
+    assert len(lake.history("bronze", "orders")) == 2
 
 
 def test_limited_batches_take_everything(spark, tmp_path):
     landing = tmp_path / "landing"
     for i in range(4):
         write(landing, f"orders_v{i}.csv", f"{i},7,2024-01-02 00:00:00,done,web,1.00")
-    target = str(tmp_path / "bronze")
-    query = ingest.ingest_stream(spark, str(landing), "orders", target, str(tmp_path / "c"), 1)
-    assert ingest.new_rows(query) == 4
-    assert spark.read.schema(BRONZE["orders"]).parquet(target).count() == 4
+    lake = Lake(spark, str(tmp_path / "lake"))
+    run = ingest.ingest_stream(lake, str(landing), "orders", str(tmp_path / "c"), 1)
+    assert ingest.new_rows(run) == 4 == lake.read("bronze", "orders").count()
+    assert len(lake.history("bronze", "orders")) == 4
 
 
 def test_change_feed_starts_with_the_rows_so_far(spark, tmp_path):
@@ -148,17 +160,32 @@ def test_change_feed_starts_with_the_rows_so_far(spark, tmp_path):
     checkpoint, batches = str(tmp_path / "checkpoint"), []
 
     def consume():
-        stream = ingest.changes(spark, lake.path("bronze", "orders"), "orders")
-        ingest.consume_changes(
-            stream, checkpoint, lambda df, _: batches.append(sorted(r["order_id"] for r in df.collect()))
+        ingest.consume_table(
+            lake, "bronze", "orders", checkpoint,
+            lambda df, _: batches.append(sorted(r["order_id"] for r in df.collect())),
         )
 
-    lake.append_log(feed(spark, "orders", ROWS["orders"][:2]), "bronze", "orders")
+    lake.append_log(feed(spark, "orders", ROWS["orders"][:1]), "bronze", "orders", "r1")
+    lake.append_log(feed(spark, "orders", ROWS["orders"][1:2]), "bronze", "orders", "r2")
+    consume()
     consume()
+    lake.append_log(feed(spark, "orders", ROWS["orders"][2:]), "bronze", "orders", "r3")
     consume()
-    lake.append_log(feed(spark, "orders", ROWS["orders"][2:]), "bronze", "orders")
+    # A run that is repeated has been handed on before.
+    lake.append_log(feed(spark, "orders", ROWS["orders"][2:]), "bronze", "orders", "r3")
     consume()
-    assert [b for b in batches if b] == [[10, 11], [12, 20]]
+    assert batches == [[10, 11], [12, 20]]
+
+
+def test_change_feed_of_a_plain_folder(spark, tmp_path):
+    folder, found = str(tmp_path / "orders"), []
+    for rows in (ROWS["orders"][:2], ROWS["orders"][2:]):
+        feed(spark, "orders", rows).write.mode("append").parquet(folder)
+        ingest.consume_changes(
+            ingest.changes(spark, folder, "orders"), str(tmp_path / "c"),
+            lambda df, _: found.append(sorted(r["order_id"] for r in df.collect())),
+        )
+    assert found == [[10, 11], [12, 20]]
 
 
 def test_snapshot_diff(spark):
@@ -196,7 +223,7 @@ def test_partitioned_publish(spark, tmp_path):
     lake.publish(feed(spark, "orders"), "bronze", "orders", partition_by=["status"])
     plan = lake.read("bronze", "orders").filter("status = 'shipped'")
     assert plan.count() == 1
-    assert len(list((tmp_path / "bronze" / "orders").glob("status=*"))) == 4
+    assert len(list((tmp_path / "bronze" / "orders" / "data").glob("v*/status=*"))) == 4
 
 
 def test_shared_folder_comes_from_the_session(spark):
