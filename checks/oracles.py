@@ -120,6 +120,7 @@ TEXTS["profile_table_approx"] = (
     "select * replace (case metric when 'DISTINCT_COUNT' then 'near' else metric_value end "
     "as metric_value) from l_profile"
 )
+TEXTS["profile_states"] = TEXTS["profile_table_approx"]
 TEXTS["rpt_profile_rows"] = (
     "select table_name, cast(metric_value as bigint) as row_count from l_profile "
     "where metric = 'ROW_COUNT'"
@@ -488,6 +489,10 @@ TEXTS.update(
     dq_positive_amounts=_now_metric("silver", "stg_orders", A.NEGATIVE, "total_amount"),
     dq_orders_customer_fk=_now_metric("bronze", "orders", A.CUSTOMER_FK, "customer_id,order_id"),
     dq_suite=_union(_now_metric(*a) for a in A.ATTACHMENTS),
+    dq_states=_union(
+        _now_metric(*a) for a in A.ATTACHMENTS
+        if a[0] == "bronze" and a[2] not in (A.DUPLICATE, A.CUSTOMER_FK)
+    ),
 )
 CTES["l_metrics"] = _union(
     text

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lodestrata.operators import (
-    anomalies, changes, gates, gold, governance, profiling, quality, reports, rfm, silver,
+    anomalies, changes, gates, gold, governance, profiling, quality, reports, rfm, silver, states,
 )
 from lodestrata.plans import attachments as A
 from lodestrata.plans import arrivals, medallion
@@ -203,8 +203,11 @@ def model_queries() -> dict:
 
 def _approx_profile(x: Layers) -> DataFrame:
     """The approximate profile: exact counts as they are, sketches by whether they are near enough."""
+    return _near_enough(x, profiling.profile_tables(x.bronze, RUN, NOW, approx=True))
+
+
+def _near_enough(x: Layers, rough: DataFrame) -> DataFrame:
     keys = ["table_name", "column_name", "metric"]
-    rough = profiling.profile_tables(x.bronze, RUN, NOW, approx=True)
     exact = profiling.profile_tables(x.bronze, RUN, NOW).select(*keys, F.col("metric_value").alias("exact"))
     value, true = (F.col(c).cast("double") for c in ("metric_value", "exact"))
     near = F.when(F.abs(value - true) <= 0.15 * true + 1, "near").otherwise(F.col("metric_value"))
@@ -213,6 +216,22 @@ def _approx_profile(x: Layers) -> DataFrame:
     ).drop("exact")
 
 
+def _parted(x: Layers) -> Lake:
+    """Bronze in two writes of each table; states are kept after the first and after the second."""
+    lake = _lake(x)
+    for part in range(2):
+        for feed, df in x.bronze.items():
+            lake.append_log(df.filter(F.pmod(F.xxhash64(df.columns[0]), F.lit(3)).isin([0] if part else [1, 2])),
+                            "bronze", feed, f"drop-{part}")
+        states.keep_states(lake, {"bronze": LAYERS["bronze"]})
+    return lake
+
+
+def _profile_states(x: Layers) -> DataFrame:
+    """The profile from states: exact counts as they are, sketches by whether they are near enough."""
+    return _near_enough(x, states.profile_from_states(_parted(x), LAYERS["bronze"], RUN, NOW))
+
+
 def check_queries() -> dict:
     orders, fk = "orders", ("bronze", "orders", A.CUSTOMER_FK, "customer_id,order_id")
 
@@ -225,6 +244,10 @@ def check_queries() -> dict:
     return dict(
         profile_table=lambda x: profiling.profile_tables(x.bronze, RUN, NOW),
         profile_table_approx=_approx_profile,
+        profile_states=_profile_states,
+        dq_states=lambda x: states.metrics_from_states(
+            _parted(x), NOW, [a for a in A.ATTACHMENTS if a[0] == "bronze"]
+        ),
         iqr_outliers=lambda x: anomalies.iqr_outliers(x.silver["stg_orders"]),
         high_discount=lambda x: anomalies.high_discount(x.silver["stg_order_items"]),
         dormant_customers=lambda x: anomalies.dormant_customers(

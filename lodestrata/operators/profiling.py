@@ -27,7 +27,7 @@ def _with_all_columns(measured: DataFrame, tables: Tables) -> DataFrame:
     return listed.join(measured, ["table_name", "column_name"], "left")
 
 
-def _metric_rows(measured: DataFrame, run_id: str, ts: dt.datetime) -> DataFrame:
+def metric_rows(measured: DataFrame, run_id: str, ts: dt.datetime) -> DataFrame:
     rows, nulls = or_zero("rows"), or_zero("nulls")
     pct = F.when(rows > 0, half_up(nulls.cast("double") / rows * 100, 2)).otherwise(F.lit(0.0))
 
@@ -72,7 +72,7 @@ def profile_tables(
     stacked = reduce(DataFrame.unionByName, [
         _cells(df, name, approx, set((unique or {}).get(name, ()))) for name, df in tables.items()
     ])
-    return _metric_rows(_with_all_columns(stacked, tables), run_id, ts)
+    return metric_rows(_with_all_columns(stacked, tables), run_id, ts)
 
 
 def _cells(df: DataFrame, name: str, approx: bool, unique: set[str]) -> DataFrame:
