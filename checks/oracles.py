@@ -439,6 +439,8 @@ TEXTS["medallion_run"] = _union([_steps, *(
     f"cast(cast(sum({measure}) as decimal(30,2)) as varchar) from {table}"
     for i, (table, measure) in enumerate(CHECKSUMS.items())
 )])
+# Steps and tables of a run over what is new are those of a run over everything.
+TEXTS["increment_run"] = TEXTS["medallion_run"]
 TEXTS.update(
     gate_bronze="select * from c_bronze",
     gate_silver="select * from c_silver",

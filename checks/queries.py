@@ -16,7 +16,7 @@ from lodestrata.operators import (
     anomalies, changes, gates, gold, governance, profiling, quality, reports, rfm, silver, states,
 )
 from lodestrata.plans import attachments as A
-from lodestrata.plans import arrivals, medallion
+from lodestrata.plans import arrivals, increment, medallion
 from lodestrata.schemas import BRONZE, LAYERS, LOG_TABLES
 from lodestrata.session import fresh_dir, tune
 from lodestrata.sources import csv_feed
@@ -570,7 +570,10 @@ CHECKSUMS = {
 def _run(x: Layers) -> DataFrame:
     """The steps of a run, and rows and checksum of every Gold table it left."""
     root = _land_bronze(x)
-    steps = medallion.run_medallion(x.spark, root, AS_OF, NOW, RUN)
+    return _with_checksums(x, root, medallion.run_medallion(x.spark, root, AS_OF, NOW, RUN))
+
+
+def _with_checksums(x: Layers, root: str, steps: DataFrame) -> DataFrame:
     lake = Lake(x.spark, root)
     for spot, (table, measure) in enumerate(CHECKSUMS.items()):
         total = F.sum(measure).cast("decimal(30,2)").cast("string")
@@ -581,6 +584,30 @@ def _run(x: Layers) -> DataFrame:
     return steps
 
 
+def _increment(x: Layers) -> DataFrame:
+    """All feeds in two drops, the second of which is what was ordered, paid and sent late: a run for each.
+
+    The steps of the second run, and rows and checksum of every Gold table.
+    """
+    lake, cut = _lake(x), F.lit(dt.date(2001, 5, 1))
+    late = {"orders": F.col("order_date") >= cut, "payments": F.col("payment_date") >= cut,
+            "shipments": F.col("ship_date") >= cut}
+    late = {feed: F.coalesce(condition, F.lit(False)) for feed, condition in late.items()}
+    ordered = x.bronze["orders"].filter(late["orders"]).select("order_id")
+    for spot in range(2):
+        for feed, df in x.bronze.items():
+            if feed == "order_items":
+                part = df.join(ordered, "order_id", "left_semi" if spot else "left_anti")
+            elif feed in late:
+                part = df.filter(late[feed] if spot else ~late[feed])
+            else:
+                part = df.filter("false") if spot else df
+            # Late payments and shipments may be of early orders.
+            lake.append_log(part, "bronze", feed, f"drop-{spot}")
+        steps = increment.run_increment(x.spark, lake.root, AS_OF, NOW, f"run-{spot + 1}")
+    return _with_checksums(x, lake.root, steps)
+
+
 def _arrivals(x: Layers) -> DataFrame:
     """Two drops of files, a bad line in each feed, and a call without any: what came of them."""
     landing, root = fresh_dir(x.spark, "landing"), fresh_dir(x.spark, "lake")
@@ -706,6 +733,7 @@ def storage_queries() -> dict:
         snk_metric_rows=_metric_rows,
         gated_promote=_promote,
         medallion_run=_run,
+        increment_run=_increment,
         event_run=_arrivals,
     )
 

@@ -50,11 +50,11 @@ def _layer(lake: Lake, layer: str) -> dict[str, DataFrame] | None:
 
 def run_medallion(
     spark: SparkSession, root: str, as_of: dt.date, ts: dt.datetime, run_id: str | None = None,
-    max_days: int | None = None,
+    max_days: int | None = None, bronze: dict[str, DataFrame] | None = None,
 ) -> DataFrame:
     """Take the Bronze tables below ``root`` to certified Gold tables.
 
-    Returns one row per step.  Profile, anomalies and scores run on whatever
+    ``bronze`` are those tables as they were at a given moment.  Returns one row per step.  Profile, anomalies and scores run on whatever
     tables are there, also when a transform was skipped.  The first gate
     checks that order ids are unique, so the Gold models of a run that passed
     it use plain counts of orders.
@@ -66,7 +66,7 @@ def run_medallion(
     def note(step: str, status: str, message: str) -> None:
         steps.append((len(steps) + 1, step, status, message))
 
-    bronze = {name: lake.read("bronze", name) for name in LAYERS["bronze"]}
+    bronze = bronze or {name: lake.read("bronze", name) for name in LAYERS["bronze"]}
     first = gate_text(gates.validate_bronze(bronze))
     note("bronze_gate", "DONE", first)
 

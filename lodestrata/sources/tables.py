@@ -81,7 +81,9 @@ class Lake:
 
     def _note(self, entry: Version) -> None:
         """Append a row to the log: one file, which is there as a whole or not at all."""
-        row = self.spark.createDataFrame([tuple(entry)], LOG_DDL).coalesce(1)
+        kinds = dict(item.rsplit(" ", 1) for item in LOG_DDL.split(", "))
+        values = {**entry._asdict(), "written_at": entry.written_at.isoformat(sep=" ")}
+        row = self.spark.range(0, 1, 1, 1).select(*[F.lit(values[c]).cast(kind).alias(c) for c, kind in kinds.items()])
         row.write.mode("append").parquet(self.log_path(entry.layer, entry.name))
 
     def _files(self, folder: str) -> tuple[int, int]:
