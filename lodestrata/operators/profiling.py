@@ -6,8 +6,9 @@ import datetime as dt
 from collections.abc import Mapping
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lodestrata.functions.columns import count_where, half_up, moment, or_zero
 
@@ -62,27 +63,34 @@ def profile_tables(
 ) -> DataFrame:
     """Row count, and per column NULL count, NULL percent and distinct count.
 
-    One aggregate per table.  Row and NULL counts need one row per task; for the distinct
-    counts each task sends every value of a column once, typed and with a
-    small column number.  ``unique`` names columns that a key check has proved
-    free of repeats: their distinct count needs no shuffle.  ``approx`` replaces
+    Row and NULL counts are one aggregate per table, of one row per task.  The distinct counts of all
+    columns of all tables are one more: each value is a small column number and the value, and
+    equal ones are combined before they move.  ``unique`` names columns that a key check has proved
+    free of repeats: their values need not move.  ``approx`` replaces
     the exact distinct counts by sketches, so nothing but those one-row
     aggregates is shuffled.  NULL counts as one of the distinct values.
     """
-    stacked = reduce(DataFrame.unionByName, [
-        _cells(df, name, approx, set((unique or {}).get(name, ()))) for name, df in tables.items()
-    ])
+    known = {name: set(df.columns if approx else (unique or {}).get(name, ())) for name, df in tables.items()}
+    stacked = reduce(DataFrame.unionByName, [_cells(df, name, approx, known[name]) for name, df in tables.items()])
+    rest = {name: [c for c in df.columns if c not in known[name]] for name, df in tables.items()}
+    if any(rest.values()):
+        exact = _distinct_values({name: tables[name] for name in tables if rest[name]}, rest)
+        stacked = stacked.join(exact, ["table_name", "column_name"], "left").withColumn(
+            "distincts", F.col("distincts") + or_zero("values")
+        )
     return metric_rows(_with_all_columns(stacked, tables), run_id, ts)
 
 
-def _cells(df: DataFrame, name: str, approx: bool, unique: set[str]) -> DataFrame:
-    """One row per column: table, column, rows, NULLs, distinct values."""
+def _cells(df: DataFrame, name: str, approx: bool, known: set[str]) -> DataFrame:
+    """One row per column: table, column, rows, NULLs, distinct values.
+
+    Of columns that are not ``known`` the last is 1 if there is a NULL, and 0 otherwise.
+    """
     def distincts(c):
         null_counts_as_one = F.coalesce(F.max(F.col(c).isNull().cast("int")), F.lit(0))
-        if c in unique:
-            seen = F.count(c)
-        else:
-            seen = F.approx_count_distinct(c) if approx else F.count_distinct(c)
+        seen = F.lit(0)
+        if c in known:
+            seen = F.approx_count_distinct(c) if approx else F.count(c)
         return (seen + null_counts_as_one).cast("bigint")
 
     cells = [
@@ -98,6 +106,46 @@ def _cells(df: DataFrame, name: str, approx: bool, unique: set[str]) -> DataFram
     return df.agg(F.array(*cells).alias("cells")).select(F.inline("cells"))
 
 
+def _value(field: T.StructField, number: int) -> Column:
+    """A value as a column number and a long, or a text where it is no whole number; NULL for NULL."""
+    column, kind = F.col(field.name), field.dataType
+    if isinstance(kind, T.IntegralType):
+        whole = column.cast("bigint")
+    elif isinstance(kind, T.DecimalType) and kind.precision <= 18:
+        whole = (column * 10**kind.scale).cast("bigint")
+    elif isinstance(kind, T.DateType):
+        whole = F.unix_date(column).cast("bigint")
+    elif isinstance(kind, T.TimestampType):
+        whole = F.unix_micros(column)
+    elif isinstance(kind, T.BooleanType):
+        whole = column.cast("int").cast("bigint")
+    else:
+        whole = None
+    return F.when(column.isNotNull(), F.struct(
+        F.lit(number).cast("smallint").alias("number"),
+        (F.lit(None).cast("bigint") if whole is None else whole).alias("whole"),
+        (column.cast("string") if whole is None else F.lit(None).cast("string")).alias("text"),
+    ))
+
+
+def _distinct_values(tables: Tables, columns: Mapping[str, list[str]]) -> DataFrame:
+    """``table_name column_name values``: how many different values but NULL each column has.
+
+    Narrow rows of all tables go through one aggregate; each table is read once.
+    """
+    names, parts = [], []
+    for name, df in tables.items():
+        cells = []
+        for c in columns[name]:
+            cells.append(_value(df.schema[c], len(names)).alias(f"c{len(names)}"))
+            names.append((len(names), name.upper(), c.upper()))
+        narrow = df.select(*cells)
+        parts.append(narrow.unpivot([], narrow.columns, "cell", "value").filter("value is not null").select("value.*"))
+    counts = reduce(DataFrame.unionByName, parts).distinct().groupBy("number").agg(F.count("*").alias("values"))
+    listed = counts.sparkSession.createDataFrame(names, "number smallint, table_name string, column_name string")
+    return listed.join(counts, "number").drop("number")
+
+
 def profile_table(
     df: DataFrame, name: str, run_id: str, ts: dt.datetime, approx: bool = False
 ) -> DataFrame:
