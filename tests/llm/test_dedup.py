@@ -251,7 +251,11 @@ def edit_distance(pattern, text, anywhere=True):
     return min(row) if anywhere else row[-1]
 
 
-def test_passages_within_the_budget():
+# Nothing is a common q-gram; many are; all of them and few places at once.
+@pytest.mark.parametrize("common, expanded", [(64, 1 << 20), (1, 1 << 20), (0, 50)])
+def test_passages_within_the_budget(monkeypatch, common, expanded):
+    monkeypatch.setattr(decontamination, "COMMON", common)
+    monkeypatch.setattr(decontamination, "EXPANDED", expanded)
     rng = random.Random(7)
     words = ["the", "of", "ation", "er", "and", "In", "qu", "zz."]
     items = ["".join(rng.choice(words) + " " for _ in range(n)).strip() for n in (3, 20, 30, 60)]
@@ -278,7 +282,8 @@ def test_passages_within_the_budget():
         for item in range(4):
             pattern = bytes(index.text[index.offsets[item]: index.offsets[item + 1]])
             if len(pattern) < decontamination.Q:
-                assert (i, item) not in found
+                whole = re.search(rb"(?<![a-z0-9\x80-\xff])" + re.escape(pattern) + rb"(?![a-z0-9\x80-\xff])", folded)
+                assert bool(whole) == ((i, item) in found)
                 continue
             least = edit_distance(pattern, folded)
             assert (least <= index.edits[item]) == ((i, item) in found)
@@ -294,7 +299,9 @@ def test_passages_in_documents(session):
     items = session.createDataFrame([(1, item), (2, None), (None, "x" * 50), (3, "short"), (4, item)], "item_id long, text string")
     docs = documents(session, rows)
     got = decontamination.op1_decontamination(session, docs, items).collect()
-    assert Counter((x.doc_id, x.item_id) for x in got) == {(20, 1): 1, (20, 4): 1, (21, 1): 2, (21, 4): 2}
+    # Every text of the edges that holds the short item as a word of its own, and none other.
+    assert Counter((x.doc_id, x.item_id) for x in got if x.item_id != 3) == {(20, 1): 1, (20, 4): 1, (21, 1): 2, (21, 4): 2}
+    assert not [x for x in got if x.item_id == 3]
     assert all(x.distance == 0 for x in got)
     clean = decontamination.drop_contaminated(docs, items)
     assert sorted(x.doc_id or 0 for x in clean.collect()) == sorted(x or 0 for x, _ in rows if x not in (20, 21))
@@ -307,6 +314,43 @@ def test_passages_in_documents(session):
 def test_many_item_blocks(session, monkeypatch):
     items = session.createDataFrame([(i, f"item number {i} is about the thing called {i * i}") for i in range(9)], "item_id long, text string")
     monkeypatch.setattr(decontamination, "ITEM_BYTES", 100)
-    assert len(decontamination.item_blocks(items, 100)) > 1
-    blocks = decontamination.item_blocks(items, 100)
-    assert sorted(i for b in blocks for i in b.ids) == list(range(9))
+    assert len(list(decontamination.item_blocks(items, 100))) > 1
+    assert sorted(i for b in decontamination.item_blocks(items, 100) for i in b.ids) == list(range(9))
+    docs = documents(session, [(i, f"so item number {i} is about the thing called {i * i}, it says") for i in range(9)]
+                     + [(20, "a text of its own"), (21, "item number")])
+    assert {(x.doc_id, x.item_id) for x in decontamination.benchmark_passages(docs, items).collect()
+            if x.distance == 0} == {(i, i) for i in range(9)}
+    assert sorted(x.doc_id for x in decontamination.drop_contaminated(docs, items).collect()) == [20, 21]
+
+
+def test_short_items_stand_by_themselves():
+    items = ["x", "ab c", "q(a)", " Éa ", "a-b", "   ", "", "ninebytes", "tenbytesxx", "ab c"]
+    index = decontamination.ItemIndex.of(list(range(len(items))), items)
+    texts = ["an x.", "axe x1 éx", "AB  C d ab\nc", "q(a)q(a) (q(a))", "Éa. éÉa Éaé", "ca-bd a-b a-b-c", "", "NINEBYTES ninebytess",
+             "tenbytesxx", "x", "b", "c"]
+    found = {}
+    for text, item, start, length, distance in decontamination.find_passages(index, *column([x.encode() for x in texts])):
+        assert distance == 0
+        found.setdefault(text, []).append((item, texts[text].encode()[start: start + length].decode()))
+    assert found == {
+        0: [(0, "x")], 2: [(1, "AB  C"), (1, "ab\nc"), (9, "AB  C"), (9, "ab\nc")], 3: [(2, "q(a)")] * 3,
+        4: [(3, "Éa")], 5: [(4, "a-b"), (4, "a-b")], 7: [(7, "NINEBYTES")], 8: [(8, "tenbytesxx")], 9: [(0, "x")],
+    }
+
+
+def test_many_items_with_one_opening_phrase():
+    """Bounded work at once, however many items and texts share a phrase; items that are little else are still found."""
+    import resource
+
+    phrase = "which of the following statements best describes the "
+    rng = random.Random(3)
+    word = lambda: "".join(rng.choice("abcdefghijklmnop") for _ in range(7))
+    items = [phrase + " ".join(word() for _ in range(24)) for _ in range(3000)] + [phrase + "x", phrase + phrase]
+    index = decontamination.ItemIndex.of(list(range(len(items))), items)
+    texts = [phrase + word() for _ in range(2000)] + [items[7], items[2999].upper(), "so " + phrase + "x then", phrase + phrase]
+    before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+    found = decontamination.find_passages(index, *column([x.encode() for x in texts]))
+    assert resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before < 500_000
+    exact = {(text, item) for text, item, *_, distance in found if distance == 0}
+    assert {(2000, 7), (2001, 2999), (2002, 3000), (2003, 3001)} <= exact
+    assert not [x for x in found if x[0] < 2000 and x[1] < 3000]
