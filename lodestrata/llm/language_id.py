@@ -5,6 +5,10 @@ and an n-gram's cells, combined by ``and``, give the mask of all languages that
 contain it.  A text's masks are counted bit by bit; a language's share of hits
 is corrected for the false positives that the filter's filling predicts, and
 the language with the greatest corrected share is chosen.
+
+Every n-gram of the sample is entered.  Corpora hold passages of other languages, so the more text is
+learned the more languages share an n-gram; six bytes and a sample of a thousand rows keep
+the shares apart.
 """
 
 from __future__ import annotations
@@ -17,16 +21,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lodestrata.llm.common import column_bytes, stored
+from lodestrata.llm.common import column_bytes
 
-GRAM = 4               # bytes of an n-gram
-CELL_BITS = 19         # the filter has 2 ** CELL_BITS cells
+GRAM = 6               # bytes of an n-gram
+CELL_BITS = 20         # the filter has 2 ** CELL_BITS cells
 HASHES = 3
-SAMPLE_ROWS = 10_000   # labelled rows per language that are learned from, at most (about)
-LEAST_COUNT = 3        # occurrences from which an n-gram counts as one of the language
-FEW_GRAMS = 2_000      # occurrences in all below which a language keeps each of its n-grams
-LEAST_SHARE = 0.25     # its rate there, against the language where it is most common
+SAMPLE_ROWS = 1_000    # labelled rows per language that are learned from, at most (about)
 MULTIPLIERS = np.array([2654435761, 2246822519, 3266489917], np.uint32)
+MIX = np.uint64(0x9E3779B97F4A7C15)
 SPACE = 32
 
 # Letters keep their byte (A-Z in lower case), all other signs become a space.
@@ -36,7 +38,7 @@ FOLD[128:] = np.arange(128, 256)
 
 
 def grams_of(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """All n-grams of texts, as 32-bit numbers, and the number of them in each text.
+    """All n-grams of texts, mixed to 32-bit numbers, and the number of them in each text.
 
     Runs of other signs count as one space; a text begins and ends with a space.
     """
@@ -55,9 +57,10 @@ def grams_of(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
     if len(room) < GRAM:
         return np.zeros(0, np.uint32), np.zeros(n, np.int64)
     size = len(room) - GRAM + 1
-    grams = np.zeros(size, np.uint32)
+    grams = np.zeros(size, np.uint64)
     for spot in range(GRAM):
-        grams |= room[spot: size + spot].astype(np.uint32) << np.uint32(8 * spot)
+        grams |= room[spot: size + spot].astype(np.uint64) << np.uint64(8 * spot)
+    grams = (grams * MIX >> np.uint64(32)).astype(np.uint32)
     # A text's n-grams end with it, and may begin with the space before it.
     inside = of[1: size + 1] == of[GRAM - 1:]
     return grams[inside], np.bincount(of[GRAM - 1:][inside], minlength=n)
@@ -126,23 +129,14 @@ def learn_filter(
             grams, counts = grams_of(data, offsets)
             of = np.array([spot[x] for x in batch["lang"].to_pylist()], np.uint64)
             both = (np.repeat(of, counts) << np.uint64(32)) | grams
-            both, number = np.unique(both, return_counts=True)
+            both = np.unique(both)
             yield pa.RecordBatch.from_arrays(
                 [pa.array((both >> np.uint64(32)).astype(np.int32)),
-                 pa.array((both & np.uint64(0xFFFFFFFF)).astype(np.int64)), pa.array(number)],
-                ["language", "gram", "n"],
+                 pa.array((both & np.uint64(0xFFFFFFFF)).astype(np.int64))],
+                ["language", "gram"],
             )
 
-    counted = stored(
-        sample.select("text", "lang").mapInArrow(count, "language int, gram long, n long")
-        .groupBy("language", "gram").agg(F.sum("n").alias("n")), "language-grams",
-    )
-    totals = counted.groupBy("language").agg(F.sum("n").alias("total"))
-    rated = counted.join(totals, "language").withColumn("rate", F.col("n") / F.col("total"))
-    most = rated.groupBy("gram").agg(F.max("rate").alias("most"))
-    own = rated.join(most, "gram").filter(
-        ((F.col("n") >= LEAST_COUNT) | (F.col("total") < FEW_GRAMS)) & (F.col("rate") >= LEAST_SHARE * F.col("most"))
-    )
+    own = sample.select("text", "lang").mapInArrow(count, "language int, gram long").distinct()
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -143,6 +143,11 @@ def test_fit_sees_no_held_out_rows(session, labelled):
 # ------------------------------------------------------------------ languages
 
 
+def mixed(gram: bytes) -> int:
+    """An n-gram as the operator numbers it."""
+    return (int.from_bytes(gram, "little") * 0x9E3779B97F4A7C15 & (1 << 64) - 1) >> 32
+
+
 def test_grams_of_texts():
     texts = ["Ab, cd", "", "x", "  a  b  ", "été"]
     raw = [x.encode() for x in texts]
@@ -150,11 +155,49 @@ def test_grams_of_texts():
     grams, counts = language_id.grams_of(np.frombuffer(b"".join(raw), np.uint8), offsets)
     got, at = [], 0
     for n in counts:
-        got.append([int(x).to_bytes(4, "little") for x in grams[at: at + n]])
+        got.append(grams[at: at + n].tolist())
         at += n
     for text, found in zip(texts, got):
         folded = b" " + re.sub(rb"[^a-z\x80-\xff]+", b" ", text.lower().encode()).strip() + b" "
-        assert found == [folded[i: i + 4] for i in range(len(folded) - 3)]
+        assert found == [mixed(folded[i: i + 6]) for i in range(len(folded) - 5)]
+
+
+def test_filter_against_sets(session):
+    """The languages that contain each n-gram, the shares and the choice, by plain sets."""
+    rng = random.Random(4)
+    words = {lang: ["".join(rng.choice(signs) for _ in range(rng.choice([3, 5, 8]))) for _ in range(60)]
+             for lang, signs in (("aa", "abcdefg"), ("bb", "defghijé"), ("cc", "ghijklmñ"))}
+    rows = []
+    for i in range(300):
+        lang = rng.choice(sorted(words))
+        mix = words[lang] + words[rng.choice(sorted(words))][:10]
+        rows.append((i, " ".join(rng.choice(mix) for _ in range(rng.choice([1, 4, 40]))), lang))
+    docs = session.createDataFrame(rows, "doc_id long, text string, lang string")
+
+    def cut(text):
+        folded = b" " + re.sub(rb"[^a-z\x80-\xff]+", b" ", text.lower().encode()).strip() + b" "
+        return [mixed(folded[i: i + 6]) for i in range(len(folded) - 5)]
+
+    model = language_id.learn_filter(docs)
+    learned = {lang: {g for i, text, x in rows if x == lang and zlib.crc32(str(i).encode()) % 4 != 2 for g in cut(text)}
+               for lang in words}
+    every = sorted(set().union(*learned.values()))
+    spots = language_id.cells_of(np.array(every, np.uint32), model.bits, model.hashes)
+    masks = np.bitwise_and.reduce([model.cells[0][x] for x in spots])
+    for bit, lang in enumerate(model.languages):
+        hits = {g for g, mask in zip(every, masks.tolist()) if mask >> bit & 1}
+        # None is missed, and hardly any comes in by chance.
+        assert learned[lang] <= hits and len(hits - learned[lang]) <= 3
+    right = 0
+    for x in language_id.identify(docs, model).collect():
+        grams = cut(rows[x.doc_id][1])
+        shares = [sum(g in learned[lang] for g in grams) / max(len(grams), 1) for lang in model.languages]
+        best = max(shares)
+        if best and sum(best - s < 0.01 for s in shares) == 1:
+            assert x.lang_pred == model.languages[shares.index(best)]
+            assert abs(x.score - best / sum(shares)) < 0.02
+        right += x.lang_pred == rows[x.doc_id][2]
+    assert right > 250
 
 
 def test_languages_of_documents(session):
