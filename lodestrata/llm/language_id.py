@@ -150,9 +150,9 @@ def learn_filter(
                 )
 
     placed = own.select("gram", "language").mapInArrow(place, "word int, cell int, mask long")
-    got = placed.groupBy("word", "cell").agg(F.expr("bit_or(mask)").alias("mask")).toPandas()
+    got = placed.groupBy("word", "cell").agg(F.expr("bit_or(mask)").alias("mask")).toArrow()
     cells = np.zeros((-(-len(languages) // 64), 1 << bits), np.uint64)
-    cells[got["word"].to_numpy(), got["cell"].to_numpy()] = got["mask"].to_numpy(np.int64).view(np.uint64)
+    cells[got["word"].to_numpy(), got["cell"].to_numpy()] = got["mask"].to_numpy().view(np.uint64)
     filling = np.array([
         float(((cells[i // 64] >> np.uint64(i % 64)) & np.uint64(1)).mean()) for i in range(len(languages))
     ])
