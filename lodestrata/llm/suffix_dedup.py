@@ -32,7 +32,7 @@ from lodestrata.llm.tokens import word_hashes
 
 MATCH = 100                 # bytes of a match; a multiple of the gram of the transforms
 K = 32                      # bytes of an anchor
-SCAN_BYTES = 4 << 20
+SCAN_BYTES = 2 << 20
 CHUNK_BYTES = 1 << 20       # bytes of contexts whose transforms are merged at once
 SHARDS = 2
 MOST_CONTEXTS = 10_000      # different contexts of one anchor that are collected
