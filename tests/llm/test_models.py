@@ -315,7 +315,7 @@ def test_damaged_archives_are_noticed(session, tmp_path):
 
 
 def test_registry():
-    assert sorted(int(x[2:].split("_")[0]) for x in llm_queries()) == list(range(1, 11))
+    assert sorted(int(x[2:].split("_")[0]) for x in llm_queries()) == list(range(1, 14))
     assert set(llm_oracles()) <= set(llm_queries())
 
 
