@@ -128,8 +128,8 @@ def with_revisits(pages: DataFrame, least: int = LEAST_PAYLOAD) -> DataFrame:
 def write_archives(pages: DataFrame, folder: str, file_bytes: int = FILE_BYTES) -> DataFrame:
     """Write a capture for each row of ``with_revisits``; returns ``file records``.
 
-    Each task writes files of about ``file_bytes`` bytes of records; a repeated task writes
-    them again under the same names.
+    Each task writes files of about ``file_bytes`` bytes of records, its rows in order of digest, id and
+    address; so a repeated task cuts the files at the same rows and writes them again under the same names.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -152,7 +152,8 @@ def write_archives(pages: DataFrame, folder: str, file_bytes: int = FILE_BYTES)
         if parts:
             yield flush()
 
-    return stored(pages.mapInArrow(run, "file string, records long"), "archives")
+    ordered = pages.sortWithinPartitions("digest", "page_id", "url")
+    return stored(ordered.mapInArrow(run, "file string, records long"), "archives")
 
 
 # ------------------------------------------------------------------- reading
