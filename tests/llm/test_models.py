@@ -113,6 +113,61 @@ def test_pairs_keep_neutral_mentions_low(session, labelled, monkeypatch):
     assert paired.logit({"w1", "muslims"}) < 0 < paired.logit({"stinker"})
 
 
+def test_swaps_are_made_one_at_a_time_within_sentences():
+    swaps = {"black": "white", "white": "black", "muslims": "jews", "jews": "muslims"}
+    got = sorted((sorted(words), term, other) for words, term, other in toxicity.swapped_sentences(
+        "Black and white. None here!\nMuslims", swaps))
+    assert got == [(["and", "black", "white"], "black", "white"), (["and", "black", "white"], "white", "black"),
+                   (["muslims"], "muslims", "jews")]
+    assert list(toxicity.swapped_sentences(None, swaps)) == list(toxicity.swapped_sentences("", swaps)) == []
+
+
+def test_learned_kinds_leave_out_what_stands_alone():
+    got = toxicity.all_swaps({"a": "men women"}, [("trees", 40), ("bees", 50), ("men", 9), ("bees2", 3), ("fees", 70)])
+    assert got == {"men": "women", "women": "men", "trees": "bees", "bees": "trees"}
+
+
+def test_learned_terms_are_neutral_and_their_swaps_cost_little(session, monkeypatch):
+    rng = random.Random(9)
+    words = ["".join(rng.choice("abcdef") for _ in range(4)) + "en" for _ in range(60)]
+    rows, labels = [], []
+    for i in range(800):
+        bad = i % 4 == 0
+        # Half of the words are somewhat commoner in toxic texts.
+        text = [rng.choice(words[:30] if bad and rng.random() < 0.3 else words) for _ in range(20)]
+        rows.append((i, " ".join(text[:10]) + ". " + " ".join(text[10:] + ["stinker"] * bad)))
+        labels.append((i, 1, int(bad)))
+    docs, labels = documents(session, rows), session.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    paired = toxicity.fit_classifier(docs, labels, kinds={})
+    monkeypatch.setattr(toxicity, "PAIR_WEIGHT", 0.0)
+    plain = toxicity.fit_classifier(docs, labels, kinds={})
+    assert paired.swaps == plain.swaps and paired.n_pairs > 100
+    assert 20 < len(paired.swaps) and set(paired.swaps) <= set(words)
+    held = docs.filter("crc32(cast(doc_id as string)) % 5 = 0")
+    near, far = (toxicity.score_shift(held, x).first() for x in (paired, plain))
+    assert near.n_swaps == far.n_swaps > 0 and near.shift < 0.2 * far.shift
+    assert paired.logit({"stinker"}) > 0 > paired.logit(set(words[:3]))
+    nothing = toxicity.score_shift(documents(session, [(1, None), (2, "")]), paired).first()
+    assert (nothing.n_swaps, nothing.shift) == (0, None)
+
+
+def test_pairs_by_brute_force(session):
+    rows = [(1, "abcd xyz. abcd"), (2, "abce abcd xyz"), (3, None), (4, "abcd")]
+    spot, swaps = {"=abcd": 0, "abcd": 1, "=abce": 2, "=xyz": 3}, {"abcd": "abce", "xyz": "none"}
+    got = toxicity.counterfactual_pairs(documents(session, rows), spot, swaps)
+    expected: dict = {}
+    for _, text in rows:
+        for sentence in (text or "").split("."):
+            words = set(sentence.split())
+            for term in words & swaps.keys():
+                before, after = (toxicity.features_of(x) & spot.keys() for x in (words, words - {term} | {swaps[term]}))
+                if before != after:
+                    key = (tuple(sorted(spot[x] for x in before - after)), tuple(sorted(spot[x] for x in after - before)))
+                    expected[key] = expected.get(key, 0) + 1
+    assert {(tuple(x), tuple(y)): n for x, y, n in got} == expected
+    assert toxicity.counterfactual_pairs(documents(session, rows), spot, {}) == []
+
+
 def test_toxicity_at_the_edges(session, labelled):
     rows, labels = labelled
     got = toxicity.op8_toxicity(session, documents(session, edge_rows()), labels).collect()
