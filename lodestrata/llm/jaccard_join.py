@@ -4,8 +4,9 @@ All shingles are ordered in several ways that every document agrees on: first by
 common their cell of a fixed table of counts is, then by a hash that differs
 from order to order.  Two sets of Jaccard similarity ``t`` share a shingle among the
 first ``n - ceil(t n) + 1`` of each, in every order.  The first order's prefixes
-are grouped; what meets there must also pass a bound from parity bitmaps and
-share a prefix shingle in each further order before sets are compared.
+are grouped; what meets there must also pass a bound from parity bitmaps.  The prefixes
+of the further orders are then joined to these pairs as narrow rows, and only pairs that
+share a shingle of the prefix in every order have their texts fetched and compared.
 
 Equal sets are one class from the start.  Then, so that a group of similar sets doesn't
 become all its pairs, two passes find the links:
@@ -344,12 +345,8 @@ def _cell(ids: np.ndarray) -> np.ndarray:
     return (mixed(ids.astype(np.int64).view(np.uint64), 0) >> np.uint64(64 - FILTER_BITS)).astype(np.int64)
 
 
-def texts_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """``doc_id text`` of the documents with the given ids, stored.
-
-    Texts of other documents are left out before the shuffle, as far as the
-    filter tells; the join decides.
-    """
+def near_rows(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """``doc_id text`` of the documents with the given ids, and of few others, without a shuffle."""
     bits = id_filter(ids)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -358,19 +355,71 @@ def texts_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
             yield batch.filter(pa.array(keep))
 
     named = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").filter("doc_id is not null")
-    near = named.mapInArrow(run, "doc_id long, text string")
-    return stored(near.join(ids, "doc_id", "left_semi"), "candidate-texts")
+    return named.mapInArrow(run, "doc_id long, text string")
+
+
+def further_prefixes(docs: DataFrame, ids: DataFrame, bands: np.ndarray) -> DataFrame:
+    """Prefixes of the given documents under each order but the first, stored: ``doc_id k1 p1 p2``.
+
+    A shingle goes by 32 bits; two that clash let a pair through, which is compared later.
+    """
+    further = range(1, ORDERS)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in grouped(batches):
+            sets, offsets = shingle_sets(*column_bytes(batch["text"]))
+            lists = []
+            for order in further:
+                keys, of = prefixes(sets, offsets, bands, order)
+                names = (mixed(keys, 4) >> np.uint64(32)).astype(np.uint32).view(np.int32)
+                starts = np.searchsorted(of, np.arange(batch.num_rows + 1)).astype(np.int32)
+                lists.append(pa.ListArray.from_arrays(pa.array(starts), pa.array(names)))
+            yield pa.RecordBatch.from_arrays(
+                [batch["doc_id"], pa.array(set_keys(sets, offsets)[0]), *lists],
+                ["doc_id", "k1", *(f"p{order}" for order in further)],
+            )
+
+    ddl = "doc_id long, k1 long, " + ", ".join(f"p{order} array<int>" for order in further)
+    rows = near_rows(docs, ids).mapInArrow(run, ddl)
+    return stored(rows.dropDuplicates(["doc_id", "k1"]), "further-prefixes")
+
+
+def meeting(pairs: DataFrame, docs: DataFrame, bands: np.ndarray) -> DataFrame:
+    """The pairs ``a b a1 b1`` that share a prefix shingle in every further order, too, stored."""
+    table = further_prefixes(docs, ids_of(pairs), bands)
+    further = range(1, ORDERS)
+    sides = [
+        table.select(F.col("doc_id").alias(x), F.col("k1").alias(f"{x}1"),
+                     *(F.col(f"p{order}").alias(f"{x}_{order}") for order in further)) for x in ("a", "b")
+    ]
+    both = pairs.join(sides[0], ["a", "a1"]).join(sides[1], ["b", "b1"])
+    for order in further:
+        both = both.filter(F.arrays_overlap(f"a_{order}", f"b_{order}"))
+    return stored(both.select("a", "b", "a1", "b1"), "meeting-pairs")
+
+
+def ids_of(pairs: DataFrame) -> DataFrame:
+    """``doc_id`` of the documents in pairs, each once."""
+    return pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))).distinct()
+
+
+def texts_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """``doc_id text`` of the documents with the given ids, stored.
+
+    Texts of other documents are left out before the shuffle, as far as the
+    filter tells; the join decides.
+    """
+    return stored(near_rows(docs, ids).join(ids, "doc_id", "left_semi"), "candidate-texts")
 
 
 def verified(pairs: DataFrame, docs: DataFrame, bands: np.ndarray) -> DataFrame:
     """The links among pairs ``a b a1 b1``: prefixes under every further order, then the sets.
 
-    Whole texts of the documents in pairs come together; the set keys ``a1 b1``
-    tell rows that repeat an id with another text apart.
+    Whole texts of the documents in pairs that pass all filters come together; the set
+    keys ``a1 b1`` tell rows that repeat an id with another text apart.
     """
-    needed = pairs.select(F.col("a").alias("doc_id")).unionByName(
-        pairs.select(F.col("b").alias("doc_id"))).distinct()
-    texts = texts_of(docs, needed)
+    pairs = meeting(pairs, docs, bands)
+    texts = texts_of(docs, ids_of(pairs))
     both = pairs.join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), "a").join(
         texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")), "b"
     ).select("a", "b", "a1", "b1", "text_a", "text_b")
@@ -381,19 +430,8 @@ def verified(pairs: DataFrame, docs: DataFrame, bands: np.ndarray) -> DataFrame:
             right = np.ones(batch.num_rows, bool)
             for (sets, offsets), key in zip(sides, ("a1", "b1")):
                 right &= set_keys(sets, offsets)[0] == batch[key].to_numpy()
-            meet = np.ones(batch.num_rows, bool)
-            for order in range(1, ORDERS):
-                found = []
-                for sets, offsets in sides:
-                    keys, of = prefixes(sets, offsets, bands, order)
-                    found.append(mixed(keys, 1) ^ of.astype(np.uint64) << np.uint64(40))
-                shared = np.isin(found[0], found[1])
-                _, of = prefixes(*sides[0], bands, order)
-                here = np.zeros(batch.num_rows, bool)
-                here[of[shared]] = True
-                meet &= here
             keep = np.zeros(batch.num_rows, bool)
-            for i in np.flatnonzero(right & meet):
+            for i in np.flatnonzero(right):
                 x, y = (sets[offsets[i]: offsets[i + 1]] for sets, offsets in sides)
                 common = len(np.intersect1d(x, y, assume_unique=True))
                 keep[i] = DENOMINATOR * common >= NUMERATOR * (len(x) + len(y) - common)

@@ -200,6 +200,22 @@ def test_a_set_within_one_larger_by_a_shingle(session):
     assert sorted(x.doc_id for x in jaccard_join.one_per_group(documents(session, rows)).collect()) == [1, 3, 5]
 
 
+def test_further_orders_cut_pairs_and_no_link(session):
+    rng = random.Random(3)
+    passage = " ".join(f"p{i}" for i in range(14))
+    rows = [(i, " ".join(f"x{i}y{k}" for k in range(60)) + " " + passage) for i in range(30)]
+    rows += [(100 + i, text + " tail") for i, text in rows[:10]] + [(200, None), (1, rows[1][1])]
+    docs = documents(session, rows)
+    sets, bands = jaccard_join.set_table(docs)
+    key = {x.doc_id: x.k1 for x in sets.collect()}
+    asked = [(i, 100 + i) for i in range(10)] + [tuple(rng.sample(range(30), 2)) for _ in range(40)]
+    pairs = session.createDataFrame([(a, b, key[a], key[b]) for a, b in set(asked)], "a long, b long, a1 long, b1 long")
+    got = sorted((x.a, x.b) for x in jaccard_join.meeting(pairs, docs, bands).collect())
+    # A repeated row doubles no pair.  A passage in common comes late in the order, so it links nothing.
+    assert got == [(i, 100 + i) for i in range(10)]
+    assert jaccard_join.meeting(pairs.limit(0), docs, bands).count() == 0
+
+
 def test_one_per_group(session):
     docs = documents(session, edge_rows())
     got = jaccard_join.one_per_group(docs)
