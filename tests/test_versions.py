@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 import random
 
+import pandas as pd
 import pytest
 
 from lodestrata.schemas import BRONZE
@@ -84,3 +85,48 @@ def test_changes_lead_from_one_state_to_the_next(spark, tmp_path, seed):
         assert [(a, k, s) for a, _, k, s in source.run()[0]] == sorted(want)
         known = now
     assert len(BRONZE["orders"]) == 6
+
+
+class Store:
+    """A state store that counts what it is asked."""
+
+    def __init__(self):
+        self.value, self.asked = None, 0
+
+    def getValueState(self, name, schema):
+        return self
+
+    def get(self):
+        self.asked += 1
+        return self.value
+
+    def update(self, value):
+        self.asked += 1
+        self.value = value
+
+
+def test_a_share_of_keys_asks_the_state_once():
+    store, found = Store(), versions.LastVersions()
+    found.init(store)
+
+    def batch(*rows):
+        store.asked = 0
+        # Versions of one key may be in several parts.
+        parts = [pd.DataFrame(rows[i::2], columns=["key", "number", "row"]) for i in range(2)]
+        return sorted(tuple(x) for part in found.handleInputRows((0,), iter(parts), None) for x in part.values.tolist())
+
+    assert len(batch(*[(k, 1, f"a{k}") for k in range(1000)])) == 1000 and store.asked == 2
+    got = batch(*[(k, 2, f"a{k}") for k in range(2, 1000)], (0, 2, None), (1, 2, "b"), (1, 1, "late"), (2000, 2, None))
+    assert got == [("DELETE", 2, "a0"), ("UPDATE", 2, "b")] and store.asked == 2
+    assert batch((0, 1, "late"), (2000, 1, "late"), (1, 2, "b")) == [] and store.asked == 1
+    # Of versions with one number the greatest text counts.
+    assert batch((0, 3, "x"), (0, 3, "y"), (5, 2, None)) == [("INSERT", 3, "y")]
+
+
+def test_shares_hold_many_keys(spark, tmp_path):
+    rows = [order(k, "a") for k in range(50)]
+    versions.land_versions(feed(spark, "orders", rows), f"{tmp_path}/in", 1)
+    stream = versions.net_changes(versions.row_versions(spark, f"{tmp_path}/in", "orders"), "order_id", shares=3)
+    found = []
+    consume_changes(stream, f"{tmp_path}/checkpoint", lambda batch, number: found.extend(batch.collect()))
+    assert sorted((x["action"], x["order_id"]) for x in found) == [("INSERT", k) for k in range(50)]
