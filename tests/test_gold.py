@@ -214,3 +214,15 @@ def test_totals_agree_between_layers(staged):
     daily = gold.fact_daily_revenue(staged).agg(F.sum("gross_revenue")).first()[0]
     spend = gold.dim_customers(staged, AS_OF).agg(F.sum("lifetime_spend")).first()[0]
     assert total == daily == spend
+
+
+def test_orders_of_a_product_count_once(spark, bronze, staged):
+    orders = [(10, 1, day("2024-06-01"), "completed", "web", money("1.00"))] * 2
+    orders += [(11, 1, day("2024-06-02"), "returned", "web", money("1.00"))]
+    items = [(100 + i, order, product, 1, money("10.00"), None, None)
+             for i, (order, product) in enumerate([(10, 7), (10, 7), (11, 7), (10, None), (11, None), (11, None), (99, 7)])]
+    found = by(gold.product_sales(build_silver(
+        {**bronze, "orders": feed(spark, "orders", orders), "order_items": feed(spark, "order_items", items)}, AS_OF)), "product_id")
+    # An order that is there twice doubles its rows and stays one order; an item without an order counts nothing.
+    assert (found[7]["orders_with_product"], found[7]["total_units_sold"]) == (2, 5)
+    assert (found[None]["orders_with_product"], found[None]["total_units_sold"]) == (2, 4)

@@ -179,3 +179,9 @@ def test_results_do_not_depend_on_partitioning(spark, bronze):
     )
     for build in (lambda s: gold.dim_customers(s, AS_OF), gold.dim_products, gold.fact_sales):
         assert sorted(build(staged).collect(), key=str) == sorted(build(spread).collect(), key=str)
+
+
+def test_product_sums_move_items_once(stored, no_broadcast):
+    """Orders and items on the order, then one row per product and task: distinct orders move nothing more."""
+    text = plan_text(gold.product_sales(stored))
+    assert count(r"Exchange \(", text) == 3
