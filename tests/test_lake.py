@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
+from checks.queries import Layers, dirty_layers
+from lodestrata.operators import gates
 from lodestrata.plans import medallion
 from lodestrata.sources.tables import Lake
 from tests.conftest import AS_OF, NOW, ROWS, by, feed
@@ -117,3 +120,25 @@ def test_inventory_opens_no_data_file(spark, lake):
     assert all(v["bytes"] > 0 and v["last_altered"] for v in found.values())
     with pytest.raises(ValueError):
         Lake(spark, f"{lake.root}/nothing").inventory({"bronze": ["orders"]})
+
+
+def test_a_report_waits_for_its_tables_only(spark, bronze):
+    x = Layers(spark, f"own rows {uuid.uuid4()}", bronze)
+    assert x.personal().count() == 11
+    _, written = x._stored_root()
+    assert written == {("bronze", n) for n in ("customers", "orders", "payments")} | {
+        ("silver", n) for n in ("stg_customers", "stg_orders", "stg_payments")} | {("gold", "dim_customers")}
+    assert x.flag_log().select("detected_at").distinct().count() == 2
+    assert ("silver", "stg_order_items") in written and not written & {("gold", "fact_sales"), ("bronze", "data_profile_log")}
+    # The inventory is of everything, written at several at a time; what was there is not written again.
+    assert x.stored_tables().count() == 23 and len(written) == 24
+    versions = [x.lake().history(layer, name) for layer, name in written]
+    assert sorted(map(len, versions)) == [1] * 20 + [2] * 4
+    logged = {r["table_name"]: r["row_count"] for r in x.run_log().filter("run_id = 'run-2'").collect()}
+    assert len(logged) == 20 and logged["STG_ORDERS"] == 4 and logged["FACT_SALES"] == 4
+
+
+def test_faults_are_looked_for_in_the_tables_asked_for(spark, bronze):
+    x = Layers(spark, f"own rows {uuid.uuid4()}", bronze)
+    assert not gates.validate_bronze(dirty_layers(x)["bronze"]).filter("not passed").isEmpty()
+    assert x._stored_root()[1] == {("bronze", n) for n in bronze}
