@@ -7,6 +7,7 @@ import random
 
 import pytest
 
+from checks.queries import Layers, layer_queries
 from lodestrata.operators import profiling, quality, states
 from lodestrata.plans import attachments as A
 from lodestrata.sources.tables import Lake
@@ -80,3 +81,15 @@ def test_sketches_merge_to_that_of_the_whole(spark, lake):
         assert got[name].nulls == len(rows) - len(values) and got[name].rows == 6000
     assert got["total_amount"].negatives == sum(x[5] < 0 for x in rows)
     assert got["order_date"].newest == max(x[2] for x in rows)
+
+
+def test_the_exact_profile_beside_states_reads_stored_tables(spark, bronze, monkeypatch):
+    read, real = [], profiling.profile_tables
+
+    def spy(tables, *rest):
+        read.extend(df.inputFiles() for df in tables.values())
+        return real(tables, *rest)
+
+    monkeypatch.setattr(profiling, "profile_tables", spy)
+    assert not layer_queries()["profile_states"](Layers(spark, "own rows", bronze)).isEmpty()
+    assert len(read) == 6 and all(read)
