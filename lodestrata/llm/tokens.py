@@ -23,6 +23,7 @@ STOP = np.zeros(256, bool)
 STOP[[44, 46]] = True
 LOW_BYTES = np.array([(1 << 8 * k) - 1 for k in range(8)] + [(1 << 64) - 1], np.uint64)
 ODD = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F))
+SECOND = (np.uint64(0xD6E8FEB86659FD93), np.uint64(0xA0761D6478BD642F))
 
 
 def word_bounds(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -44,18 +45,18 @@ def word_bounds(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
     return np.flatnonzero(begin), np.flatnonzero(end) + 1
 
 
-def word_hashes(data: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit hashes of byte ranges, eight bytes at a time."""
+def word_hashes(data: np.ndarray, begins: np.ndarray, ends: np.ndarray, odd=ODD) -> np.ndarray:
+    """64-bit hashes of byte ranges, eight bytes at a time; other ``odd`` numbers give another hash."""
     room = np.concatenate([data, np.zeros(8, np.uint8)])
     eight = np.lib.stride_tricks.sliding_window_view(room, 8)
     size = ends - begins
-    found = size.astype(np.uint64) * ODD[1]
+    found = size.astype(np.uint64) * odd[1]
     rest, at = np.arange(len(begins)), begins
     left = size
     while len(rest):
         part = eight[at].view(np.uint64).ravel() & LOW_BYTES[np.minimum(left, 8)]
-        mixed = (found[rest] ^ part) * ODD[0]
-        found[rest] = (mixed ^ (mixed >> np.uint64(29))) * ODD[1]
+        mixed = (found[rest] ^ part) * odd[0]
+        found[rest] = (mixed ^ (mixed >> np.uint64(29))) * odd[1]
         more = left > 8
         rest, at, left = rest[more], at[more] + 8, left[more] - 8
     return found ^ (found >> np.uint64(32))
@@ -84,19 +85,20 @@ class TextEncoder:
 
     For tokenizers that drop white space, a text's ids are the ids of its words.
     The words of a batch are told apart by their hashes, each distinct one is
-    looked up, and only those not met before are encoded; the store of words is
-    emptied when it holds ``max_words``.  Any other tokenizer, and any text that
-    may hold the name of a special token, is encoded directly.
+    looked up, and only those not met before are encoded.  The store of words is sorted
+    arrays of some 40 bytes a word (two independent hashes, both of which must agree, and
+    where the ids are); it is emptied when it holds ``max_words``.  Any other tokenizer,
+    and any text that may hold the name of a special token, is encoded directly.
     """
 
-    def __init__(self, path: str, special_as_text: bool = False, max_words: int = 400_000):
+    def __init__(self, path: str, special_as_text: bool = False, max_words: int = 1_000_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer, pre_tokenizers
 
         self._tokenizer = Tokenizer.from_file(path)
         self._tokenizer.encode_special_tokens = special_as_text
         self._max_words = max_words
-        self._known: dict[bytes, bytes] = {}
+        self._forget()
         with open(path, encoding="utf-8") as file:
             parts = json.load(file)
         kinds = (parts.get("normalizer") or {}).get("normalizers", [])
@@ -120,6 +122,12 @@ class TextEncoder:
                 pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False),
             ])
 
+    def _forget(self) -> None:
+        """Empty the store: hashes in order, second hashes, first ids and numbers of ids; all ids."""
+        self._keys, self._checks = np.zeros(0, np.uint64), np.zeros(0, np.uint64)
+        self._starts, self._sizes = np.zeros(0, np.int64), np.zeros(0, np.int32)
+        self._flat = np.zeros(0, "<u4")
+
     def _direct(self, texts: list[bytes]) -> list[bytes]:
         found = []
         for spot in range(0, len(texts), 4096):
@@ -128,13 +136,13 @@ class TextEncoder:
             found += [np.array(x.ids, "<u4").tobytes() for x in coded]
         return found
 
-    def _learn(self, words: list[bytes]) -> None:
-        """Note the ids of words.
+    def _learn(self, words: list[bytes]) -> list[bytes]:
+        """The ids of each word.
 
         Words of letters alone are encoded many at a time: each ends with an id
         that ends a word, and holds no other such id.
         """
-        letters, names, rest = [], [], []
+        letters, names, rest, found = [], [], [], {}
         for word in words:
             text = word.decode("utf-8", "replace")
             if word.isalpha() or (
@@ -153,8 +161,39 @@ class TextEncoder:
                 rest += names[part]
                 continue
             raw, ends = ids.tobytes(), ends.tolist()
-            self._known.update(zip(names[part], [raw[a:b] for a, b in zip([0, *ends], ends)]))
-        self._known.update(zip(rest, self._direct(rest)))
+            found.update(zip(names[part], [raw[a:b] for a, b in zip([0, *ends], ends)]))
+        found.update(zip(rest, self._direct(rest)))
+        return [found[x] for x in words]
+
+    def _look_up(
+        self, raw: bytes, begins: np.ndarray, ends: np.ndarray, keys: np.ndarray, checks: np.ndarray
+    ) -> tuple[np.ndarray, np.ndarray]:
+        """Where in the store the ids of words begin, and how many each has.
+
+        Words are ranges of ``raw`` in the order of their hashes, all different; unknown ones are learned.
+        """
+        at = np.searchsorted(self._keys, keys)
+        known = np.zeros(len(keys), bool)
+        inside = at < len(self._keys)
+        held = at[inside]
+        known[inside] = self._keys[held] == keys[inside]
+        free = ~known
+        known[inside] &= self._checks[held] == checks[inside]
+        starts, sizes = np.zeros(len(keys), np.int64), np.zeros(len(keys), np.int32)
+        starts[known], sizes[known] = self._starts[at[known]], self._sizes[at[known]]
+        new = np.flatnonzero(~known)
+        if len(new):
+            coded = self._learn([raw[a:b] for a, b in zip(begins[new].tolist(), ends[new].tolist())])
+            sizes[new] = np.fromiter(map(len, coded), np.int64, len(coded)) // 4
+            starts[new] = len(self._flat) + np.cumsum(sizes[new]) - sizes[new]
+            self._flat = np.concatenate([self._flat, np.frombuffer(b"".join(coded), "<u4")])
+            # A word whose hash another word has is learned each time.
+            spot = at[free]
+            self._keys = np.insert(self._keys, spot, keys[free])
+            self._checks = np.insert(self._checks, spot, checks[free])
+            self._starts = np.insert(self._starts, spot, starts[free])
+            self._sizes = np.insert(self._sizes, spot, sizes[free])
+        return starts, sizes
 
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts one after the other (unsigned 32-bit), and how many each has.
@@ -164,19 +203,24 @@ class TextEncoder:
         texts = len(offsets) - 1
         if not len(data):
             return np.zeros(0, "<u4"), np.zeros(texts, np.int64)
-        raw = data.tobytes()
-        marked = any(mark in raw.lower() for mark in self._special)
-        if not self._by_word or marked:
-            each = [raw[a:b] for a, b in zip(offsets[:-1], offsets[1:])]
-            if not self._by_word:
-                coded = self._direct(each)
-            else:
-                coded = [
-                    self._direct([x])[0] if any(m in x.lower() for m in self._special)
-                    else self.encode(np.frombuffer(x, np.uint8), np.array([0, len(x)]))[0].tobytes()
-                    for x in each
-                ]
-            return np.frombuffer(b"".join(coded), "<u4"), np.array([len(x) // 4 for x in coded])
+        low = data.tobytes().lower()
+        if self._by_word and not any(mark in low for mark in self._special):
+            return self._encode_words(data, offsets)
+        raw, bounds = data.tobytes(), list(zip(offsets[:-1].tolist(), offsets[1:].tolist()))
+        direct = [not self._by_word or any(m in low[a:b] for m in self._special) for a, b in bounds]
+        coded = iter(self._direct([raw[a:b] for (a, b), x in zip(bounds, direct) if x]))
+        others = [raw[a:b] for (a, b), x in zip(bounds, direct) if not x]
+        ids, counts = self._encode_words(
+            np.frombuffer(b"".join(others), np.uint8), np.cumsum([0, *map(len, others)]))
+        ends = np.cumsum(counts)
+        rest = iter([ids[b - n: b].tobytes() for b, n in zip(ends.tolist(), counts.tolist())])
+        parts = [next(coded) if x else next(rest) for x in direct]
+        return np.frombuffer(b"".join(parts), "<u4"), np.array([len(x) // 4 for x in parts])
+
+    def _encode_words(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """As ``encode``, for texts whose ids are those of their words."""
+        if not len(data):
+            return np.zeros(0, "<u4"), np.zeros(len(offsets) - 1, np.int64)
         begins, ends = word_bounds(data, offsets)
         low = lowered(data, begins, ends)
         hashes = word_hashes(low, begins, ends)
@@ -186,23 +230,17 @@ class TextEncoder:
         new[1:] = hashes[1:] != hashes[:-1]
         first, which = order[new], np.empty(len(order), np.int64)
         which[order] = np.cumsum(new) - 1
-        raw = low.tobytes()
-        words = [raw[a:b] for a, b in zip(begins[first].tolist(), ends[first].tolist())]
-        if len(self._known) > self._max_words:
-            self._known.clear()
-        known = self._known
-        new = [x for x in words if x not in known]
-        if new:
-            self._learn(new)
-        values = [known[x] for x in words]
-        sizes = np.fromiter(map(len, values), np.int64, len(values)) // 4
-        flat = np.frombuffer(b"".join(values), "<u4")
-        starts = np.cumsum(sizes) - sizes
-        count = sizes[which]
+        if len(self._keys) > self._max_words:
+            self._forget()
+        starts, sizes = self._look_up(
+            low.tobytes(), begins[first], ends[first], hashes[new],
+            word_hashes(low, begins[first], ends[first], SECOND),
+        )
+        count = sizes[which].astype(np.int64)
         stop = np.cumsum(count)
         spots = np.repeat(starts[which] - (stop - count), count) + np.arange(stop[-1] if len(stop) else 0)
         before = np.concatenate([[0], stop])
-        return flat[spots], np.diff(before[np.searchsorted(begins, offsets)])
+        return self._flat[spots], np.diff(before[np.searchsorted(begins, offsets)])
 
 
 def with_end(ids: np.ndarray, counts: np.ndarray, end_id: int) -> tuple[np.ndarray, np.ndarray]:

@@ -67,6 +67,36 @@ def test_encoder_that_forgets(tokenizer):
         assert code.encode(*column([text]))[0].tolist() == ids_of(tokenizer, text)
 
 
+def test_encoder_learns_a_word_once(tokenizer, monkeypatch):
+    code, learned, learn = TextEncoder(word_vocabulary()), [], TextEncoder._learn
+    monkeypatch.setattr(TextEncoder, "_learn", lambda self, words: learned.append(len(words)) or learn(self, words))
+    letters = string.ascii_lowercase[:22]
+    # 468,512 different words, each text with some of its own.
+    texts = [" ".join(a + b + c + d + e for b in letters for c in letters for d in letters for e in "xy") for a in letters]
+    first = [code.encode(*column([x]))[0].tolist() for x in texts]
+    assert sum(learned) == 2 * len(letters) ** 4
+    assert [code.encode(*column([x]))[0].tolist() for x in texts] == first
+    assert sum(learned) == 2 * len(letters) ** 4
+    assert first[0] == ids_of(tokenizer, texts[0])
+
+
+def test_encoder_with_words_of_one_hash(tokenizer):
+    code, texts = TextEncoder(word_vocabulary()), ["one word and another one", "another word"]
+    code.encode(*column(texts))
+    # As if other words with these hashes had come first.
+    code._checks ^= np.uint64(1)
+    code._flat = code._flat * 0
+    for _ in range(2):
+        assert code.encode(*column(texts))[0].tolist() == [i for x in texts for i in ids_of(tokenizer, x)]
+
+
+def test_encoder_with_special_names_between_texts(tokenizer):
+    texts = ["plain text", "a <|endoftext|> b", "", "ends with <", "| begins", "more <", "|plain text"]
+    ids, counts = TextEncoder(word_vocabulary()).encode(*column(texts))
+    parts = np.split(ids, np.cumsum(counts)[:-1])
+    assert [x.tolist() for x in parts] == [ids_of(tokenizer, x) for x in texts]
+
+
 def test_with_end():
     ids, counts = with_end(np.array([5, 6, 7], "<u4"), np.array([0, 2, 1, 0]), 1)
     assert ids.tolist() == [1, 5, 6, 1, 7, 1, 1] and counts.tolist() == [1, 3, 2, 1]
