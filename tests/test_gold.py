@@ -226,3 +226,21 @@ def test_orders_of_a_product_count_once(spark, bronze, staged):
     # An order that is there twice doubles its rows and stays one order; an item without an order counts nothing.
     assert (found[7]["orders_with_product"], found[7]["total_units_sold"]) == (2, 5)
     assert (found[None]["orders_with_product"], found[None]["total_units_sold"]) == (2, 4)
+
+
+def test_items_and_products_of_an_order_are_counted_apart(spark, bronze, staged):
+    items = staged["stg_order_items"]
+    unknown = items.withColumn("product_id", F.lit(None).cast("bigint"))
+    strange = items.withColumn("order_id", F.lit(None).cast("bigint"))
+    silver = {**staged, "stg_order_items": items.union(items).union(unknown).union(strange)}
+    sales = gold.fact_sales(silver)
+    # A distinct count beside the sums would keep every sum once for each order and product.
+    assert "distinct" not in sales._jdf.queryExecution().executedPlan().toString().lower()
+    measures = gold.order_items_agg(silver)
+    wanted = {x["order_id"]: x.asDict() for x in measures.collect() if x["order_id"] is not None}
+    found = by(sales, "order_id")
+    assert wanted and any(x["unique_products"] > 1 for x in wanted.values())
+    for order, row in wanted.items():
+        assert {name: found[order][name] for name in measures.columns} == row
+    without = by(gold.fact_sales({**silver, "stg_order_items": unknown}), "order_id")
+    assert {x["unique_products"] for x in without.values()} == {0}
