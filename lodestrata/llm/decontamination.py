@@ -34,7 +34,7 @@ Q = 10
 EDIT_RATE = 0.06           # edits allowed for each byte of an item
 TABLE_BITS = 20            # of the first look-up
 ITEM_BYTES = 2 << 20       # bytes of items of one index, at most; the index has about thirty times as many
-SCAN_BYTES = 4 << 20       # bytes of text that are scanned at once
+SCAN_BYTES = 1 << 20       # bytes of text that are scanned at once; the scan takes some eighty times as many
 COMMON = 64                # places in the items from which a q-gram is a common one
 EXPANDED = 1 << 20         # shared places that are counted at once
 ALIGNED = 256              # candidates that are aligned side by side

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lodestrata.llm.common import column_bytes, grouped, spare_name, stored
+from lodestrata.llm.common import bounded, column_bytes, grouped, spare_name, stored
 from lodestrata.llm.components import connected
 from lodestrata.llm.shingles import mixed, shingle_sets
 
@@ -42,6 +42,7 @@ PIVOTS = 4
 TURNS = 2                       # of comparing with pivots
 CELLS_PER_SHINGLE = 8           # of the bitmaps of small sets
 BITMAP_BITS = 2048              # beyond which a bitmap has a cell per shingle
+SCAN_BYTES = 1 << 20            # bytes of texts, or of other columns, in work at once
 BLOCK = 256                     # members of a group that are compared with as many at once
 
 
@@ -143,7 +144,7 @@ def set_table(docs: DataFrame) -> tuple[DataFrame, np.ndarray]:
             ("doc_id", pa.int64()), ("n", pa.int64()), ("k1", pa.int64()), ("k2", pa.int32()),
             ("bitmap", pa.binary()), ("cells", pa.binary()),
         ])
-        for batch in grouped(batches):
+        for batch in grouped(batches, SCAN_BYTES):
             sets, offsets = shingle_sets(*column_bytes(batch["text"]))
             cells += np.bincount((sets >> np.uint64(64 - CELL_BITS)).astype(np.int64), minlength=len(cells))
             k1, k2 = set_keys(sets, offsets)
@@ -166,7 +167,7 @@ def set_table(docs: DataFrame) -> tuple[DataFrame, np.ndarray]:
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(1 << CELL_BITS, np.int64)
-        for batch in batches:
+        for batch in bounded(batches, SCAN_BYTES):
             for packed in batch["cells"]:
                 total += np.frombuffer(zlib.decompress(packed.as_py()), np.int64)
         yield pa.RecordBatch.from_pydict({"cells": pa.array([zlib.compress(total.tobytes(), 1)], pa.binary())})
@@ -203,7 +204,7 @@ def shared_rows(docs: DataFrame, bands: np.ndarray) -> DataFrame:
     """
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in grouped(batches):
+        for batch in grouped(batches, SCAN_BYTES):
             sets, offsets = shingle_sets(*column_bytes(batch["text"]))
             k1, k2 = set_keys(sets, offsets)
             size = np.diff(offsets)
@@ -221,7 +222,7 @@ def shared_rows(docs: DataFrame, bands: np.ndarray) -> DataFrame:
         # A row goes out when the next is known; the last one is held back, with
         # whether it continues its group.
         held, continues = None, False
-        for batch in batches:
+        for batch in bounded(batches, SCAN_BYTES):
             if not batch.num_rows:
                 continue
             columns = [batch[x].to_numpy() for x in NAMES]
@@ -286,7 +287,7 @@ def star_pairs(rows: DataFrame, turn: int) -> DataFrame:
 
     def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pivots, current = [], None
-        for batch in batches:
+        for batch in bounded(batches, SCAN_BYTES):
             out = []
             for token, rep, k1, size, root in zip(*(batch[x].to_pylist() for x in names)):
                 if token != current:
@@ -314,7 +315,7 @@ def bitmap_filter(pairs: DataFrame) -> DataFrame:
     """The pairs whose bitmaps and sizes allow the similarity: ``a b a1 b1``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in bounded(batches, SCAN_BYTES):
             keep = [
                 similar_sizes(min(x, y), max(x, y)) and may_be_similar(
                     int.from_bytes(p, "little"), int.from_bytes(q, "little"), x, y, 8 * len(p), 8 * len(q))
@@ -330,7 +331,7 @@ def id_filter(ids: DataFrame) -> np.ndarray:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = np.zeros(1 << FILTER_BITS, bool)
-        for batch in batches:
+        for batch in bounded(batches, SCAN_BYTES):
             bits[_cell(batch["doc_id"].to_numpy())] = True
         packed = zlib.compress(np.packbits(bits).tobytes(), 1)
         yield pa.RecordBatch.from_pydict({"bits": pa.array([packed], pa.binary())})
@@ -350,7 +351,7 @@ def near_rows(docs: DataFrame, ids: DataFrame) -> DataFrame:
     bits = id_filter(ids)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in bounded(batches, SCAN_BYTES):
             keep = bits[_cell(batch["doc_id"].to_numpy())]
             yield batch.filter(pa.array(keep))
 
@@ -366,7 +367,7 @@ def further_prefixes(docs: DataFrame, ids: DataFrame, bands: np.ndarray) -> Data
     further = range(1, ORDERS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in grouped(batches):
+        for batch in grouped(batches, SCAN_BYTES):
             sets, offsets = shingle_sets(*column_bytes(batch["text"]))
             lists = []
             for order in further:
@@ -425,7 +426,7 @@ def verified(pairs: DataFrame, docs: DataFrame, bands: np.ndarray) -> DataFrame:
     ).select("a", "b", "a1", "b1", "text_a", "text_b")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in bounded(batches, SCAN_BYTES):
             sides = [shingle_sets(*column_bytes(batch[x])) for x in ("text_a", "text_b")]
             right = np.ones(batch.num_rows, bool)
             for (sets, offsets), key in zip(sides, ("a1", "b1")):
@@ -482,7 +483,7 @@ def _across(mixed: DataFrame, classes: DataFrame) -> DataFrame:
             columns = list(zip(*rows)) or [[]] * 4
             return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names)
 
-        for batch in batches:
+        for batch in bounded(batches, SCAN_BYTES):
             out = []
             for t, x, y, second, rep, k1, bitmap, n, root in zip(*(c.to_pylist() for c in batch.columns)):
                 if (t, x, y) != key:

@@ -33,6 +33,7 @@ CAPACITY = 4096
 GROUPS = 256          # sizes that stay after rounding
 LARGE = 1 / 8         # share of the capacity above which a piece is large
 RANKED_ROWS = 20_000  # pieces that one task ranks
+SCAN_BYTES = 1 << 20  # bytes of texts that are encoded at once
 
 
 def cut_pieces(
@@ -47,7 +48,7 @@ def cut_pieces(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         code = encoder(vocabulary)
-        for batch in grouped(batches):
+        for batch in grouped(batches, SCAN_BYTES):
             coded, counts = code.encode(*column_bytes(batch["text"]))
             coded, counts = with_end(coded, counts, end_id)
             # Each text's ids in steps of the capacity, the rest last.

@@ -27,13 +27,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lodestrata.llm.bwt import GRAM, chains_of, gram_hashes, merged_order
-from lodestrata.llm.common import column_bytes, grouped, nullable, spare_name, stored
+from lodestrata.llm.common import bounded, column_bytes, grouped, nullable, spare_name, stored
 from lodestrata.llm.tokens import word_hashes
 
 MATCH = 100                 # bytes of a match; a multiple of the gram of the transforms
 K = 32                      # bytes of an anchor
-SCAN_BYTES = 2 << 20
-CHUNK_BYTES = 1 << 20       # bytes of contexts whose transforms are merged at once
+SCAN_BYTES = 1 << 20        # bytes of texts in work at once
+CHUNK_BYTES = 1 << 19       # bytes of contexts whose transforms are merged at once
 SHARDS = 2
 MOST_CONTEXTS = 10_000      # different contexts of one anchor that are collected
 
@@ -154,7 +154,7 @@ def sort_out(rows: DataFrame) -> DataFrame:
                 [*columns, pa.array(np.full(len(columns[0]), repeat))], [*names, "repeat"]
             )
 
-        for batch in batches:
+        for batch in bounded(batches, SCAN_BYTES):
             none = batch["digest"].is_null().to_numpy(zero_copy_only=False)
             columns = [batch[x].fill_null(0).to_numpy() for x in names]
             if none.any():
@@ -208,7 +208,7 @@ def compared(found: DataFrame, texts: DataFrame, limit: int = MOST_CONTEXTS) ->
     ).alias("places"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in bounded(batches, SCAN_BYTES):
             data, offsets = column_bytes(batch["text"])
             raw, flat = data.tobytes(), batch["places"].flatten()
             text = np.repeat(np.arange(batch.num_rows), np.diff(batch["places"].offsets.to_numpy()))
@@ -249,7 +249,7 @@ def compared(found: DataFrame, texts: DataFrame, limit: int = MOST_CONTEXTS) ->
                 table["doc_id"].to_numpy(), table["start"].to_numpy(), *repeated_windows(data, offsets)
             )
 
-        for batch in batches:
+        for batch in bounded(batches, SCAN_BYTES):
             if not batch.num_rows:
                 continue
             anchors = batch["anchor"].to_numpy()
@@ -276,7 +276,7 @@ def compared(found: DataFrame, texts: DataFrame, limit: int = MOST_CONTEXTS) ->
     )
 
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in bounded(batches, SCAN_BYTES):
             data, offsets = column_bytes(batch["part"])
             number = np.diff(offsets) - MATCH + 1
             row = np.repeat(np.arange(len(number)), number)
@@ -357,7 +357,7 @@ def repeat_digests(docs: DataFrame, limit: int = MOST_CONTEXTS) -> DataFrame:
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in bounded(batches, SCAN_BYTES):
             sizes, removed, number, digests = [], [], [], []
             for text, runs in zip(batch["text"], runs_by_text(batch["spans"])):
                 raw = text.as_buffer() if text.is_valid else pa.py_buffer(b"")
@@ -394,7 +394,7 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     names, schema = docs.columns, nullable(docs.schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in bounded(batches, SCAN_BYTES):
             kept, keep, sizes = [], [], []
             before = batch["n_chars"].to_pylist() if "n_chars" in names else [None] * batch.num_rows
             for text, runs, size in zip(batch["text"], runs_by_text(batch[cover]), before):

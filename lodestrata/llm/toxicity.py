@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lodestrata.llm.common import nullable, stored
+from lodestrata.llm.common import bounded, nullable, stored
 
 SAMPLE_ROWS = 20_000   # labelled rows that the classifier is fitted on, at most (about)
 FEATURES = 2048        # features that it may use, at most
@@ -33,6 +33,7 @@ NEUTRAL_SHARE = 0.005  # of the clean documents that a learned term stands in, a
 NEUTRAL_RATE = 0.5     # of a term's rate in toxic documents that its rate in clean ones is, at least
 RIDGE = 1e-4
 STEPS = 500
+SCAN_BYTES = 1 << 20   # bytes of texts in work at once
 
 # Groups of people by kind.  A term is swapped with the next of its kind.
 IDENTITY_TERMS = {
@@ -164,7 +165,7 @@ def _associated(sample: DataFrame, features: int) -> tuple[list[str], list[tuple
             held[1].clear()
             return out
 
-        for batch in batches:
+        for batch in bounded(batches, SCAN_BYTES):
             for text, toxic in zip(batch["text"].to_pylist(), batch["toxic"].to_pylist()):
                 held[toxic].update(features_of(words_of(text)))
                 if len(held[0]) + len(held[1]) > 300_000:
@@ -206,7 +207,7 @@ def fit_classifier(
     spot, swaps = {x: i for i, x in enumerate(names)}, all_swaps(kinds, neutral)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in bounded(batches, SCAN_BYTES):
             present = [
                 sorted(spot[x] for x in features_of(words_of(text)) & spot.keys()) for text in batch["text"].to_pylist()
             ]
@@ -244,7 +245,7 @@ def counterfactual_pairs(sample: DataFrame, spot: dict[str, int], swaps: dict[st
                 known[word] = frozenset(spot[x] for x in features_of({word}) & spot.keys())
             return known[word]
 
-        for batch in batches:
+        for batch in bounded(batches, SCAN_BYTES):
             found: Counter = Counter()
             for text in batch["text"].to_pylist():
                 for words, term, other in swapped_sentences(text, swaps):
@@ -303,7 +304,7 @@ def score_shift(docs: DataFrame, model: Classifier) -> DataFrame:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in bounded(batches, SCAN_BYTES):
             moved = [
                 abs(1 / (1 + np.exp(-model.logit(words))) - 1 / (1 + np.exp(-model.logit(words - {term} | {other}))))
                 for text in batch["text"].to_pylist() for words, term, other in swapped_sentences(text, model.swaps)
@@ -324,7 +325,7 @@ def score_toxicity(docs: DataFrame, model: Classifier) -> DataFrame:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in bounded(batches, SCAN_BYTES):
             z = np.array([model.logit(words_of(x)) for x in batch["text"].to_pylist()], float)
             score = 1 / (1 + np.exp(-np.clip(z, -40, 40)))
             yield pa.RecordBatch.from_arrays(
@@ -341,7 +342,7 @@ def drop_toxic(docs: DataFrame, model: Classifier, limit: float = 0.5) -> DataFr
     schema, names = nullable(docs.schema), docs.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in bounded(batches, SCAN_BYTES):
             z = np.array([model.logit(words_of(x)) for x in batch["text"].to_pylist()], float)
             keep = 1 / (1 + np.exp(-np.clip(z, -40, 40))) < limit
             yield batch.filter(pa.array(keep)).select(names)
