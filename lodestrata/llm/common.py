@@ -143,27 +143,33 @@ def bounded(batches, size: int):
     give_back()
 
 
-def grouped(batches, size: int = 4 << 20):
-    """Batches of about ``size`` bytes, so that work is done on many rows, but not on too many, at once.
+def joined(batches, size: int):
+    """Batches joined up to about ``size`` bytes, so that work is done on many rows at once; none is cut.
 
-    Small batches are joined; large ones, which Spark fills up to ``maxBytesPerBatch``, are cut between rows.
-    Less than ``2 * size`` bytes come at once, but for longer rows.
     When they are through, the memory of the task is given back.
     """
     held, total = [], 0
-    for whole in batches:
-        for batch in halved(whole, size):
-            held.append(batch)
-            total += batch.nbytes
-            if total >= size:
-                yield pa.concat_batches(held)
-                held, total = [], 0
+    for batch in batches:
+        held.append(batch)
+        total += batch.nbytes
+        if total >= size:
+            yield pa.concat_batches(held)
+            held, total = [], 0
     if held:
         yield pa.concat_batches(held)
     held = []
     give_back()
 
 
+def grouped(batches, size: int = 4 << 20):
+    """Batches of about ``size`` bytes, so that work is done on many rows, but not on too many, at once.
+
+    Small batches are joined; large ones, which Spark fills up to ``maxBytesPerBatch``, are cut between rows.
+    Less than ``2 * size`` bytes come at once, but for longer rows.
+    """
+    return joined((part for batch in batches for part in halved(batch, size)), size)
+
+
 def spare_name(df: DataFrame, name: str) -> str:
     """A column name that the frame doesn't have."""
     while name in df.columns:

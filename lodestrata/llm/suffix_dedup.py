@@ -27,11 +27,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lodestrata.llm.bwt import GRAM, chains_of, gram_hashes, merged_order
-from lodestrata.llm.common import bounded, column_bytes, grouped, nullable, spare_name, stored
+from lodestrata.llm.common import bounded, column_bytes, joined, nullable, spare_name, stored
 from lodestrata.llm.tokens import word_hashes
 
 MATCH = 100                 # bytes of a match; a multiple of the gram of the transforms
 K = 32                      # bytes of an anchor
+BATCH_BYTES = 2 << 20       # bytes of texts among which copies are known at once
 SCAN_BYTES = 1 << 20        # bytes of texts in work at once
 CHUNK_BYTES = 1 << 19       # bytes of contexts whose transforms are merged at once
 SHARDS = 2
@@ -71,6 +72,17 @@ def window_contexts(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray,
     return grams[anchor[first]], text, first, number
 
 
+def contexts_of(data: np.ndarray, offsets: np.ndarray, size: int) -> tuple[np.ndarray, ...]:
+    """As ``window_contexts``, which takes some sixty times the bytes, over texts of about ``size`` bytes at a time."""
+    cuts = np.flatnonzero(np.diff(offsets[:-1] // size, prepend=-1)).tolist() or [0]
+    parts = []
+    for low, high in zip(cuts, [*cuts[1:], len(offsets) - 1]):
+        begin = offsets[low]
+        anchor, text, first, number = window_contexts(data[begin: offsets[high]], offsets[low: high + 1] - begin)
+        parts.append((anchor, text + low, first + begin, number))
+    return tuple(np.concatenate(x) for x in zip(*parts))
+
+
 CONTEXT_DDL = "anchor long, digest long, doc_id long, start int, windows int"
 
 
@@ -83,7 +95,7 @@ def contexts(docs: DataFrame) -> DataFrame:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in grouped(batches, SCAN_BYTES):
+        for batch in joined(batches, BATCH_BYTES):
             data, offsets = column_bytes(batch["text"])
             ids = batch["doc_id"].to_numpy()
             whole = word_hashes(data, offsets[:-1], offsets[1:])
@@ -98,7 +110,7 @@ def contexts(docs: DataFrame) -> DataFrame:
                 starts = np.maximum.accumulate(np.where(np.append(True, ~same), np.arange(len(ids)), 0))
                 lead[order] = ids[order][starts]
             repeats = copy & (lead != ids) & (np.diff(offsets) >= MATCH)
-            anchor, text, first, number = window_contexts(data, offsets)
+            anchor, text, first, number = contexts_of(data, offsets, SCAN_BYTES)
             kept = ~copy[text]
             anchor, text, first, number = anchor[kept], text[kept], first[kept], number[kept]
             digest = word_hashes(data, first, first + number + MATCH - 1)

@@ -6,6 +6,7 @@ import random
 import tracemalloc
 from collections import Counter
 
+import numpy as np
 import pyarrow as pa
 import pytest
 
@@ -49,6 +50,26 @@ def test_a_scan_takes_the_memory_of_a_small_batch():
     assert peak < 220 << 20
 
 
+@pytest.mark.parametrize("size", [1, 90, 1000, 1 << 20])
+def test_contexts_of_some_texts_at_a_time(size):
+    texts = [x for _, x in made_texts(3, 40)] + ["", "z" * 99, "z" * 100, "ab" * 700, None, ""]
+    for part in (texts, texts[-2:], texts[:1], []):
+        data, offsets = common.column_bytes(pa.array(part, pa.string()))
+        whole = suffix_dedup.window_contexts(data, offsets)
+        got = suffix_dedup.contexts_of(data, offsets, size)
+        assert all(np.array_equal(x, y) and x.dtype == y.dtype for x, y in zip(got, whole, strict=True))
+
+
+def test_rows_that_come_twice_are_one_document(session):
+    rng = random.Random(9)
+    rows = [(i, " ".join(rng.choice(["ab", "cde", "f", "ghij"]) + str(rng.randrange(9999)) for _ in range(180))) for i in range(500)]
+    once = suffix_dedup.repeat_digests(documents(session, rows, 1)).collect()
+    assert all(x.n_removed == 0 for x in once)
+    # Some 0.6 MB, and the same again: more than is in work at once, less than copies are known among.
+    twice = suffix_dedup.repeat_digests(documents(session, rows * 2, 1)).collect()
+    assert Counter(map(tuple, twice)) == Counter(map(tuple, once * 2))
+
+
 @pytest.mark.parametrize("size", [300, 5_000])
 def test_slices_give_the_same_rows(session, monkeypatch, size):
     rows = made_texts(11, 60) + [(900, None), (901, ""), (902, "again " * 400)]
