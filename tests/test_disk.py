@@ -11,6 +11,7 @@ import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
+from checks.queries import Layers
 from lodestrata.functions.columns import cents_sum, cents_where
 from lodestrata.operators import gold
 from lodestrata.operators.silver import build_silver
@@ -84,6 +85,12 @@ def settings(monkeypatch):
     return seen
 
 
+def test_stored_layers_free_their_shuffles(spark, settings):
+    Layers(spark, "/root/testdata/sf0.001").table("silver", "stg_payments")
+    assert set(settings.values()) <= {"true"}
+    assert spark.conf.get(FREES_SHUFFLES, None) is None
+
+
 def test_a_run_that_fails_restores_the_setting(spark, lake, monkeypatch):
     monkeypatch.setattr(medallion.gates, "validate_bronze", lambda *a: (_ for _ in ()).throw(RuntimeError("killed")))
     with pytest.raises(RuntimeError):
