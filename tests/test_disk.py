@@ -11,7 +11,7 @@ import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
-from checks.queries import Layers
+from checks import queries
 from lodestrata.functions.columns import cents_sum, cents_where
 from lodestrata.operators import gold
 from lodestrata.operators.silver import build_silver
@@ -85,9 +85,10 @@ def settings(monkeypatch):
     return seen
 
 
-def test_stored_layers_free_their_shuffles(spark, settings):
-    Layers(spark, "/root/testdata/sf0.001").table("silver", "stg_payments")
-    assert set(settings.values()) <= {"true"}
+def test_stored_layers_free_their_shuffles(spark, settings, monkeypatch):
+    monkeypatch.setattr(queries, "_STORED", {})
+    queries.Layers(spark, "/root/testdata/sf0.001").table("silver", "stg_payments")
+    assert ("silver", "stg_payments") in settings and set(settings.values()) == {"true"}
     assert spark.conf.get(FREES_SHUFFLES, None) is None
 
 
